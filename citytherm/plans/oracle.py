@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from citytherm.plans.common import CHECK_DIGITS, MATCH_TOLERANCE_DAYS, REFERENCE_TYPE
 
-ORACLE: dict[str, str] = {}
+from citytherm.plans.registry import ORACLE
 
 
 def R(expr: str, d: int = CHECK_DIGITS) -> str:

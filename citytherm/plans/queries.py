@@ -15,7 +15,7 @@ from citytherm.operators import align, profile, target
 from citytherm.plans.common import (MATCH_TOLERANCE_DAYS, REFERENCE_TYPE, events_samples, rnd)
 from citytherm.sources.tables import Tables
 
-REGISTRY: dict = {}
+from citytherm.plans.registry import REGISTRY
 
 
 def register(fn):
