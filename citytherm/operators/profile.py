@@ -73,11 +73,15 @@ def first_and_mean(df: DataFrame, group: str, coords: Sequence[str], value: str)
 # Table-level facts
 # --------------------------------------------------------------------------
 def table_profile(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """Rows, columns, distinct keys, span in days."""
+    """Rows, columns, distinct keys, span in whole elapsed days.
+
+    ``count_distinct`` is exact (a shuffle on the key); the span is the
+    elapsed time floored to days, as a timedelta's ``days`` is.
+    """
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.lit(len(df.columns)).alias("n_columns"),
                   F.count_distinct(key).alias("n_keys"),
-                  F.datediff(F.max(ts), F.min(ts)).alias("span_days"))
+                  F.timestamp_diff("DAY", F.min(ts), F.max(ts)).alias("span_days"))
 
 
 def null_counts(df: DataFrame, only_positive: bool = True) -> DataFrame:

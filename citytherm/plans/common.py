@@ -13,7 +13,7 @@ from citytherm.sources.tables import Tables
 # Query parameters (fixed per query so Spark and the SQL oracle agree).
 REFERENCE_TYPE = "purchase"   # the "urban" tag among event types
 MATCH_TOLERANCE_DAYS = 1      # events span 30 days; 1 day leaves some rows unmatched
-CHECK_DIGITS = 9              # rounding depth of float outputs in checked queries
+CHECK_DIGITS = 6              # rounding depth of float outputs in checked queries
 
 
 def rnd(c, digits: int = CHECK_DIGITS):
@@ -89,7 +89,8 @@ def _sql_r(expr: str, d: int) -> str:
 
 def cities_values_sql() -> str:
     from citytherm.sources.cities import CITIES
-    rows = ", ".join(f"({i + 1}, '{n}', {la!r}, {lo!r})" for i, (n, la, lo) in enumerate(CITIES))
+    rows = ", ".join(f"({i + 1}, '{n}', CAST({la!r} AS DOUBLE), CAST({lo!r} AS DOUBLE))"
+                     for i, (n, la, lo) in enumerate(CITIES))
     return f"(VALUES {rows}) AS cv(city_pos, city, lat, lon)"
 
 
