@@ -49,11 +49,12 @@ DEFAULT_HOUR, DEFAULT_MONTH = 12, 6
 def round_half_even(c: ColumnOrName, digits: int) -> Column:
     """Round like NumPy/pandas: scale in binary, round half to even, unscale.
 
-    ``bround`` on the scaled double is exact here because the shortest decimal
-    text of a double ends in ``.5`` only when the double is exactly a half.
+    ``rint`` rounds the scaled double to the nearest integer, ties to even,
+    without a decimal round trip (``bround`` would build a BigDecimal per
+    row), and stays inside generated code.
     """
     scale = float(10 ** digits)
-    return F.bround(col(c) * F.lit(scale), 0) / F.lit(scale)
+    return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
 # --------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytherm.functions.expressions import round_half_even
+from citytherm.functions.stats import wide_quantiles
 
 # --------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
@@ -101,9 +102,9 @@ def inject_defaults(df: DataFrame, defaults: Mapping[str, object] = INJECT_DEFAU
 # E4
 # --------------------------------------------------------------------------
 def fit_medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """One-row table of column medians (``med_<col>``)."""
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
-    return df.agg(*[med(F.col(c)).alias(f"med_{c}") for c in cols])
+    """One-row table of column medians (``med_<col>``), exact via value counts."""
+    w = wide_quantiles(df, cols, [0.5], ["med"], approx=approx)
+    return w.select(*[F.col(f"{c}__med").alias(f"med_{c}") for c in cols])
 
 
 def median_impute(df: DataFrame, cols: Sequence[str] | None = None,
@@ -136,15 +137,10 @@ def median_impute(df: DataFrame, cols: Sequence[str] | None = None,
 # --------------------------------------------------------------------------
 def fit_fences(df: DataFrame, cols: Sequence[str], k: float = IQR_K, approx: bool = False) -> DataFrame:
     """One-row table with q1/q3/lo/hi per column (``<col>__q1`` ...), one pass."""
-    aggs = []
-    for c in cols:
-        q = (F.percentile_approx(c, [0.25, 0.75], 10000) if approx
-             else F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))))
-        aggs.append(q.alias(f"{c}__q"))
-    wide = df.agg(*aggs)
+    wide = wide_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"], approx=approx)
     sel = []
     for c in cols:
-        q1, q3 = F.col(f"{c}__q")[0], F.col(f"{c}__q")[1]
+        q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")
         sel += [q1.alias(f"{c}__q1"), q3.alias(f"{c}__q3"),
                 (q1 - F.lit(k) * (q3 - q1)).alias(f"{c}__lo"),
                 (q3 + F.lit(k) * (q3 - q1)).alias(f"{c}__hi")]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytherm.operators import clean, features, target
+from citytherm.sources.stages import materialize
 
 
 @dataclass
@@ -44,7 +45,13 @@ def impute_missing(df: DataFrame, exclude: Sequence[str], approx: bool = False,
 
 def preprocess(raw: DataFrame, group: str = "name", ts: str = "timestamp",
                source_col: str | None = "source", keep: Sequence[str] = (),
-               approx: bool = False, require_rows: bool = False) -> Prepared:
+               approx: bool = False, require_rows: bool = False,
+               stage: bool = False) -> Prepared:
+    """``stage=True`` writes the capped feature rows once to the shared folder
+    before the target step (lineage cut; the group and global medians then
+    read files instead of re-running the narrow upstream).  Off by default:
+    shuffles shared by the branches are already reused by Spark, and at
+    small scale the extra write costs more than it saves."""
     d = raw
     if source_col is not None and source_col in d.columns:
         d = clean.source_filter(d, source_col)
@@ -58,6 +65,8 @@ def preprocess(raw: DataFrame, group: str = "name", ts: str = "timestamp",
     report = clean.outlier_report(d, cap, fences)
     d = clean.winsorize(d, cap, fences)
     d = features.engineer_features(d, group=group, ts=ts)
+    if stage:
+        d = materialize(d, "features")
     d = target.contrast_target(d, "urban_lst", "rural_lst", group, out=features.TARGET_COLUMN,
                                approx=approx)
     names = features.feature_list(d)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytherm.functions.expressions import round_half_even
+from citytherm.functions.stats import global_median, group_median
 
 
 def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
@@ -24,11 +25,9 @@ def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
     pair = F.when(F.col(urban).isNotNull() & F.col(rural).isNotNull(),
                   F.greatest(F.col(urban) - F.col(rural), F.lit(0.0)))
     d = df.withColumn("_pair", pair)
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
-    glob = d.agg(med(F.col("_pair")).alias("_glob"))  # exactly one row
+    glob = global_median(d, "_pair", "_glob", approx=approx)  # exactly one row
     if group is not None:
-        gmed = (d.where(F.col(group).isNotNull())
-                 .groupBy(group).agg(med(F.col("_pair")).alias("_gmed")))
+        gmed = group_median(d, group, "_pair", "_gmed", approx=approx)
         d = d.join(gmed, group, "left")
         filled = F.coalesce(F.col("_pair"), F.col("_gmed"), F.col("_glob"))
     else:
