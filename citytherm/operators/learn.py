@@ -216,23 +216,37 @@ def _importance(model, feature_names: Sequence[str]) -> list[tuple[str, float]]:
         vals = [abs(v) for v in model.coefficients.toArray()]
     else:
         return []
-    tot = sum(vals) + 1e-9
-    return [(f, round(v / tot, 5)) for f, v in zip(feature_names, vals)]
+    tot = float(sum(vals)) + 1e-9
+    return [(f, round(float(v) / tot, 5)) for f, v in zip(feature_names, vals)]
 
 
-def train_models(table: DataFrame, features: Sequence[str], label: str, group: str | None,
-                 profile: str = "fast", models: Sequence[str] | None = None,
-                 folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
-                 fit_scope: str = "train", parallelism: int = 4,
-                 outer_cv: bool = True) -> RunResult:
-    """Train and compare the registry on a group hold-out split.
-
-    ``fit_scope="train"`` fits the scaler on training groups only;
-    ``"all"`` reproduces the reference (fitted on every row).
-    """
-    spark: SparkSession = table.sparkSession
+@dataclass
+class Prepared:
+    """Group split, folds and scaled vectors shared by every fit of a run."""
+    train: DataFrame       # features, label, fold (+ group)
+    test: DataFrame        # features, label (+ group)
+    full: DataFrame        # features, label, fold (outer folds over all groups)
+    assign: DataFrame | None
+    scaler: SQLTransformer
+    assembler: VectorAssembler
+    n_train: int
+    label_std: float
+    k_inner: int = CV_FOLDS
+    k_outer: int = CV_FOLDS
+
+    def unpersist(self):
+        for x in (self.train, self.test, self.full):
+            x.unpersist()
+
+
+def prepare(table: DataFrame, features: Sequence[str], label: str, group: str | None,
+            folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
+            fit_scope: str = "train", keep: Sequence[str] = ()) -> Prepared:
+    """H2 split, H3 folds (inner on training groups, outer on all groups),
+    H1 scaler fitted on ``fit_scope`` rows, vectors assembled and persisted."""
     feats = list(features)
     d = table.where(F.col(label).isNotNull())
+    assign = None
     if group is not None:
         assign = split.group_holdout(d, group, test_size, seed)
         d = split.attach(d, assign, group)
@@ -241,7 +255,8 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
     else:  # random row split by hash when there is no group key
         h = F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in feats]) % 1000) / 1000.0
         d = d.withColumn("split", F.when(h < test_size, "test").otherwise("train"))
-        d = d.withColumn("outer_fold", (F.abs(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in feats])) % folds).cast("int"))
+        d = d.withColumn("outer_fold",
+                         (F.abs(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in feats])) % folds).cast("int"))
     train = d.where(F.col("split") == "train")
     test = d.where(F.col("split") == "test")
     if group is not None:
@@ -249,21 +264,51 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
         train = train.join(inner, group, "left")
     else:
         train = train.withColumn("fold", F.col("outer_fold"))
-
     stats = fit_scaler(train if fit_scope == "train" else d, feats)
     scaler = scaler_stage(stats)
     assembler = VectorAssembler(inputCols=[f"z_{c}" for c in feats], outputCol="features",
                                 handleInvalid="keep")
     prep = PipelineModel(stages=[scaler, assembler])
     lab = F.col(label).cast("double").alias("label")
-    tr = prep.transform(train).select("features", lab, "fold", *([group] if group else []))
-    te = prep.transform(test).select("features", lab, *([group] if group else []))
-    full = prep.transform(d).select("features", lab, F.col("outer_fold").alias("fold"))
-    # persist the small vector tables for the many fits; lineage stays intact
-    tr, te, full = tr.persist(), te.persist(), full.persist()
-
-    n_train = tr.count()
-    label_std = tr.agg(F.stddev_pop("label")).first()[0] or 0.0
+    extra = ([group] if group else []) + list(keep)
+    tr = prep.transform(train).select("features", lab, "fold", *extra).persist()
+    te = prep.transform(test).select("features", lab, *extra).persist()
+    full = prep.transform(d).select("features", lab, F.col("outer_fold").alias("fold")).persist()
+    st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s"),
+                F.max("fold").alias("k")).first()
+    k_outer = full.agg(F.max("fold")).first()[0]
+    return Prepared(tr, te, full, assign, scaler, assembler, int(st["n"]), float(st["s"] or 0.0),
+                    int(st["k"] or 0) + 1, int(k_outer or 0) + 1)
+
+
+def grid_cv(prep: Prepared, cand: Candidate, parallelism: int = 4, seed: int = SEED):
+    """H6: group-fold grid search of one candidate; returns (model, best index,
+    per-point mean and population std of fold RMSE)."""
+    ev = RegressionEvaluator(metricName="rmse", labelCol="label", predictionCol="prediction")
+    cv = CrossValidator(estimator=cand.estimator, estimatorParamMaps=cand.grid, evaluator=ev,
+                        foldCol="fold", numFolds=prep.k_inner, parallelism=parallelism, seed=seed)
+    cvm = cv.fit(prep.train)
+    avg = list(cvm.avgMetrics)
+    std = list(cvm.stdMetrics) if cvm.stdMetrics else [None] * len(avg)
+    best = min(range(len(avg)), key=lambda i: avg[i])  # first of equals wins
+    return cvm.bestModel, best, avg, std
+
+
+def train_models(table: DataFrame, features: Sequence[str], label: str, group: str | None,
+                 profile: str = "fast", models: Sequence[str] | None = None,
+                 folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
+                 fit_scope: str = "train", parallelism: int = 4,
+                 outer_cv: bool = True) -> RunResult:
+    """Train and compare the registry on a group hold-out split.
+
+    ``fit_scope="train"`` fits the scaler on training groups only;
+    ``"all"`` reproduces the reference (fitted on every row).
+    """
+    spark: SparkSession = table.sparkSession
+    feats = list(features)
+    prep = prepare(table, feats, label, group, folds, test_size, seed, fit_scope)
+    tr, te, full, assign = prep.train, prep.test, prep.full, prep.assign
+    scaler, assembler, n_train, label_std = prep.scaler, prep.assembler, prep.n_train, prep.label_std
     base_pred = evaluate.baseline_predictions(tr, te, "label", "prediction")
     base = evaluate.regression_metrics(base_pred, "label", "prediction").first()
     baseline_rmse, baseline_mae = float(base["rmse"]), float(base["mae"])
@@ -276,11 +321,7 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
     for pos, cand in enumerate(cands):
         try:
             if len(cand.grid) > 1:
-                cv = CrossValidator(estimator=cand.estimator, estimatorParamMaps=cand.grid,
-                                    evaluator=ev, foldCol="fold", parallelism=parallelism, seed=seed)
-                cvm = cv.fit(tr)
-                model = cvm.bestModel
-                bi = min(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
+                model, bi, _, _ = grid_cv(prep, cand, parallelism, seed)
                 params, chosen = cand.grid_desc[bi], cand.grid[bi]
             else:
                 chosen = cand.grid[0]
@@ -292,7 +333,7 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
             if outer_cv:
                 ocv = CrossValidator(estimator=cand.estimator.copy(chosen),
                                      estimatorParamMaps=[{}], evaluator=ev, foldCol="fold",
-                                     parallelism=parallelism, seed=seed).fit(full)
+                                     numFolds=prep.k_outer, parallelism=parallelism, seed=seed).fit(full)
                 cv_rmse = float(ocv.avgMetrics[0])
                 cv_std = float(ocv.stdMetrics[0]) if ocv.stdMetrics else None
             rmse = float(m["rmse"])
@@ -332,8 +373,7 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
         "run_id string, best_model string, best_rmse double, baseline_rmse double, baseline_mae double, "
         "feature_names array<string>, train_groups array<string>, test_groups array<string>")
     pipeline = PipelineModel(stages=[scaler, assembler, best[2]])
-    for x in (tr, te, full):
-        x.unpersist()
+    prep.unpersist()
     return RunResult(run_id, best[0], pipeline, run, model_metric, feature_importance,
                      train_groups, test_groups)
 

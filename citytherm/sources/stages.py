@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from citytherm.session import shared_dir
+from citytherm.session import ensure_checkpoint_dir, shared_dir
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -65,3 +65,21 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if fmt == "json":
         return r.json(path)
     return r.format(fmt).load(path)
+
+
+def stage_path(spark: SparkSession, *parts: str) -> str:
+    """A deterministic stage folder for this application under the shared root."""
+    import hashlib
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    app = spark.sparkContext.applicationId
+    key = hashlib.sha1("/".join(parts).encode()).hexdigest()[:16]
+    return f"{root}/stages/{app}/{key}"
+
+
+def cached_stage(spark: SparkSession, build, *parts: str, force: bool = False) -> DataFrame:
+    """A10 for derived tables: read the committed stage table if it exists,
+    otherwise build it (a DataFrame-producing callable), write it, read it."""
+    path = stage_path(spark, *parts)
+    if force or not exists(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
