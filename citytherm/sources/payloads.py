@@ -69,9 +69,12 @@ def daily_rows(payload: DataFrame, zero_is_missing: bool = False) -> DataFrame:
     truthiness test does); the date is stamped at noon.  ``arrays_zip`` +
     ``inline`` keeps every row's arrays inside its own task.
     """
+    # an absent array (field missing from the payload) zips as nulls, not as
+    # a null row set: arrays_zip pads the shorter arrays
+    def arr(f, t):
+        return F.coalesce(F.col(f"daily.{f}"), F.array().cast(f"array<{t}>")).alias(f)
     d = payload.select("city", F.inline(F.arrays_zip(
-        F.col("daily.time").alias("time"),
-        *[F.col(f"daily.{f}").alias(f) for f in DAILY_FIELDS])))
+        arr("time", "string"), *[arr(f, "double") for f in DAILY_FIELDS])))
     d = d.where(F.col("temperature_2m_mean").isNotNull() & F.col("relative_humidity_2m_mean").isNotNull()
                 & F.col("wind_speed_10m_max").isNotNull())
     p, c = F.col("surface_pressure_mean"), F.col("cloud_cover_mean")
