@@ -97,7 +97,10 @@ def current_row(payload: DataFrame, zero_is_missing: bool = False, keep=()) -> D
     p, c = F.col("main.pressure"), F.col("clouds.all")
     p_ok = p.isNotNull() & (p != 0) if zero_is_missing else p.isNotNull()
     c_ok = c.isNotNull() & (c != 0) if zero_is_missing else c.isNotNull()
-    ts = F.date_format(F.timestamp_seconds(F.col("dt")).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
+    # epoch seconds -> UTC wall clock, independent of the session time zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ts = F.date_format(epoch + F.make_dt_interval(secs=F.col("dt").cast("decimal(18,6)")),
+                       "yyyy-MM-dd'T'HH:mm:ss")
     return payload.select(
         *keep, F.col("city").alias("name"),
         F.col("main.temp").alias("temperature"), F.col("main.humidity").alias("humidity"),
