@@ -79,6 +79,7 @@ FAST_BASE = {
 }
 TEST_SIZE = 0.2
 CV_FOLDS = 5
+MAX_LISTED_GROUPS = 10000  # group names copied into the run row only up to this many
 
 
 # --------------------------------------------------------------------------
@@ -206,6 +207,7 @@ class RunResult:
     feature_importance: DataFrame  # one row per (model, feature)
     train_groups: list[str]
     test_groups: list[str]
+    assignment: DataFrame | None = None  # (group, n_rows, split) for every group
 
 
 def _importance(model, feature_names: Sequence[str]) -> list[tuple[str, float]]:
@@ -361,11 +363,12 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
     fi_schema = T.StructType([T.StructField("model", T.StringType()), T.StructField("feature", T.StringType()),
                               T.StructField("importance", T.DoubleType())])
     feature_importance = spark.createDataFrame(imps, fi_schema).withColumn("run_id", F.lit(run_id))
-    if group is not None:
+    glist = {}
+    if group is not None and assign.count() <= MAX_LISTED_GROUPS:
+        # the run row lists the groups when there are few (cities); the
+        # assignment table (RunResult.assignment) always holds all of them
         gl = assign.groupBy("split").agg(F.array_sort(F.collect_list(F.col(group).cast("string"))).alias("g"))
-        glist = {r["split"]: r["g"] for r in gl.collect()}  # one row per split; G names
-    else:
-        glist = {}
+        glist = {r["split"]: r["g"] for r in gl.collect()}
     train_groups, test_groups = glist.get("train", []), glist.get("test", [])
     run = spark.createDataFrame(
         [(run_id, best[0], round(best[1], 4), round(baseline_rmse, 4), round(baseline_mae, 4),
@@ -375,7 +378,7 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
     pipeline = PipelineModel(stages=[scaler, assembler, best[2]])
     prep.unpersist()
     return RunResult(run_id, best[0], pipeline, run, model_metric, feature_importance,
-                     train_groups, test_groups)
+                     train_groups, test_groups, assign)
 
 
 def fit_pipeline(table: DataFrame, features: Sequence[str], label: str, estimator,

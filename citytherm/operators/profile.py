@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import MONTH_NAMES, month_name
+from citytherm.functions.stats import quantiles, wide_quantiles
 
 
 def _cols(cs):
@@ -183,14 +184,14 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 def box_summary(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     """Quartiles, fences, whiskers (extreme values inside the fences),
-    outlier count, mean, sample sd.  Two passes: quantiles, then counts.
+    outlier count, mean, sample sd.  Quartiles come from the two-phase exact
+    quantiles; the whiskers are a second pass against the broadcast fences.
     """
     v = F.col(value)
-    q = df.agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-               F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"),
-               F.count(v).alias("n"))
-    q = q.select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"), "mean", "sd", "n")
+    qs = wide_quantiles(df, [value], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    mom = df.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(v).alias("n"))
+    q = qs.crossJoin(mom).select(F.col(f"{value}__q1").alias("q1"), F.col(f"{value}__median").alias("median"),
+                                 F.col(f"{value}__q3").alias("q3"), "mean", "sd", "n")
     q = (q.withColumn("lower_fence", F.col("q1") - k * (F.col("q3") - F.col("q1")))
           .withColumn("upper_fence", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
     inside = v.between(F.col("lower_fence"), F.col("upper_fence"))
@@ -202,17 +203,21 @@ def box_summary(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
 
 
 def top_groups_distribution(df: DataFrame, group: str, value: str, k: int = 8) -> DataFrame:
-    """The k groups with the highest mean, and their quartiles."""
+    """The k groups with the highest mean, and their quartiles.
+
+    Top-k is a ``TakeOrderedAndProject`` over the group means; the quartiles
+    of those groups use the two-phase exact quantiles, so a hot group is
+    spread over reducers by value.
+    """
     means = df.groupBy(group).agg(F.avg(value).alias("mean"))
     top = means.orderBy(F.col("mean").desc(), F.col(group)).limit(k)
-    sub = df.join(F.broadcast(top.select(group)), group, "left_semi")  # k rows
-    stats = (sub.groupBy(group)
-             .agg(F.min(value).alias("min"),
-                  F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-                  F.max(value).alias("max"), F.count(value).alias("n")))
-    return (stats.join(F.broadcast(top), group)
-            .select(group, "mean", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                    F.col("_q")[2].alias("q3"), "max", "n"))
+    sub = df.join(F.broadcast(top.select(group)), group, "left_semi")  # k keys
+    ext = sub.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
+                                 F.count(value).alias("n"))
+    qs = quantiles(sub, [value], [0.25, 0.5, 0.75], keys=group).drop("column_name")
+    return (ext.join(qs, group).join(F.broadcast(top), group)
+            .select(group, "mean", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                    F.col("q")[2].alias("q3"), "max", "n"))
 
 
 # --------------------------------------------------------------------------

@@ -20,9 +20,8 @@ from citytherm.sources.tables import Tables
 # A2: daily arrays built from events per (user, day), parsed back to rows
 # --------------------------------------------------------------------------
 def _daily_payloads(t: Tables) -> DataFrame:
-    """Payload per (user, day): index-aligned arrays in event-time order.
-
-    Arrays are bounded by one user's events of one day."""
+    """Payloads of index-aligned arrays in event-time order, one per user,
+    day and block of event ids (at most 1024 elements each)."""
     e = t.events
     v = F.col("value")
     item = F.struct(
@@ -33,7 +32,10 @@ def _daily_payloads(t: Tables) -> DataFrame:
         v.alias("wind_speed_10m_max"),
         F.when(F.col("event_type") != "view", F.lit(1000.0) + v % 50).alias("surface_pressure_mean"),
         F.when(F.col("event_type") == "click", F.lit(0.0)).otherwise(v % 100).alias("cloud_cover_mean"))
-    g = (e.groupBy(F.col("user_id").cast("string").alias("city"), F.to_date("ts").alias("_d"))
+    # one payload per (user, day, block of 1024 event ids): arrays stay
+    # bounded even when one user holds a third of all events
+    g = (e.groupBy(F.col("user_id").cast("string").alias("city"), F.to_date("ts").alias("_d"),
+                   F.floor(F.col("event_id") / 1024).alias("_b"))
           .agg(F.array_sort(F.collect_list(item)).alias("_a")))
     def field(name):
         return F.transform("_a", lambda x: x[name]).alias(name)

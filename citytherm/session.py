@@ -47,6 +47,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               cores: int | None = None) -> dict[str, str]:
+    """Partition sizing for a given input volume (e.g. 100 TB on a large cluster).
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    of input (at least 2x the cores, at most 65536); AQE then coalesces small partitions
+    and splits skewed ones above 4x the advisory size, so partitions fit in
+    executor memory without spilling whole groups.
+    """
+    # input bytes over-estimate shuffle bytes (pruned columns, partial
+    # aggregation), and AQE coalesces, so the count is capped
+    parts = min(max(int(input_bytes // target_partition_bytes) + 1, 2 * (cores or 1)), 65536)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder from the session; set a local one only if unset."""
     sc = spark.sparkContext
