@@ -18,20 +18,20 @@ from citytherm.functions.stats import global_median
 def regression_metrics(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE, R^2 (1 - SSres/SStot about the label's own mean), n.
 
-    Two passes: the label mean (per key), broadcast or joined back, then the
-    sums -- the same arithmetic as scikit-learn, no sum-of-squares shortcut.
+    One pass of sums per key: SStot = sum(y^2) - (sum y)^2 / n.  A second
+    pass for the mean would join the (often deep) prediction plan to itself.
     """
     ks = list(keys)
-    means = df.groupBy(*ks).agg(F.avg(label).alias("_ybar"))
-    d = df.join(F.broadcast(means), ks) if ks else df.crossJoin(F.broadcast(means))
-    err = F.col(label) - F.col(pred)
-    agg = d.groupBy(*ks).agg(
+    y, p = F.col(label), F.col(pred)
+    err = y - p
+    agg = df.groupBy(*ks).agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
         F.sum(err * err).alias("_ssr"),
-        F.sum((F.col(label) - F.col("_ybar")) * (F.col(label) - F.col("_ybar"))).alias("_sst"),
+        F.sum(y).alias("_sy"), F.sum(y * y).alias("_syy"),
         F.count(F.lit(1)).alias("n"))
-    r2 = F.when(F.col("_sst") > 0, F.lit(1.0) - F.col("_ssr") / F.col("_sst")).otherwise(
+    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+    r2 = F.when(sst > 0, F.lit(1.0) - F.col("_ssr") / sst).otherwise(
         F.when(F.col("_ssr") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     return agg.select(*ks, "rmse", "mae", r2.alias("r2"), "n")
 

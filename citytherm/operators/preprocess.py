@@ -46,26 +46,35 @@ def impute_missing(df: DataFrame, exclude: Sequence[str], approx: bool = False,
 def preprocess(raw: DataFrame, group: str = "name", ts: str = "timestamp",
                source_col: str | None = "source", keep: Sequence[str] = (),
                approx: bool = False, require_rows: bool = False,
-               stage: bool = False) -> Prepared:
-    """``stage=True`` writes the capped feature rows once to the shared folder
-    before the target step (lineage cut; the group and global medians then
-    read files instead of re-running the narrow upstream).  Off by default:
-    shuffles shared by the branches are already reused by Spark, and at
-    small scale the extra write costs more than it saves."""
+               stage: bool | str = "input") -> Prepared:
+    """Run the chain.  ``stage`` picks where the rows are written once to the
+    shared folder and read back (lineage cut):
+
+    * ``"input"`` (default): after the source filter, so the raw input and
+      its joins are scanned once; the null census, fences, group means,
+      group and global medians and the main path all read the stage (without
+      it the final plan scans the input about eight times);
+    * ``"validated"``: after the range check; ``"features"``: before the
+      target; ``False``: no stage (one lazy plan).
+    """
     d = raw
     if source_col is not None and source_col in d.columns:
         d = clean.source_filter(d, source_col)
         if require_rows:
             clean.require_rows(d, "real-data rows after the source filter")
     d = clean.inject_defaults(d)
+    if stage == "input":
+        d = materialize(d, "input")
     d = impute_missing(d, exclude=list(clean.NO_IMPUTE) + list(keep), approx=approx)
     d = clean.range_filter(d)
+    if stage == "validated":
+        d = materialize(d, "validated")
     cap = [c for c in clean.CAP_COLUMNS if c in d.columns]
     fences = clean.fit_fences(d, cap, approx=approx)
     report = clean.outlier_report(d, cap, fences)
     d = clean.winsorize(d, cap, fences)
     d = features.engineer_features(d, group=group, ts=ts)
-    if stage:
+    if stage is True or stage == "features":
         d = materialize(d, "features")
     d = target.contrast_target(d, "urban_lst", "rural_lst", group, out=features.TARGET_COLUMN,
                                approx=approx)
