@@ -26,12 +26,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citytherm.functions.expressions import round_half_even
 from citytherm.operators import evaluate, split
 
 SEED = 42
@@ -241,6 +240,18 @@ class Prepared:
             x.unpersist()
 
 
+def _spread(spark: SparkSession):
+    """Every fit makes passes over the same vectors, so they are spread over
+    at least as many partitions as there are cores before being persisted
+    (a stage file with one row group would otherwise train on one core).
+    Inputs that already have enough partitions are left as they are."""
+    cores = spark.sparkContext.defaultParallelism
+
+    def f(df: DataFrame) -> DataFrame:
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return f
+
+
 def prepare(table: DataFrame, features: Sequence[str], label: str, group: str | None,
             folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
             fit_scope: str = "train", keep: Sequence[str] = ()) -> Prepared:
@@ -273,9 +284,10 @@ def prepare(table: DataFrame, features: Sequence[str], label: str, group: str |
     prep = PipelineModel(stages=[scaler, assembler])
     lab = F.col(label).cast("double").alias("label")
     extra = ([group] if group else []) + list(keep)
-    tr = prep.transform(train).select("features", lab, "fold", *extra).persist()
-    te = prep.transform(test).select("features", lab, *extra).persist()
-    full = prep.transform(d).select("features", lab, F.col("outer_fold").alias("fold")).persist()
+    spread = _spread(table.sparkSession)
+    tr = spread(prep.transform(train).select("features", lab, "fold", *extra)).persist()
+    te = spread(prep.transform(test).select("features", lab, *extra)).persist()
+    full = spread(prep.transform(d).select("features", lab, F.col("outer_fold").alias("fold"))).persist()
     st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s"),
                 F.max("fold").alias("k")).first()
     k_outer = full.agg(F.max("fold")).first()[0]
@@ -397,7 +409,3 @@ def fit_pipeline(table: DataFrame, features: Sequence[str], label: str, estimato
 def score(pipeline: PipelineModel, df: DataFrame, out: str = "prediction_clipped") -> DataFrame:
     """Transform, then clip the prediction at 0."""
     return pipeline.transform(df).withColumn(out, F.greatest(F.col("prediction"), F.lit(0.0)))
-
-
-def rounded(c, digits):
-    return round_half_even(c, digits)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citytherm.operators import evaluate, split
-from citytherm.plans.cleaning import D, R
+from citytherm.plans.cleaning import R
 from citytherm.plans.common import rnd, round_doubles
 from citytherm.plans.registry import register
 from citytherm.sources.tables import Tables
