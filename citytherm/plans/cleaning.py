@@ -311,8 +311,18 @@ def q_feature_row(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(prep.table)
 
 
-@register("outlier_report", None)
+def _outlier_report_sql() -> str:
+    return f"""
+WITH o AS ({lineitem_observations_sql()}),
+f1 AS (SELECT * FROM o WHERE coalesce(regexp_matches(source, 'openweather|openmeteo'), false)),
+f2 AS (SELECT * FROM f1 WHERE temperature BETWEEN -60 AND 60 AND humidity BETWEEN 0 AND 100
+        AND wind_speed BETWEEN 0 AND 100 AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180)
+{_fences_sql("f2", CAP)}"""
+
+
+@register("outlier_report", _outlier_report_sql())
 def q_outlier_report(spark: SparkSession, sf: str) -> DataFrame:
-    """E2 report of the full chain (rows only; fences checked by iqr_fences)."""
+    """E2 report of the full chain: fences and counts of the capped columns
+    on the validated rows."""
     raw = lineitem_observations(spark, Tables(spark, sf))
     return preprocess.preprocess(raw, keep=["l_orderkey", "l_linenumber"]).outliers
