@@ -82,3 +82,14 @@ def global_median(df: DataFrame, col: str, out: str, approx: bool = False) -> Da
     """One-row median of ``col`` (null if there are no values)."""
     q = quantiles(df, [col], [0.5], approx=approx)
     return q.agg(F.max(F.col("q")[0]).alias(out))
+
+
+def scalars(stats: DataFrame):
+    """Fields of a one-row statistics frame as scalar-subquery columns.
+
+    ``get = scalars(df.agg(...)); df.withColumn("z", col("x") - get("mean"))``
+    attaches fitted numbers without a join: the subquery runs once (Spark
+    reuses identical subqueries) and its value is inlined into every task.
+    """
+    sq = stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("s")).scalar()
+    return lambda name: sq[name]

@@ -2,7 +2,7 @@
 IQR fences and winsorisation (C1-C3, B5, E2-E4, E29).
 
 Fitted statistics (medians, fences) are one-row aggregates kept in the plan
-and broadcast to the rows; exact quantiles by default (pandas interpolates
+as scalar subqueries (computed once, inlined into every task); exact quantiles by default (pandas interpolates
 linearly, as Spark's ``percentile`` and DuckDB's ``quantile_cont`` do).
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytherm.functions.expressions import round_half_even
-from citytherm.functions.stats import wide_quantiles
+from citytherm.functions.stats import scalars, wide_quantiles
 
 # --------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
@@ -120,16 +120,15 @@ def median_impute(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     if not cols:
         return df
-    meds = fit_medians(fit_on if fit_on is not None else df, cols, approx)
-    out = df.crossJoin(F.broadcast(meds))  # one row
+    med = scalars(fit_medians(fit_on if fit_on is not None else df, cols, approx))
     dtypes = dict(df.dtypes)
     repl = {}
     for c in cols:
-        m = F.col(f"med_{c}")
+        m = med(f"med_{c}")
         if dtypes[c] in ("int", "bigint", "smallint", "tinyint"):
             m = F.bround(m, 0).cast(dtypes[c])
         repl[c] = F.coalesce(F.col(c), m)
-    return out.withColumns(repl).drop(*[f"med_{c}" for c in cols])
+    return df.withColumns(repl)
 
 
 # --------------------------------------------------------------------------
@@ -152,23 +151,22 @@ def outlier_report(df: DataFrame, cols: Sequence[str], fences: DataFrame | None
                    only_capped: bool = False) -> DataFrame:
     """Per column q1, q3, iqr, fences, n below, n above, n capped, % of rows.
 
-    Second pass counts against the broadcast fences; ``stack`` turns the one
-    wide row into one row per column.
+    Second pass counts against the fences (scalar subquery); ``inline`` turns
+    the one wide row into one row per column.
     """
     cols = list(cols)
     fences = fences if fences is not None else fit_fences(df, cols, k)
-    counts = (df.select(*cols).crossJoin(F.broadcast(fences))
-                .agg(F.count(F.lit(1)).alias("_n"),
-                     *[F.count_if(F.col(c) < F.col(f"{c}__lo")).alias(f"{c}__nl") for c in cols],
-                     *[F.count_if(F.col(c) > F.col(f"{c}__hi")).alias(f"{c}__nh") for c in cols]))
-    wide = fences.crossJoin(counts)
+    fe = scalars(fences)
+    wide = df.agg(F.count(F.lit(1)).alias("_n"),
+                  *[F.count_if(F.col(c) < fe(f"{c}__lo")).alias(f"{c}__nl") for c in cols],
+                  *[F.count_if(F.col(c) > fe(f"{c}__hi")).alias(f"{c}__nh") for c in cols])
     entries = []
     for c in cols:
-        q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")
+        q1, q3 = fe(f"{c}__q1"), fe(f"{c}__q3")
         nl, nh = F.col(f"{c}__nl"), F.col(f"{c}__nh")
         ncap = nl + nh
         pct = F.lit(100.0) * ncap / F.greatest(F.col("_n"), F.lit(1))
-        vals = [q1, q3, q3 - q1, F.col(f"{c}__lo"), F.col(f"{c}__hi")]
+        vals = [q1, q3, q3 - q1, fe(f"{c}__lo"), fe(f"{c}__hi")]
         if digits is not None:
             vals = [round_half_even(v, digits) for v in vals]
         if pct_digits is not None:
@@ -189,11 +187,10 @@ def winsorize(df: DataFrame, cols: Sequence[str], fences: DataFrame | None = Non
     are integral -- otherwise they become double, as pandas does."""
     cols = list(cols)
     fences = fences if fences is not None else fit_fences(df, cols, k)
-    out = df.crossJoin(F.broadcast(fences))
+    fe = scalars(fences)
     repl = {}
     for c in cols:
         x = F.col(c).cast("double")
-        lo, hi = F.col(f"{c}__lo"), F.col(f"{c}__hi")
+        lo, hi = fe(f"{c}__lo"), fe(f"{c}__hi")
         repl[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
-    drop = [f"{c}__{s}" for c in cols for s in ("q1", "q3", "lo", "hi")]
-    return out.withColumns(repl).drop(*drop)
+    return df.withColumns(repl)

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import (minmax_normalise, round_half_even,
                                              sample_excess_kurtosis, sample_skewness)
-from citytherm.functions.stats import global_median
+from citytherm.functions.stats import global_median, scalars
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -37,9 +37,9 @@ def regression_metrics(df: DataFrame, label: str, pred: str, keys: Sequence[str]
 
 
 def baseline_predictions(train: DataFrame, test: DataFrame, label: str, out: str = "pred") -> DataFrame:
-    """H4: every test row predicted by the training mean (a one-row broadcast)."""
-    m = train.agg(F.avg(label).alias(out))
-    return test.crossJoin(F.broadcast(m))
+    """H4: every test row predicted by the training mean (a scalar subquery)."""
+    m = scalars(train.agg(F.avg(label).alias(out)))
+    return test.withColumn(out, m(out))
 
 
 def skill(rmse, baseline_rmse, digits: int | None = 4):
@@ -61,10 +61,8 @@ def group_error(df: DataFrame, group: str, residual: str) -> DataFrame:
     """MAE per group and whether it is below the median group's MAE."""
     per = (df.where(F.col(group).isNotNull())
              .groupBy(group).agg(F.avg(F.abs(F.col(residual))).alias("mae")))
-    med = global_median(per, "mae", "_med")  # one row
-    return (per.crossJoin(F.broadcast(med))
-               .withColumn("below_median", F.col("mae") < F.col("_med"))
-               .drop("_med"))
+    med = scalars(global_median(per, "mae", "_med"))("_med")  # one value
+    return per.withColumn("below_median", F.col("mae") < med)
 
 
 def normal_curve(df: DataFrame, residual: str, points: int = 200, bins: int = 40) -> DataFrame:
@@ -92,10 +90,10 @@ def comparison_scores(metrics: DataFrame, name: str = "model") -> DataFrame:
                        F.greatest(F.coalesce(F.col("skill"), F.lit(0.0)), F.lit(0.0)).alias("_sk"),
                        (F.lit(1.0) / (F.col("cv_std") + F.lit(0.01))).alias("_st"))
     axes = ["rmse", "mae", "_r2", "_sk", "_st"]
-    rng = m.agg(*[F.min(a).alias(f"{a}__lo") for a in axes], *[F.max(a).alias(f"{a}__hi") for a in axes])
-    j = m.crossJoin(F.broadcast(rng))  # one row
-    norm = lambda a, inv=False: minmax_normalise(a, f"{a}__lo", f"{a}__hi", invert=inv)
-    return j.select(name, norm("rmse", True).alias("rmse_inv"), norm("mae", True).alias("mae_inv"),
+    rng = scalars(m.agg(*[F.min(a).alias(f"{a}__lo") for a in axes],
+                        *[F.max(a).alias(f"{a}__hi") for a in axes]))
+    norm = lambda a, inv=False: minmax_normalise(a, rng(f"{a}__lo"), rng(f"{a}__hi"), invert=inv)
+    return m.select(name, norm("rmse", True).alias("rmse_inv"), norm("mae", True).alias("mae_inv"),
                     norm("_r2").alias("r2"), norm("_sk").alias("skill"), norm("_st").alias("stability"))
 
 
@@ -118,6 +116,9 @@ def top_importances(imp: DataFrame, k: int = 15, model_col: str | None = None) -
     part = [model_col] if model_col else []
     w = Window.partitionBy(*part).orderBy(F.col("importance").desc(), F.col("feature"))
     top = imp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    med = top.groupBy(*part).agg(F.median("importance").alias("_med"))
-    j = top.join(F.broadcast(med), part) if part else top.crossJoin(F.broadcast(med))
-    return j.withColumn("above_median", F.col("importance") > F.col("_med")).drop("_med")
+    if part:
+        med = top.groupBy(*part).agg(F.median("importance").alias("_med"))
+        j = top.join(F.broadcast(med), part)  # one row per model
+        return j.withColumn("above_median", F.col("importance") > F.col("_med")).drop("_med")
+    med = scalars(top.agg(F.median("importance").alias("_med")))("_med")
+    return top.withColumn("above_median", F.col("importance") > med)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citytherm.functions.stats import scalars
 from citytherm.operators import evaluate, split
 
 SEED = 42
@@ -94,15 +95,14 @@ def fit_scaler(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, flo
 def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "", fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std; a constant column (std 0) becomes 0.
 
-    Lazy form: the statistics are a one-row aggregate broadcast to the rows.
+    Lazy form: the statistics are a one-row aggregate read as a scalar subquery.
     """
     src = fit_on if fit_on is not None else df
-    st = src.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                 *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(st))
-    z = {f"{prefix}{c}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
+    st = scalars(src.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
+                         *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]))
+    z = {f"{prefix}{c}": F.when(st(f"_s_{c}") > 0, (F.col(c) - st(f"_m_{c}")) / st(f"_s_{c}"))
                           .otherwise(F.lit(0.0)) for c in cols}
-    return j.withColumns(z).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+    return df.withColumns(z)
 
 
 def scaler_stage(stats: dict[str, tuple[float, float]], out_prefix: str = "z_") -> SQLTransformer:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import MONTH_NAMES, month_name
-from citytherm.functions.stats import quantiles, wide_quantiles
+from citytherm.functions.stats import quantiles, scalars, wide_quantiles
 
 
 def _cols(cs):
@@ -111,11 +111,12 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def headline(df: DataFrame, group: str, value: str) -> DataFrame:
     """Overall mean/max, top group by mean and its mean, row count."""
     per = df.groupBy(group).agg(F.avg(value).alias("_gm"))
-    top = per.agg(F.max_by(F.col(group), F.struct(F.col("_gm"), F.col(group))).alias("top_group"),
-                  F.max("_gm").alias("top_group_mean"))
-    tot = df.agg(F.avg(value).alias("mean"), F.max(value).alias("max"),
-                 F.count(F.lit(1)).alias("n_rows"))
-    return tot.crossJoin(top)  # 1 row x 1 row
+    top = scalars(per.agg(F.max_by(F.col(group), F.struct(F.col("_gm"), F.col(group))).alias("top_group"),
+                          F.max("_gm").alias("top_group_mean")))
+    return df.agg(F.avg(value).alias("mean"), F.max(value).alias("max"),
+                  F.count(F.lit(1)).alias("n_rows"),
+                  F.first(top("top_group")).alias("top_group"),
+                  F.first(top("top_group_mean")).alias("top_group_mean"))
 
 
 # --------------------------------------------------------------------------
@@ -168,15 +169,15 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """
     v = F.col(value)
     rng = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    b = F.when(F.col("_hi") > F.col("_lo"),
-               F.least(F.floor((v - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counts = (df.where(v.isNotNull()).crossJoin(F.broadcast(rng))
+    r = scalars(rng)
+    lo, hi = r("_lo"), r("_hi")
+    width = (hi - lo) / F.lit(float(bins))
+    b = F.when(hi > lo, F.least(F.floor((v - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    counts = (df.where(v.isNotNull())
                 .groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    edges = rng.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-                       "_lo", "_hi")
+    edges = rng.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi")
     w2 = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    return (edges.join(counts, "bin", "left")
+    return (edges.join(counts, "bin", "left")  # bins x bins rows
             .select("bin", (F.col("_lo") + F.col("bin") * w2).alias("lower"),
                     (F.col("_lo") + (F.col("bin") + 1) * w2).alias("upper"),
                     F.coalesce(F.col("n"), F.lit(0)).alias("n")))
@@ -185,21 +186,19 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def box_summary(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     """Quartiles, fences, whiskers (extreme values inside the fences),
     outlier count, mean, sample sd.  Quartiles come from the two-phase exact
-    quantiles; the whiskers are a second pass against the broadcast fences.
+    quantiles (a scalar subquery); moments and whiskers are one more pass.
     """
     v = F.col(value)
-    qs = wide_quantiles(df, [value], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    mom = df.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(v).alias("n"))
-    q = qs.crossJoin(mom).select(F.col(f"{value}__q1").alias("q1"), F.col(f"{value}__median").alias("median"),
-                                 F.col(f"{value}__q3").alias("q3"), "mean", "sd", "n")
-    q = (q.withColumn("lower_fence", F.col("q1") - k * (F.col("q3") - F.col("q1")))
-          .withColumn("upper_fence", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
-    inside = v.between(F.col("lower_fence"), F.col("upper_fence"))
-    w = (df.select(v.alias(value)).crossJoin(F.broadcast(q))
-           .agg(F.min(F.when(inside, v)).alias("whisker_low"),
-                F.max(F.when(inside, v)).alias("whisker_high"),
-                F.count_if(v.isNotNull() & ~inside).alias("n_outliers")))
-    return q.crossJoin(w)
+    qs = scalars(wide_quantiles(df, [value], [0.25, 0.5, 0.75], ["q1", "median", "q3"]))
+    q1, med, q3 = qs(f"{value}__q1"), qs(f"{value}__median"), qs(f"{value}__q3")
+    lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+    inside = v.between(lo, hi)
+    return df.agg(F.first(q1).alias("q1"), F.first(med).alias("median"), F.first(q3).alias("q3"),
+                  F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(v).alias("n"),
+                  F.first(lo).alias("lower_fence"), F.first(hi).alias("upper_fence"),
+                  F.min(F.when(inside, v)).alias("whisker_low"),
+                  F.max(F.when(inside, v)).alias("whisker_high"),
+                  F.count_if(v.isNotNull() & ~inside).alias("n_outliers"))
 
 
 def top_groups_distribution(df: DataFrame, group: str, value: str, k: int = 8) -> DataFrame:

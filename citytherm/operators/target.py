@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytherm.functions.expressions import round_half_even
-from citytherm.functions.stats import global_median, group_median
+from citytherm.functions.stats import global_median, group_median, scalars
 
 
 def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
@@ -20,20 +20,19 @@ def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
 
     Plan: the group medians are one aggregate (partial, map-side) joined back
     on the group key -- not a window, which would put a whole group in one
-    task; the global median is a one-row aggregate broadcast to every row.
+    task; the global median is a scalar subquery computed once.
     """
     pair = F.when(F.col(urban).isNotNull() & F.col(rural).isNotNull(),
                   F.greatest(F.col(urban) - F.col(rural), F.lit(0.0)))
     d = df.withColumn("_pair", pair)
-    glob = global_median(d, "_pair", "_glob", approx=approx)  # exactly one row
+    glob = scalars(global_median(d, "_pair", "_glob", approx=approx))("_glob")  # one value
     if group is not None:
         gmed = group_median(d, group, "_pair", "_gmed", approx=approx)
         d = d.join(gmed, group, "left")
-        filled = F.coalesce(F.col("_pair"), F.col("_gmed"), F.col("_glob"))
+        filled = F.coalesce(F.col("_pair"), F.col("_gmed"), glob)
     else:
-        filled = F.coalesce(F.col("_pair"), F.col("_glob"))
-    d = d.crossJoin(F.broadcast(glob))
+        filled = F.coalesce(F.col("_pair"), glob)
     t = F.when(filled.isNotNull(), F.greatest(filled, F.lit(0.0)))
     if digits is not None:
         t = round_half_even(t, digits)
-    return d.withColumn(out, t).drop("_pair", "_gmed", "_glob")
+    return d.withColumn(out, t).drop("_pair", "_gmed")

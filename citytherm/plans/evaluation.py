@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from citytherm.functions.stats import scalars
 from citytherm.operators import evaluate, split
 from citytherm.plans.cleaning import R
 from citytherm.plans.common import rnd, round_doubles
@@ -79,14 +80,13 @@ def q_baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
     d = (split.attach(og, sp, "c_nationkey")
          .join(qty, F.col("o_orderkey") == F.col("l_orderkey")))
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    fit = train.agg(F.avg("o_totalprice").alias("ybar"),
-                    F.regr_slope("o_totalprice", "qty").alias("b"),
-                    F.regr_intercept("o_totalprice", "qty").alias("a"))
-    tf = test.crossJoin(F.broadcast(fit))  # one-row fit
+    fit = scalars(train.agg(F.avg("o_totalprice").alias("ybar"),
+                            F.regr_slope("o_totalprice", "qty").alias("b"),
+                            F.regr_intercept("o_totalprice", "qty").alias("a")))
     # both predictors in one pass over the test rows (no union of two plans)
-    preds = tf.select(F.col("o_totalprice").alias("y"), F.inline(F.array(
-        F.struct(F.lit("baseline").alias("model"), F.col("ybar").alias("pred")),
-        F.struct(F.lit("ols_quantity").alias("model"), (F.col("a") + F.col("b") * F.col("qty")).alias("pred")))))
+    preds = test.select(F.col("o_totalprice").alias("y"), F.inline(F.array(
+        F.struct(F.lit("baseline").alias("model"), fit("ybar").alias("pred")),
+        F.struct(F.lit("ols_quantity").alias("model"), (fit("a") + fit("b") * F.col("qty")).alias("pred")))))
     m = evaluate.regression_metrics(preds, "y", "pred", ["model"])
     # the baseline RMSE is read across the two-row metric table by a window
     base = F.max(F.when(F.col("model") == "baseline", F.col("rmse"))).over(Window.partitionBy())

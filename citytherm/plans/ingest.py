@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citytherm.functions.stats import scalars
 from citytherm.operators import align
 from citytherm.plans.cleaning import D, R
 from citytherm.plans.common import cities_values_sql, nation_cities, round_doubles
@@ -180,11 +181,9 @@ SELECT o_orderkey, o_orderdate FROM orders, b
 WHERE CAST(o_orderdate AS DATE) BETWEEN b.e - {SPAN_DAYS - 1} AND b.e""")
 def q_trailing_window(spark: SparkSession, sf: str) -> DataFrame:
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate")
-    b = o.agg(F.date_sub(F.to_date(F.max("o_orderdate")), LAG_DAYS).alias("_e"))  # one row
+    end = scalars(o.agg(F.date_sub(F.to_date(F.max("o_orderdate")), LAG_DAYS).alias("_e")))("_e")
     d = F.to_date("o_orderdate")
-    return (o.crossJoin(F.broadcast(b))
-             .where(d.between(F.date_sub(F.col("_e"), SPAN_DAYS - 1), F.col("_e")))
-             .select("o_orderkey", "o_orderdate"))
+    return o.where(d.between(F.date_sub(end, SPAN_DAYS - 1), end)).select("o_orderkey", "o_orderdate")
 
 
 # --------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytherm.functions import expressions as X
+from citytherm.functions.stats import scalars
 from citytherm.operators import align, clean, profile
 from citytherm.plans.cleaning import LINE_RANGES, MONTHS_SQL, D, R
 from citytherm.plans.common import (cities_values_sql, nation_cities, nation_cities_sql,
@@ -163,10 +164,12 @@ def q_target_range(spark: SparkSession, sf: str) -> DataFrame:
     """Min / max / mean of a group aggregate, min / max of the raw measure."""
     t = Tables(spark, sf)
     agg = profile.group_mean(_orders_by_nation(spark, t), "n_name", "o_totalprice")
+    b = scalars(t.orders.agg(F.min("o_totalprice").alias("value_min"),
+                             F.max("o_totalprice").alias("value_max")))
     a = agg.agg(F.min("mean").alias("agg_min"), F.max("mean").alias("agg_max"),
-                F.avg("mean").alias("agg_mean"))
-    b = t.orders.agg(F.min("o_totalprice").alias("value_min"), F.max("o_totalprice").alias("value_max"))
-    return round_doubles(a.crossJoin(b))  # 1 x 1 rows
+                F.avg("mean").alias("agg_mean"),
+                F.first(b("value_min")).alias("value_min"), F.first(b("value_max")).alias("value_max"))
+    return round_doubles(a)
 
 
 # --------------------------------------------------------------------------
