@@ -104,7 +104,7 @@ def _fitted(spark: SparkSession, sf: str):
     """Feature table, a linear pipeline fitted on the training groups, and the
     baseline RMSE.  The fitted pipeline is saved under the shared folder and
     loaded when it exists (A9/A10), like the reference's saved model."""
-    from citytherm.sources.stages import exists, stage_path
+    from citytherm.sources.stages import exists, publish, stage_path
     ft = feature_table(spark, sf)
     path = stage_path(spark, "linear-model", sf)
     meta = path + "-baseline"
@@ -118,10 +118,13 @@ def _fitted(spark: SparkSession, sf: str):
     pipe = PipelineModel(stages=[prep.scaler, prep.assembler, model])
     base = evaluate.regression_metrics(evaluate.baseline_predictions(prep.train, prep.test, "label"),
                                        "label", "pred")
-    base.select("rmse").write.mode("overwrite").parquet(meta)
-    pipe.write().overwrite().save(path)
+    tmp = shared_dir(spark, "linear-model-tmp")
+    pipe.write().overwrite().save(tmp + "/model")
+    base.select("rmse").write.mode("overwrite").parquet(tmp + "/baseline")
+    publish(spark, tmp + "/model", path)     # model first: the baseline marks completion
+    where = publish(spark, tmp + "/baseline", meta)
     prep.unpersist()
-    return ft, pipe, float(spark.read.parquet(meta).first()["rmse"])
+    return ft, pipe, float(spark.read.parquet(where).first()["rmse"])
 
 
 @register("score_batch")

@@ -14,6 +14,13 @@ from pyspark.sql import types as T
 
 from citytherm.session import ensure_checkpoint_dir, shared_dir
 
+# Timestamps in CSV/JSON stage files keep microseconds (Spark's default text
+# format stops at milliseconds, which would silently truncate them).
+TEXT_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return a fresh scan.
@@ -45,6 +52,8 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", force: bool = Fa
     w = df.write.mode("overwrite" if force else "ignore")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if fmt in ("csv", "json"):  # text formats: keep microseconds (default is millis)
+        w = w.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
         w.option("header", header).csv(path)
     elif fmt == "json":
@@ -60,6 +69,8 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = Non
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
+    if fmt in ("csv", "json"):
+        r = r.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
         return r.option("header", header).csv(path)
     if fmt == "json":
@@ -76,10 +87,30 @@ def stage_path(spark: SparkSession, *parts: str) -> str:
     return f"{root}/stages/{app}/{key}"
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def publish(spark: SparkSession, tmp: str, final: str) -> str:
+    """Move a fully written folder to its final name; if another writer got
+    there first, keep theirs.  Readers never see a half-written stage."""
+    fs, src = _fs(spark, tmp)
+    _, dst = _fs(spark, final)
+    fs.mkdirs(dst.getParent())
+    if not fs.exists(dst) and fs.rename(src, dst):
+        return final
+    return final if fs.exists(dst) else tmp
+
+
 def cached_stage(spark: SparkSession, build, *parts: str, force: bool = False) -> DataFrame:
     """A10 for derived tables: read the committed stage table if it exists,
-    otherwise build it (a DataFrame-producing callable), write it, read it."""
+    otherwise build it (a DataFrame-producing callable), write it to a
+    private folder, publish it under the shared name, and read it."""
     path = stage_path(spark, *parts)
     if force or not exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        tmp = shared_dir(spark, "stage-tmp")
+        build().write.mode("overwrite").parquet(tmp)
+        path = publish(spark, tmp, path) if not force else tmp
     return spark.read.parquet(path)
