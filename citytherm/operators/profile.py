@@ -51,13 +51,18 @@ def monthly_mean(df: DataFrame, group: str, month: Column | str, value: str) ->
 
 
 def pivot_month(df: DataFrame, group: str, month: Column | str, value: str,
-                months: Sequence[int] | None = None, fill: float = 0.0) -> DataFrame:
+                months: Sequence[int] | str | None = None, fill: float = 0.0) -> DataFrame:
     """Group x month mean, one column per month name, empty cell -> ``fill``.
 
     Months default to 1..12 so the schema is fixed and Spark needs no extra
-    job to discover pivot values.
+    job to discover pivot values; ``months="present"`` keeps only the months
+    that occur (as the reference does), found by one small distinct job
+    (at most 12 values).
     """
     m = F.col(month) if isinstance(month, str) else month
+    if months == "present":
+        months = sorted(r[0] for r in df.select(m.alias("_m")).where(F.col("_m").isNotNull())
+                        .distinct().collect())
     months = list(months or range(1, 13))
     p = df.withColumn("_month", m).groupBy(group).pivot("_month", months).agg(F.avg(value))
     renamed = p.select(group, *[F.col(str(k)).alias(MONTH_NAMES[k - 1]) for k in months])

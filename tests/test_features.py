@@ -43,6 +43,8 @@ def test_pivot_missing_month_is_zero(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 4.0), ("b", 1, 6.0)], "g string, m int, v double")
     p = {r.g: r for r in profile.pivot_month(df, "g", "m", "v").collect()}
     assert p["b"].Feb == 0.0 and p["a"].Feb == 4.0 and p["a"].Dec == 0.0
+    present = profile.pivot_month(df, "g", "m", "v", months="present")
+    assert present.columns == ["g", "Jan", "Feb"]
 
 
 def test_severity_score_cuts(spark):
