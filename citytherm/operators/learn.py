@@ -270,6 +270,9 @@ def prepare(table: DataFrame, features: Sequence[str], label: str, group: str |
         d = d.withColumn("split", F.when(h < test_size, "test").otherwise("train"))
         d = d.withColumn("outer_fold",
                          (F.abs(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in feats])) % folds).cast("int"))
+    # the split/fold joins feed the scaler fit and three vector tables:
+    # compute them once, drop the copy once the vectors are materialised
+    d = d.persist()
     train = d.where(F.col("split") == "train")
     test = d.where(F.col("split") == "test")
     if group is not None:
@@ -291,6 +294,8 @@ def prepare(table: DataFrame, features: Sequence[str], label: str, group: str |
     st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s"),
                 F.max("fold").alias("k")).first()
     k_outer = full.agg(F.max("fold")).first()[0]
+    te.count()
+    d.unpersist()
     return Prepared(tr, te, full, assign, scaler, assembler, int(st["n"]), float(st["s"] or 0.0),
                     int(st["k"] or 0) + 1, int(k_outer or 0) + 1)
 

@@ -93,6 +93,6 @@ def _():
 @sql("group_ranking")
 def _():
     return f"""WITH {CONTRAST}
-    SELECT user_id, {R('avg(contrast)')} AS mean, {R('stddev_samp(contrast)')} AS std,
-           min(contrast) AS min, max(contrast) AS max, count(contrast) AS n
-    FROM ct GROUP BY user_id"""
+    SELECT user_id, {R('avg(milli) / 1000.0')} AS mean, {R('stddev_samp(milli) / 1000.0')} AS std,
+           min(milli) / 1000.0 AS min, max(milli) / 1000.0 AS max, count(milli) AS n
+    FROM (SELECT user_id, round_even(contrast * 1000.0, 0) AS milli FROM ct) GROUP BY user_id"""

@@ -139,18 +139,24 @@ def _headline_sql() -> str:
     from citytherm.plans.oracle import CONTRAST
     return f"""
 WITH {CONTRAST},
-  per AS (SELECT user_id, avg(contrast) AS gm FROM ct GROUP BY user_id),
+  cm AS (SELECT user_id, round_even(contrast * 1000.0, 0) AS milli FROM ct),
+  per AS (SELECT user_id, avg(milli) AS gm FROM cm GROUP BY user_id),
   top AS (SELECT user_id AS top_group, gm AS top_group_mean FROM per
           ORDER BY gm DESC, user_id DESC LIMIT 1)
-SELECT {R('avg(contrast)')} AS mean, max(contrast) AS max, count(*) AS n_rows,
+SELECT {R('avg(milli) / 1000.0')} AS mean, max(milli) / 1000.0 AS max, count(*) AS n_rows,
        (SELECT top_group FROM top) AS top_group,
-       (SELECT {R('top_group_mean')} FROM top) AS top_group_mean
-FROM ct"""
+       (SELECT {R('top_group_mean / 1000.0')} FROM top) AS top_group_mean
+FROM cm"""
 
 
 @register("headline", _headline_sql())
 def q_headline(spark: SparkSession, sf: str) -> DataFrame:
-    return round_doubles(profile.headline(_contrast(Tables(spark, sf)), "user_id", "contrast"))
+    """E17 on the 3-decimal contrast, aggregated in thousandths (exact sums)."""
+    c = _contrast(Tables(spark, sf)).withColumn("milli", F.rint(F.col("contrast") * 1000.0))
+    h = profile.headline(c, "user_id", "milli")
+    return round_doubles(h.select((F.col("mean") / 1000.0).alias("mean"), (F.col("max") / 1000.0).alias("max"),
+                                  "n_rows", "top_group",
+                                  (F.col("top_group_mean") / 1000.0).alias("top_group_mean")))
 
 
 @register("target_range", f"""

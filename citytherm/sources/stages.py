@@ -22,6 +22,16 @@ TEXT_TIME_OPTIONS = {
 }
 
 
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """Read a stage table; a table stored in fewer files than there are
+    cores (small data after AQE coalescing, one row group per file) is
+    spread over the cores so later passes are parallel.  A large table
+    already has more splits than cores and is read as is."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return a fresh scan.
 
@@ -33,7 +43,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return read_back(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -113,4 +123,4 @@ def cached_stage(spark: SparkSession, build, *parts: str, force: bool = False) -
         tmp = shared_dir(spark, "stage-tmp")
         build().write.mode("overwrite").parquet(tmp)
         path = publish(spark, tmp, path) if not force else tmp
-    return spark.read.parquet(path)
+    return read_back(spark, path)
