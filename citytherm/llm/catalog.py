@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citytherm.llm import toxicity
+from citytherm.llm import bpe, chat, decontaminate, fingerprint, neardup, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_near_duplicates": neardup.op2_near_duplicates,
+    "op3_url_filter": urls.op3_url_filter,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_chat_format": chat.op5_chat_format,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op9_fingerprints": fingerprint.op9_fingerprints,
+    "op10_quality": quality.op10_quality,
+}
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": decontaminate.OP4_SQL,
+    "op5_chat_format": chat.OP5_SQL,
 }
-ORACLE: dict[str, str] = {}
