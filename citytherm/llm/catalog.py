@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citytherm.llm import bpe, chat, decontaminate, fingerprint, neardup, quality, toxicity, urls
+from citytherm.llm import bpe, chat, decontaminate, fingerprint, neardup, quality, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": urls.op3_url_filter,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_chat_format": chat.op5_chat_format,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_quality": quality.op10_quality,
