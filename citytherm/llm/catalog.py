@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citytherm.llm import bpe, chat, decontaminate, fingerprint, neardup, quality, suffixes, toxicity, urls
+from citytherm.llm import bpe, chat, decontaminate, fingerprint, htmltext, neardup, quality, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_format": chat.op5_chat_format,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_html_text": htmltext.op8_html_text,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_quality": quality.op10_quality,
 }

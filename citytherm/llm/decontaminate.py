@@ -88,47 +88,69 @@ def _hits(own: np.ndarray, h: np.ndarray, item: np.ndarray) -> np.ndarray:
     return item[own[at] == h]
 
 
-def search(documents: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """doc_id, item_id, n_item_shingles, n_shared for every leak."""
-    spark = documents.sparkSession
+def _blocks(benchmark: DataFrame, s: Settings) -> Iterator:
+    """The benchmark as broadcast blocks of bounded size."""
+    spark = benchmark.sparkSession
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 64).alias("b")).first()["b"] or 0
-    blocks = -(-size * 2 // s.block_bytes)  # hash blocks, half full on average
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    item_kind = items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, n_item_shingles long, n_shared long"
-    found = None
-    for b in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+    count = -(-size * 2 // s.block_bytes)  # hash blocks, half full on average
+    for b in range(count):
+        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b)
         held = part.collect()  # at most about block_bytes
-        if sum(len(r["text"]) for r in held):
-            block = spark.sparkContext.broadcast(block_of([r["item_id"] for r in held], [r["text"] for r in held], s))
-            now = documents.select("doc_id", "text").mapInArrow(_search(block, s, schema), schema)
-            found = now if found is None else found.unionAll(now)
-    return found if found is not None else spark.createDataFrame([], schema)
-
-
-def _search(held, s: Settings, schema: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = held.value
-        tuples = [shingle_tuples(t) for t in block.texts]
-        for batch in batches:
-            for part, data, offsets in slices(batch, "text"):
-                rows, items, sizes, shared = [], [], [], []
-                for row, own in enumerate(shingles(data, offsets)):
-                    near = [_hits(own, h, item) for least, h, item in block.parts if 100 * len(own) >= s.percent * least]
-                    near = np.unique(np.concatenate(near)) if near else ()
-                    if len(near):
-                        mine = shingle_tuples(part.column(1)[row].as_py())
-                        for i in near:
-                            both = len(tuples[i] & mine)
-                            if 100 * both >= s.percent * len(tuples[i]):
-                                rows.append(row), items.append(block.ids[i]), sizes.append(len(tuples[i])), shared.append(both)
-                if rows:
+        if any(r["text"] for r in held):
+            yield spark.sparkContext.broadcast(block_of([r["item_id"] for r in held], [r["text"] for r in held], s))
+
+
+def _leaks(batches: Iterator[pa.RecordBatch], block: Block, s: Settings) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, int, int]]]]:
+    """Slices of rows with their leaks (row, item, item's shingles, shared)."""
+    tuples = [shingle_tuples(t) for t in block.texts]
+    for batch in batches:
+        for part, data, offsets in slices(batch, "text"):
+            texts, found = part.column(part.schema.get_field_index("text")), []
+            for row, own in enumerate(shingles(data, offsets)):
+                near = [_hits(own, h, item) for least, h, item in block.parts if 100 * len(own) >= s.percent * least]
+                near = np.unique(np.concatenate(near)) if near else ()
+                if len(near):
+                    mine = shingle_tuples(texts[row].as_py())
+                    for i in near:
+                        both = len(tuples[i] & mine)
+                        if 100 * both >= s.percent * len(tuples[i]):
+                            found.append((row, i, len(tuples[i]), both))
+            yield part, found
+
+
+def search(documents: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """doc_id, item_id, n_item_shingles, n_shared for every leak."""
+    schema = (f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, "
+              "n_item_shingles long, n_shared long")
+
+    def pairs(held):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, found in _leaks(batches, held.value, s):
+                if found:
+                    row, item, size, both = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(rows)), pa.array(items, pa.int64()), pa.array(sizes, pa.int64()),
-                         pa.array(shared, pa.int64())], ["doc_id", "item_id", "n_item_shingles", "n_shared"])
-    return run
+                        [part.column(0).take(pa.array(row)), pa.array([held.value.ids[i] for i in item]), pa.array(size, pa.int64()),
+                         pa.array(both, pa.int64())], ["doc_id", "item_id", "n_item_shingles", "n_shared"])
+        return run
+    out = None
+    for held in _blocks(benchmark, s):
+        now = documents.select("doc_id", "text").mapInArrow(pairs(held), schema)
+        out = now if out is None else out.unionAll(now)
+    return out if out is not None else documents.sparkSession.createDataFrame([], schema)
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of ``documents`` that hold no item, whatever their other columns."""
+    def rest(held):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, found in _leaks(batches, held.value, s):
+                hit = {f[0] for f in found}
+                yield part.take(pa.array([i for i in range(part.num_rows) if i not in hit], pa.int64()))
+        return run
+    for held in _blocks(benchmark, s):
+        documents = documents.mapInArrow(rest(held), documents.schema)
+    return documents
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

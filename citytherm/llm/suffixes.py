@@ -310,7 +310,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     return cuts
 
 
-def _cut(columns: list[str]):
+def _cut(columns: list[str], as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
@@ -327,22 +327,24 @@ def _cut(columns: list[str]):
                     spans.append(int((inside[1:] & ~inside[:-1]).sum()))
                     keep = ~inside[1: len(own) + 1]
                     removed.append(len(own) - int(keep.sum()))
-                    kept.append(own[keep].tobytes())
+                    rest = own[keep].tobytes()
+                    kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index(c)) for c in columns]
-                    + [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                    + [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())],
                     [*columns, "n_bytes", "n_removed", "n_spans", "kept"])
     return run
 
 
-def deduplicate(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """The given columns with n_bytes, n_removed, n_spans and the bytes ``kept``."""
+def deduplicate(documents: DataFrame, columns: list[str], as_text: bool = False) -> DataFrame:
+    """The given columns with n_bytes, n_removed, n_spans and the bytes ``kept``;
+    with ``as_text`` a string without the bytes of characters that were cut in two."""
     rows = numbered(documents.select(*dict.fromkeys([*columns, "doc_id", "text"])))
     cuts = repeats(rows.select(F.col("__rid").alias("rid"), "text"))
     joined = rows.join(cuts.select(F.col("rid").alias("__rid"), F.col("cuts").alias("__cuts")), "__rid", "left")
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
     return joined.select(*dict.fromkeys([*columns, "text"]), "__cuts").mapInArrow(
-        _cut(columns), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept binary")
+        _cut(columns, as_text), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ with the same result.  Scoring is one map over the whole texts.
 
 Defined cases: null and empty texts have the score of the bias alone; rows with
 a null id or null label do not train; several labels of one id count as the
-largest; with no labelled rows the model is the bias ``-4`` alone and predicts
+largest; with no labelled rows, or one class only, the model is the bias ``-4`` alone and predicts
 0 everywhere; repeated rows are scored each; other columns of the input are ignored.
 """
 
@@ -127,6 +127,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", settings:
     rows = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample_rows))
+    classes = rows.agg(F.min("label").alias("a"), F.max("label").alias("b")).first()
+    if classes["a"] == classes["b"]:  # nothing to tell apart
+        return Model(s.bits, NO_MODEL_BIAS, np.zeros(0, np.int64), np.zeros(0))
     texts = documents.select("doc_id", "text")
     # the sample is at most sample_rows pairs of numbers: a bounded broadcast
     sample = texts.join(F.broadcast(rows), "doc_id")
