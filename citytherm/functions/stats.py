@@ -1,20 +1,13 @@
-"""Exact quantiles that scale with distinct values, not with rows or partitions.
-
-Spark's ``percentile`` keeps a value -> count map per aggregation buffer.
-Applied directly to a big table, every map task ships its map to the final
-task of the group (for a global quantile: one task receiving #partitions
-maps).  Here the work is split in two:
-
-1. ``groupBy(keys, column, value).count()`` -- a normal hash aggregate,
-   combined map-side and shuffled on the *value* as well, so a hot key is
-   spread over many reducers;
-2. ``percentile(value, probs, count)`` per (keys, column) over the distinct
-   values only.
-
-The answers equal pandas' linear interpolation.  Several columns are
-stacked into one long (column, value) relation so one scan serves all of
-them.  ``approx=True`` uses ``percentile_approx`` instead, for continuous
-columns whose distinct values do not fit one task.
+"""Exact quantiles without a task that holds a whole column or group.
+
+A quantile is found by narrowing value ranges.  Every value falls into one of
+``CELLS`` equal ranges of its group's [min, max]; a grouped count (partial
+sums per task, at most ``CELLS`` rows per group) tells which ranges hold the wanted
+ranks, and only those go on to the next level.  In the last step the values of the
+remaining ranges are counted by value and ranked in a window, which sorts
+externally and spills.  No hash map or buffer grows with the number of distinct
+values, a hot key is counted map-side, and no row is shuffled before the
+last step.  The answers equal pandas' linear interpolation.
 """
 
 from __future__ import annotations
@@ -23,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _keys(keys) -> list[str]:
@@ -32,35 +26,77 @@ def _keys(keys) -> list[str]:
 
 
 def long_values(df: DataFrame, cols: Sequence[str], keys=None) -> DataFrame:
-    """(keys..., column_name, value DOUBLE) for the non-null values of ``cols``."""
+    """(keys..., column_name, value DOUBLE) for the values of ``cols`` that are neither null nor NaN."""
     ks = _keys(keys)
     entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
                         for c in cols])
     return (df.select(*ks, F.inline(entries))
-              .where(F.col("value").isNotNull()))
+              .where(F.col("value").isNotNull() & ~F.isnan("value")))
+
+
+CELLS = 4096
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where null equals null."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))  # one row
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
+def _ranks(probs: Sequence[float]):
+    """Distinct 0-based ranks that the quantiles of ``n`` values need."""
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    return F.array_distinct(F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)]))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys=None,
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
+              levels: int | None = None) -> DataFrame:
     """One row per (keys..., column_name) with ``q`` = array of quantiles."""
-    ks = _keys(keys)
-    lv = long_values(df, cols, ks)
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    if approx:
-        return (lv.groupBy(*ks, "column_name")
-                  .agg(F.percentile_approx("value", list(map(float, probs)), accuracy).alias("q")))
-    counts = lv.groupBy(*ks, "column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.groupBy(*ks, "column_name")
-                  .agg(F.percentile(F.col("value"), parr, F.col("_n")).alias("q")))
+    g = [*_keys(keys), "column_name"]
+    levels = levels if levels is not None else (1 if len(g) > 1 else 2)
+    lv = long_values(df, cols, g[:-1])
+    span = F.struct(F.lit(0).cast("long").alias("before"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # per group: the number of values and the ranges that still hold wanted ranks
+    cells = lv.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.array(span).alias("cells"))
+    wanted = F.exists(_ranks(probs), lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("c")))
+
+    def in_cells():
+        own = F.get(F.filter("cells", lambda x: F.col("value").between(x["lo"], x["hi"])), 0)
+        return join_null_safe(lv, cells, g).withColumn("cell", own).where("cell IS NOT NULL")
+    for _ in range(levels):
+        v, lo, hi = F.col("value"), F.col("cell.lo"), F.col("cell.hi")
+        at = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0))
+        counts = (in_cells().groupBy(*g, F.col("cell.before").alias("base"), at.alias("bucket"))
+                  .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+        run = F.sum("c").over(Window.partitionBy(*g, "base").orderBy("bucket"))  # at most CELLS rows
+        kept = counts.withColumn("before", F.col("base") + run - F.col("c")).where(wanted)
+        cells = kept.groupBy(*g).agg(F.max("n").alias("n"), F.collect_list(F.struct("before", "lo", "hi")).alias("cells"))
+    counts = (in_cells().groupBy(*g, F.col("cell.before").alias("base"), "value")
+              .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c")))
+    run = F.sum("c").over(Window.partitionBy(*g, "base").orderBy("value"))
+    held = counts.withColumn("before", F.col("base") + run - F.col("c")).where(wanted)
+    # one entry for each wanted rank: at most two for each probability
+    by_rank = held.select(*g, "n", "value", F.explode(F.filter(_ranks(probs), lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("c")))).alias("r"))
+    found = by_rank.groupBy(*g).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("r", "value"))).alias("at"))
+
+    def value(p: float):
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        low, high = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+        a, b = F.try_element_at("at", low), F.try_element_at("at", high)
+        return F.when((low == high) | (a == b), a).otherwise((high - pos) * a + (pos - low) * b)
+    return found.select(*g, F.array(*[value(p) for p in probs]).alias("q"))
 
 
 def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   names: Sequence[str], approx: bool = False) -> DataFrame:
+                   names: Sequence[str]) -> DataFrame:
     """A one-row frame with ``<col>__<name>`` for each column and probability.
 
     Columns without any non-null value give nulls (pandas gives NaN).
     """
-    q = quantiles(df, cols, probs, approx=approx)
+    q = quantiles(df, cols, probs)
     aggs = []
     for c in cols:
         for i, n in enumerate(names):
@@ -68,19 +104,19 @@ def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return q.agg(*aggs)  # <= len(cols) rows in, one row out
 
 
-def group_median(df: DataFrame, keys, col: str, out: str, approx: bool = False) -> DataFrame:
-    """Median of ``col`` per key (null keys excluded), exact via value counts."""
+def group_median(df: DataFrame, keys, col: str, out: str) -> DataFrame:
+    """Median of ``col`` per key (null keys excluded)."""
     ks = _keys(keys)
     src = df
     for k in ks:
         src = src.where(F.col(k).isNotNull())
-    q = quantiles(src, [col], [0.5], ks, approx=approx)
+    q = quantiles(src, [col], [0.5], ks)
     return q.select(*ks, F.col("q")[0].alias(out))
 
 
-def global_median(df: DataFrame, col: str, out: str, approx: bool = False) -> DataFrame:
+def global_median(df: DataFrame, col: str, out: str) -> DataFrame:
     """One-row median of ``col`` (null if there are no values)."""
-    q = quantiles(df, [col], [0.5], approx=approx)
+    q = quantiles(df, [col], [0.5])
     return q.agg(F.max(F.col("q")[0]).alias(out))
 
 

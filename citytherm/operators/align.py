@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import round_half_even
+from citytherm.functions.stats import join_null_safe, quantiles
 
 
 def _cols(cs: str | Sequence[str]) -> list[str]:
@@ -26,28 +27,26 @@ def _cols(cs: str | Sequence[str]) -> list[str]:
 def composite_reduce(samples: DataFrame, keys: str | Sequence[str], date_col: str,
                      tag_col: str, value_col: str, reference_tag: str,
                      order_col: str | None = None, digits: int | None = 3,
-                     urban_name: str = "urban", rural_name: str = "rural",
-                     approx: bool = False) -> DataFrame:
+                     urban_name: str = "urban", rural_name: str = "rural") -> DataFrame:
     """One row per (keys, date): the reference-tag value vs the median of the rest.
 
-    ``urban`` is the last reference sample (by ``order_col``), ``rural`` the
-    exact median of the other samples; dates lacking either are dropped.
-    Null dates / values are dropped first (C3).  Partial aggregation runs
-    map-side, so a hot key is combined before the shuffle.  ``approx=True``
-    swaps the exact median for ``percentile_approx`` when a single
-    (key, date) group holds more distinct values than fit in one task.
+    ``urban`` is the last reference sample (by ``order_col``, ties and a
+    missing ``order_col``: the largest value), ``rural`` the exact median of the
+    other samples; dates lacking either are dropped.  Null dates / values are
+    dropped first (C3).  Both sides are partial aggregates combined map-side;
+    the median narrows value ranges (``functions.stats``), so a (key, date)
+    with very many samples is never one buffer.
     """
     keys = _cols(keys)
     s = samples.where(F.col(date_col).isNotNull() & F.col(value_col).isNotNull())
     is_ref = F.col(tag_col) == F.lit(reference_tag)
-    order = F.col(order_col) if order_col else F.lit(0)
-    ref_val = F.when(is_ref, F.col(value_col))
-    other = F.when(~is_ref, F.col(value_col))
-    med = F.percentile_approx(other, 0.5, 10000) if approx else F.median(other)
-    out = (s.groupBy(*keys, date_col)
-            .agg(F.max_by(ref_val, F.when(is_ref, order)).alias(urban_name),
-                 med.alias(rural_name))
-            .where(F.col(urban_name).isNotNull() & F.col(rural_name).isNotNull()))
+    order = F.struct(*([F.col(order_col)] if order_col else []), F.col(value_col))
+    urban = s.where(is_ref).groupBy(*keys, date_col).agg(F.max_by(value_col, order).alias(urban_name))
+    other = s.where(~is_ref).select(*keys, date_col, F.col(value_col).alias("_other"))
+    rural = (quantiles(other, ["_other"], [0.5], keys=[*keys, date_col])
+             .select(*keys, date_col, F.col("q")[0].alias(rural_name)))
+    out = (join_null_safe(urban, rural, [*keys, date_col])
+           .where(F.col(urban_name).isNotNull() & F.col(rural_name).isNotNull()))
     if digits is not None:
         out = out.select(*keys, date_col,
                          round_half_even(urban_name, digits).alias(urban_name),

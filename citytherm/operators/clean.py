@@ -101,43 +101,34 @@ def inject_defaults(df: DataFrame, defaults: Mapping[str, object] = INJECT_DEFAU
 # --------------------------------------------------------------------------
 # E4
 # --------------------------------------------------------------------------
-def fit_medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """One-row table of column medians (``med_<col>``), exact via value counts."""
-    w = wide_quantiles(df, cols, [0.5], ["med"], approx=approx)
+def fit_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One-row table of column medians (``med_<col>``), exact."""
+    w = wide_quantiles(df, cols, [0.5], ["med"])
     return w.select(*[F.col(f"{c}__med").alias(f"med_{c}") for c in cols])
 
 
 def median_impute(df: DataFrame, cols: Sequence[str] | None = None,
-                  exclude: Sequence[str] = NO_IMPUTE, fit_on: DataFrame | None = None,
-                  approx: bool = False) -> DataFrame:
+                  exclude: Sequence[str] = NO_IMPUTE, fit_on: DataFrame | None = None) -> DataFrame:
     """Fill nulls of numeric columns with the column median.
 
     ``fit_on`` fits on another frame (e.g. the training split).  Integer
-    columns keep their type (the median is rounded half to even, as pandas
-    would store it back into an integer column only after a float cast --
-    we keep the integer type and round).
+    columns become double: a median of 12.5 stays 12.5.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     if not cols:
         return df
-    meds = fit_medians(fit_on if fit_on is not None else df, cols, approx)
+    meds = fit_medians(fit_on if fit_on is not None else df, cols)
     out = df.crossJoin(F.broadcast(meds))  # one row
-    dtypes = dict(df.dtypes)
-    repl = {}
-    for c in cols:
-        m = F.col(f"med_{c}")
-        if dtypes[c] in ("int", "bigint", "smallint", "tinyint"):
-            m = F.bround(m, 0).cast(dtypes[c])
-        repl[c] = F.coalesce(F.col(c), m)
+    repl = {c: F.coalesce(F.col(c).cast("double"), F.col(f"med_{c}")) for c in cols}
     return out.withColumns(repl).drop(*[f"med_{c}" for c in cols])
 
 
 # --------------------------------------------------------------------------
 # E2, E3, E29
 # --------------------------------------------------------------------------
-def fit_fences(df: DataFrame, cols: Sequence[str], k: float = IQR_K, approx: bool = False) -> DataFrame:
+def fit_fences(df: DataFrame, cols: Sequence[str], k: float = IQR_K) -> DataFrame:
     """One-row table with q1/q3/lo/hi per column (``<col>__q1`` ...), one pass."""
-    wide = wide_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"], approx=approx)
+    wide = wide_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"])
     sel = []
     for c in cols:
         q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")

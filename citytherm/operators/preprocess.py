@@ -29,7 +29,7 @@ def null_census(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
-def impute_missing(df: DataFrame, exclude: Sequence[str], approx: bool = False,
+def impute_missing(df: DataFrame, exclude: Sequence[str],
                    fit_on: DataFrame | None = None) -> DataFrame:
     """Median-impute only the numeric columns that have nulls.
 
@@ -40,12 +40,12 @@ def impute_missing(df: DataFrame, exclude: Sequence[str], approx: bool = False,
     cand = clean.numeric_columns(df, exclude)
     census = null_census(df, cand)
     todo = [c for c in cand if census.get(c, 0) > 0]
-    return clean.median_impute(df, todo, fit_on=fit_on, approx=approx) if todo else df
+    return clean.median_impute(df, todo, fit_on=fit_on) if todo else df
 
 
 def preprocess(raw: DataFrame, group: str = "name", ts: str = "timestamp",
                source_col: str | None = "source", keep: Sequence[str] = (),
-               approx: bool = False, require_rows: bool = False,
+               require_rows: bool = False,
                stage: bool | str = "input") -> Prepared:
     """Run the chain.  ``stage`` picks where the rows are written once to the
     shared folder and read back (lineage cut):
@@ -65,19 +65,18 @@ def preprocess(raw: DataFrame, group: str = "name", ts: str = "timestamp",
     d = clean.inject_defaults(d)
     if stage == "input":
         d = materialize(d, "input")
-    d = impute_missing(d, exclude=list(clean.NO_IMPUTE) + list(keep), approx=approx)
+    d = impute_missing(d, exclude=list(clean.NO_IMPUTE) + list(keep))
     d = clean.range_filter(d)
     if stage == "validated":
         d = materialize(d, "validated")
     cap = [c for c in clean.CAP_COLUMNS if c in d.columns]
-    fences = clean.fit_fences(d, cap, approx=approx)
+    fences = clean.fit_fences(d, cap)
     report = clean.outlier_report(d, cap, fences)
     d = clean.winsorize(d, cap, fences)
     d = features.engineer_features(d, group=group, ts=ts)
     if stage is True or stage == "features":
         d = materialize(d, "features")
-    d = target.contrast_target(d, "urban_lst", "rural_lst", group, out=features.TARGET_COLUMN,
-                               approx=approx)
+    d = target.contrast_target(d, "urban_lst", "rural_lst", group, out=features.TARGET_COLUMN)
     names = features.feature_list(d)
     table = features.select_features(d, names, group_src=group, keep=keep)
     return Prepared(table, report, names)

@@ -10,8 +10,7 @@ from citytherm.functions.stats import global_median, group_median
 
 
 def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
-                    out: str = "uhi_intensity", digits: int | None = 3,
-                    approx: bool = False) -> DataFrame:
+                    out: str = "uhi_intensity", digits: int | None = 3) -> DataFrame:
     """``max(0, urban - rural)`` where both are present; else the group median of
     those values; else their global median; then clip at 0 and round.
 
@@ -25,9 +24,9 @@ def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
     pair = F.when(F.col(urban).isNotNull() & F.col(rural).isNotNull(),
                   F.greatest(F.col(urban) - F.col(rural), F.lit(0.0)))
     d = df.withColumn("_pair", pair)
-    glob = global_median(d, "_pair", "_glob", approx=approx)  # exactly one row
+    glob = global_median(d, "_pair", "_glob")  # exactly one row
     if group is not None:
-        gmed = group_median(d, group, "_pair", "_gmed", approx=approx)
+        gmed = group_median(d, group, "_pair", "_gmed")
         d = d.join(gmed, group, "left")
         filled = F.coalesce(F.col("_pair"), F.col("_gmed"), F.col("_glob"))
     else:
