@@ -10,29 +10,32 @@ fitted parameters (a few numbers per model).
 * H5 models: LinearRegression (plain, ridge, lasso), DecisionTree,
   RandomForest, GBT, and two further GBT profiles standing in for the two
   optional third-party boosters.
-* H6 grid search: ``CrossValidator`` over group folds (``foldCol``).
-* H7 outer group CV of the tuned model: ``CrossValidator`` with a one-point
-  grid, mean and population std of the fold RMSEs.
+* H6 grid search and H7 outer CV: one fit per (point, fold) on filters of one
+  staged table; a ridge or lasso penalty is set from the rows that the fold
+  trains on.  Nothing is refitted that is not used.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from citytherm.functions.expressions import round_half_even
 from citytherm.functions.stats import scalars
 from citytherm.operators import evaluate, split
+from citytherm.sources.stages import materialize
 
 SEED = 42
 MAX_TREE_DEPTH = 30  # Spark's limit; stands in for "no depth limit"
@@ -79,7 +82,6 @@ FAST_BASE = {
 }
 TEST_SIZE = 0.2
 CV_FOLDS = 5
-MAX_LISTED_GROUPS = 10000  # group names copied into the run row only up to this many
 
 
 # --------------------------------------------------------------------------
@@ -121,10 +123,15 @@ def scaler_stage(stats: dict[str, tuple[float, float]], out_prefix: str = "z_")
 # --------------------------------------------------------------------------
 @dataclass
 class Candidate:
+    """A registry entry.  ``settings(point, n, std)`` gives the Spark parameters
+    of a grid point for training rows of that number and label spread."""
     name: str
     estimator: object
-    grid: list = field(default_factory=list)      # list of ParamMaps
-    grid_desc: list = field(default_factory=list)  # list of dicts (reference names)
+    grid_desc: list[dict]  # reference parameter names
+    settings: Callable[[dict, int, float], dict]
+
+    def fit(self, rows: DataFrame, point: dict, n: int, std: float):
+        return self.estimator.copy(self.settings(point, n, std)).fit(rows)
 
 
 def _tree_depth(d):
@@ -138,58 +145,49 @@ def _combos(spec: dict) -> list[dict]:
     return out
 
 
-def build_candidates(profile: str, n_train: int, label_std: float,
-                     features_col: str = "features", label: str = "label") -> list[Candidate]:
+def build_candidates(profile: str, features_col: str = "features", label: str = "label") -> list[Candidate]:
     """Estimators and grids of a profile ("full" or "fast").
 
-    Ridge alpha maps to Spark's regParam as alpha * std(y) / n (normal
-    solver, no standardisation); lasso alpha maps 1:1 (elasticNet 1).
+    Ridge alpha maps to Spark's regParam as alpha * std(y) / n of the rows that
+    are trained on (normal solver, no standardisation); lasso alpha maps 1:1
+    (elasticNet 1).  "No depth limit" is Spark's limit, and the point says so.
     """
     fast = profile == "fast"
-    names = FAST_MODELS if fast else FULL_MODELS
-    grids = FAST_PARAM_GRIDS if fast else PARAM_GRIDS
     kw = dict(featuresCol=features_col, labelCol=label, predictionCol="prediction")
     out = []
-    for name in names:
-        spec = grids.get(name)
+    for name in FAST_MODELS if fast else FULL_MODELS:
+        spec = (FAST_PARAM_GRIDS if fast else PARAM_GRIDS).get(name)
         base = FAST_BASE.get(name, {}) if fast else {}
         if name in ("Linear Regression", "Ridge Regression", "Lasso Regression"):
-            enet = 1.0 if name == "Lasso Regression" else 0.0
-            est = LinearRegression(regParam=0.0, elasticNetParam=enet, standardization=False,
-                                   solver="normal" if enet == 0.0 else "auto", maxIter=5000, **kw)
-            if name == "Ridge Regression" and not spec:
-                spec = {"alpha": [1.0]}
-            combos = _combos(spec) if spec else [{}]
-
-            def lr_map(c, enet=enet):
-                a = c.get("alpha", 0.0)
-                reg = a if enet == 1.0 else a * label_std / max(n_train, 1)
-                return {est.regParam: float(reg)}
-            grid = [lr_map(c) for c in combos]
-        elif name == "Decision Tree":
-            est = DecisionTreeRegressor(seed=SEED, maxBins=64, **kw)
-            combos = _combos(spec) if spec else [base or {"max_depth": None, "min_samples_leaf": 1}]
-            grid = [{est.maxDepth: _tree_depth(c.get("max_depth", base.get("max_depth"))),
-                     est.minInstancesPerNode: int(c.get("min_samples_leaf", base.get("min_samples_leaf", 1)))}
-                    for c in combos]
-        elif name == "Random Forest":
-            est = RandomForestRegressor(seed=SEED, featureSubsetStrategy="all", maxBins=64, **kw)
-            combos = _combos(spec) if spec else [base]
-            grid = [{est.numTrees: int(c.get("n_estimators", base.get("n_estimators", 100))),
-                     est.maxDepth: _tree_depth(c.get("max_depth", base.get("max_depth"))),
-                     est.minInstancesPerNode: int(c.get("min_samples_leaf", base.get("min_samples_leaf", 1)))}
-                    for c in combos]
+            lasso = name == "Lasso Regression"
+            est = LinearRegression(regParam=0.0, elasticNetParam=float(lasso), standardization=False,
+                                   solver="auto" if lasso else "normal", maxIter=5000, **kw)
+            base = {"alpha": 1.0} if name == "Ridge Regression" else {}
+
+            def settings(c, n, std, est=est, lasso=lasso):
+                alpha = c.get("alpha", 0.0)
+                return {est.regParam: float(alpha if lasso else alpha * std / max(n, 1))}
+        elif name in ("Decision Tree", "Random Forest"):
+            forest = name == "Random Forest"
+            est = (RandomForestRegressor(seed=SEED, featureSubsetStrategy="all", maxBins=64, **kw) if forest
+                   else DecisionTreeRegressor(seed=SEED, maxBins=64, **kw))
+            base = {"max_depth": None, "min_samples_leaf": 1, **({"n_estimators": 100} if forest else {}), **base}
+
+            def settings(c, n, std, est=est, forest=forest):
+                p = {est.maxDepth: _tree_depth(c["max_depth"]), est.minInstancesPerNode: int(c["min_samples_leaf"])}
+                return p | ({est.numTrees: int(c["n_estimators"])} if forest else {})
         else:  # gradient boosting and the two booster profiles
             est = GBTRegressor(seed=SEED, maxBins=64, **kw)
-            defaults = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0}
-            defaults.update(base)
-            combos = _combos(spec) if spec else [defaults]
-            grid = [{est.maxIter: int(c.get("n_estimators", defaults["n_estimators"])),
-                     est.stepSize: float(c.get("learning_rate", defaults["learning_rate"])),
-                     est.maxDepth: int(c.get("max_depth", defaults["max_depth"])),
-                     est.subsamplingRate: float(c.get("subsample", defaults["subsample"]))}
-                    for c in combos]
-        out.append(Candidate(name, est, grid, combos))
+            base = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0, **base}
+
+            def settings(c, n, std, est=est):
+                return {est.maxIter: int(c["n_estimators"]), est.stepSize: float(c["learning_rate"]),
+                        est.maxDepth: int(c["max_depth"]), est.subsamplingRate: float(c["subsample"])}
+        points = [{**base, **c} for c in _combos(spec)] if spec else [base]
+        for c in points:
+            if "max_depth" in c:
+                c["max_depth"] = _tree_depth(c["max_depth"])
+        out.append(Candidate(name, est, points, settings))
     return out
 
 
@@ -204,116 +202,119 @@ class RunResult:
     run: DataFrame                 # one row (H14)
     model_metric: DataFrame        # one row per model
     feature_importance: DataFrame  # one row per (model, feature)
-    train_groups: list[str]
-    test_groups: list[str]
-    assignment: DataFrame | None = None  # (group, n_rows, split) for every group
+    assignment: DataFrame          # (run_id, group, n_rows, split): one row per group
+    failed: dict[str, str]         # model -> error (H10)
+
+
+def importance_shares(raw: DataFrame) -> DataFrame:
+    """(model, feature, weight) -> importance, the share of |weight| in the
+    model's total (plus 1e-9), to 5 places."""
+    total = F.sum(F.abs("weight")).over(Window.partitionBy("model")) + F.lit(1e-9)
+    return raw.select("model", "feature", round_half_even(F.abs("weight") / total, 5).alias("importance"))
 
 
-def _importance(model, feature_names: Sequence[str]) -> list[tuple[str, float]]:
-    """Tree importances or |coefficients|, / (sum + 1e-9), 5 places."""
-    if hasattr(model, "featureImportances"):
-        vals = list(model.featureImportances.toArray())
-    elif hasattr(model, "coefficients"):
-        vals = [abs(v) for v in model.coefficients.toArray()]
-    else:
-        return []
-    tot = float(sum(vals)) + 1e-9
-    return [(f, round(float(v) / tot, 5)) for f, v in zip(feature_names, vals)]
+def feature_weights(model, names: Sequence[str]) -> list[tuple[str, float]]:
+    """(feature, weight) of a fitted model, tree or linear; empty for others."""
+    vector = getattr(model, "featureImportances", None) or getattr(model, "coefficients", None)
+    return [] if vector is None else [(n, float(w)) for n, w in zip(names, vector.toArray())]
 
 
 @dataclass
 class Prepared:
-    """Group split, folds and scaled vectors shared by every fit of a run."""
-    train: DataFrame       # features, label, fold (+ group)
-    test: DataFrame        # features, label (+ group)
-    full: DataFrame        # features, label, fold (outer folds over all groups)
-    assign: DataFrame | None
+    """Group split, folds and scaled vectors shared by every fit of a run: one
+    staged table (features, label, group, split, fold, outer_fold)."""
+    rows: DataFrame
+    assign: DataFrame      # (group, n_rows, split)
     scaler: SQLTransformer
     assembler: VectorAssembler
     n_train: int
     label_std: float
-    k_inner: int = CV_FOLDS
-    k_outer: int = CV_FOLDS
-
-    def unpersist(self):
-        for x in (self.train, self.test, self.full):
-            x.unpersist()
+    n_no_group: int = 0    # labelled rows without a group, left out
 
+    @property
+    def train(self) -> DataFrame:
+        return self.rows.where(F.col("split") == "train")
 
-def _spread(spark: SparkSession):
-    """Every fit makes passes over the same vectors, so they are spread over
-    at least as many partitions as there are cores before being persisted
-    (a stage file with one row group would otherwise train on one core).
-    Inputs that already have enough partitions are left as they are."""
-    cores = spark.sparkContext.defaultParallelism
+    @property
+    def test(self) -> DataFrame:
+        return self.rows.where(F.col("split") == "test")
 
-    def f(df: DataFrame) -> DataFrame:
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-    return f
+    def unpersist(self):
+        self.rows.unpersist()
 
 
-def prepare(table: DataFrame, features: Sequence[str], label: str, group: str | None,
+def prepare(table: DataFrame, features: Sequence[str], label: str, group: str,
             folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
             fit_scope: str = "train", keep: Sequence[str] = ()) -> Prepared:
     """H2 split, H3 folds (inner on training groups, outer on all groups),
-    H1 scaler fitted on ``fit_scope`` rows, vectors assembled and persisted."""
+    H1 scaler fitted on ``fit_scope`` rows, vectors assembled and staged once.
+
+    A labelled row without a group can be in no split: such rows are left out
+    and counted.
+    """
     feats = list(features)
-    d = table.where(F.col(label).isNotNull())
-    assign = None
-    if group is not None:
-        assign = split.group_holdout(d, group, test_size, seed)
-        d = split.attach(d, assign, group)
-        folds_all = split.group_folds(d, group, folds).select(group, F.col("fold").alias("outer_fold"))
-        d = d.join(folds_all, group, "left")
-    else:  # random row split by hash when there is no group key
-        h = F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in feats]) % 1000) / 1000.0
-        d = d.withColumn("split", F.when(h < test_size, "test").otherwise("train"))
-        d = d.withColumn("outer_fold",
-                         (F.abs(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in feats])) % folds).cast("int"))
-    # the split/fold joins feed the scaler fit and three vector tables:
-    # compute them once, drop the copy once the vectors are materialised
-    d = d.persist()
-    train = d.where(F.col("split") == "train")
-    test = d.where(F.col("split") == "test")
-    if group is not None:
-        inner = split.group_folds(train, group, folds).select(group, "fold")
-        train = train.join(inner, group, "left")
-    else:
-        train = train.withColumn("fold", F.col("outer_fold"))
-    stats = fit_scaler(train if fit_scope == "train" else d, feats)
+    labelled = table.where(F.col(label).isNotNull())
+    d = labelled.where(F.col(group).isNotNull())
+    assign = split.group_holdout(d, group, test_size, seed)
+    outer = split.group_folds(d, group, folds).select(group, F.col("fold").alias("outer_fold"))
+    in_train = split.attach(d, assign, group).where(F.col("split") == "train")
+    inner = split.group_folds(in_train, group, folds).select(group, "fold")
+    # one row per group: split and both folds, joined to the rows once
+    groups = materialize(assign.join(outer, group).join(inner, group, "left"), "groups")
+    rows = d.join(groups.drop("n_rows"), group)
+    stats = fit_scaler(rows.where(F.col("split") == "train") if fit_scope == "train" else rows, feats)
     scaler = scaler_stage(stats)
     assembler = VectorAssembler(inputCols=[f"z_{c}" for c in feats], outputCol="features",
                                 handleInvalid="keep")
-    prep = PipelineModel(stages=[scaler, assembler])
-    lab = F.col(label).cast("double").alias("label")
-    extra = ([group] if group else []) + list(keep)
-    spread = _spread(table.sparkSession)
-    tr = spread(prep.transform(train).select("features", lab, "fold", *extra)).persist()
-    te = spread(prep.transform(test).select("features", lab, *extra)).persist()
-    full = spread(prep.transform(d).select("features", lab, F.col("outer_fold").alias("fold"))).persist()
-    st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s"),
-                F.max("fold").alias("k")).first()
-    k_outer = full.agg(F.max("fold")).first()[0]
-    te.count()
-    d.unpersist()
-    return Prepared(tr, te, full, assign, scaler, assembler, int(st["n"]), float(st["s"] or 0.0),
-                    int(st["k"] or 0) + 1, int(k_outer or 0) + 1)
-
-
-def grid_cv(prep: Prepared, cand: Candidate, parallelism: int = 4, seed: int = SEED):
-    """H6: group-fold grid search of one candidate; returns (model, best index,
-    per-point mean and population std of fold RMSE)."""
-    ev = RegressionEvaluator(metricName="rmse", labelCol="label", predictionCol="prediction")
-    cv = CrossValidator(estimator=cand.estimator, estimatorParamMaps=cand.grid, evaluator=ev,
-                        foldCol="fold", numFolds=prep.k_inner, parallelism=parallelism, seed=seed)
-    cvm = cv.fit(prep.train)
-    avg = list(cvm.avgMetrics)
-    std = list(cvm.stdMetrics) if cvm.stdMetrics else [None] * len(avg)
-    best = min(range(len(avg)), key=lambda i: avg[i])  # first of equals wins
-    return cvm.bestModel, best, avg, std
-
-
-def train_models(table: DataFrame, features: Sequence[str], label: str, group: str | None,
+    vectors = PipelineModel(stages=[scaler, assembler]).transform(rows)
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    # staged in the shared folder, so a lost executor rereads it; dealt over the
+    # cores at least, by key hash, because every fit passes over it many times
+    parts = max(cores, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    staged = materialize(vectors.select("features", F.col(label).cast("double").alias("label"), group, "split", "fold",
+                                        "outer_fold", *keep).repartition(parts), "vectors").persist()
+    st = staged.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s")).first()
+    return Prepared(staged, groups.select(group, "n_rows", "split"), scaler, assembler, int(st["n"]), float(st["s"] or 0.0),
+                    labelled.where(F.col(group).isNull()).count())
+
+
+def fold_errors(rows: DataFrame, fold: str, cand: Candidate, points: Sequence[dict], parallelism: int = 4) -> list[list[float]]:
+    """RMSE of every (point, fold): fitted on the other folds, with settings from
+    their own number of rows and label spread."""
+    known = [r[0] for r in rows.where(F.col(fold).isNotNull()).select(fold).distinct().orderBy(fold).collect()]  # k numbers
+    others = rows.agg(*[f for k in known for f in (F.count_if(F.col(fold) != k).alias(f"n{k}"),
+                                                   F.stddev_pop(F.when(F.col(fold) != k, F.col("label"))).alias(f"s{k}"))]).first()
+
+    def one(task):
+        point, k = task
+        model = cand.fit(rows.where(F.col(fold) != k), point, others[f"n{k}"], float(others[f"s{k}"] or 0.0))
+        gap = F.col("prediction") - F.col("label")
+        return model.transform(rows.where(F.col(fold) == k)).agg(F.sqrt(F.avg(gap * gap)).alias("rmse")).first()["rmse"]
+    tasks = [(p, k) for p in points for k in known]
+    with ThreadPool(min(parallelism, max(len(tasks), 1))) as pool:
+        flat = pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks)
+    return [flat[i * len(known): (i + 1) * len(known)] for i in range(len(points))]
+
+
+def mean_std(values: Sequence[float]) -> tuple[float, float]:
+    """Mean and population std."""
+    m = sum(values) / len(values)
+    return m, (sum((v - m) ** 2 for v in values) / len(values)) ** 0.5
+
+
+def grid_cv(prep: Prepared, cand: Candidate, parallelism: int = 4) -> tuple[int, list[float], list[float]]:
+    """H6: group-fold grid search of one candidate: best index (first of equals),
+    mean and population std of the fold RMSE per point."""
+    found = [mean_std(e) for e in fold_errors(prep.train, "fold", cand, cand.grid_desc, parallelism)]
+    avg = [m for m, _ in found]
+    return avg.index(min(avg)), avg, [s for _, s in found]
+
+
+_METRIC = ("model string, registry_pos int, rmse double, mae double, r2 double, cv_rmse double, cv_std double, "
+           "skill_vs_baseline double, best_params map<string,string>")
+
+
+def train_models(table: DataFrame, features: Sequence[str], label: str, group: str,
                  profile: str = "fast", models: Sequence[str] | None = None,
                  folds: int = CV_FOLDS, test_size: float = TEST_SIZE, seed: int = SEED,
                  fit_scope: str = "train", parallelism: int = 4,
@@ -326,89 +327,39 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
     spark: SparkSession = table.sparkSession
     feats = list(features)
     prep = prepare(table, feats, label, group, folds, test_size, seed, fit_scope)
-    tr, te, full, assign = prep.train, prep.test, prep.full, prep.assign
-    scaler, assembler, n_train, label_std = prep.scaler, prep.assembler, prep.n_train, prep.label_std
-    base_pred = evaluate.baseline_predictions(tr, te, "label", "prediction")
-    base = evaluate.regression_metrics(base_pred, "label", "prediction").first()
-    baseline_rmse, baseline_mae = float(base["rmse"]), float(base["mae"])
-
-    ev = RegressionEvaluator(metricName="rmse", labelCol="label", predictionCol="prediction")
-    cands = build_candidates(profile, n_train, label_std)
-    if models is not None:
-        cands = [c for c in cands if c.name in set(models)]
-    rows, imps, best = [], [], None
-    for pos, cand in enumerate(cands):
+    base = evaluate.regression_metrics(evaluate.baseline_predictions(prep.train, prep.test, "label", "prediction"),
+                                       "label", "prediction").first()
+    fitted, rows, weights, failed = {}, [], [], {}
+    for pos, cand in enumerate(build_candidates(profile)):
+        if models is not None and cand.name not in models:
+            continue
         try:
-            if len(cand.grid) > 1:
-                model, bi, _, _ = grid_cv(prep, cand, parallelism, seed)
-                params, chosen = cand.grid_desc[bi], cand.grid[bi]
-            else:
-                chosen = cand.grid[0]
-                model = cand.estimator.copy(chosen).fit(tr)
-                params = cand.grid_desc[0]
-            pred = model.transform(te)
-            m = evaluate.regression_metrics(pred, "label", "prediction").first()
-            cv_rmse = cv_std = None
-            if outer_cv:
-                ocv = CrossValidator(estimator=cand.estimator.copy(chosen),
-                                     estimatorParamMaps=[{}], evaluator=ev, foldCol="fold",
-                                     numFolds=prep.k_outer, parallelism=parallelism, seed=seed).fit(full)
-                cv_rmse = float(ocv.avgMetrics[0])
-                cv_std = float(ocv.stdMetrics[0]) if ocv.stdMetrics else None
-            rmse = float(m["rmse"])
-            rows.append((cand.name, pos, round(rmse, 4), round(float(m["mae"]), 4), round(float(m["r2"]), 4),
-                         None if cv_rmse is None else round(cv_rmse, 4),
-                         None if cv_std is None else round(cv_std, 4),
-                         round(1.0 - rmse / (baseline_rmse + 1e-9), 4),
-                         {k: str(v) for k, v in params.items()}))
-            imps += [(cand.name, f, v) for f, v in _importance(model, feats)]
-            if best is None or rmse < best[1]:
-                best = (cand.name, rmse, model)
+            point = cand.grid_desc[grid_cv(prep, cand, parallelism)[0] if len(cand.grid_desc) > 1 else 0]
+            model = cand.fit(prep.train, point, prep.n_train, prep.label_std)
+            m = evaluate.regression_metrics(model.transform(prep.test), "label", "prediction").first()
+            cv = mean_std(fold_errors(prep.rows, "outer_fold", cand, [point], parallelism)[0]) if outer_cv else (None, None)
         except Exception as e:  # H10: a failing model is reported and left out
-            print(f"model {cand.name} failed: {type(e).__name__}: {e}")
-    if best is None:
-        raise RuntimeError("every model failed to train")
-
-    run_id = uuid.uuid4().hex[:12]
-    mm_schema = T.StructType([
-        T.StructField("model", T.StringType()), T.StructField("registry_pos", T.IntegerType()),
-        T.StructField("rmse", T.DoubleType()), T.StructField("mae", T.DoubleType()),
-        T.StructField("r2", T.DoubleType()), T.StructField("cv_rmse", T.DoubleType()),
-        T.StructField("cv_std", T.DoubleType()), T.StructField("skill_vs_baseline", T.DoubleType()),
-        T.StructField("best_params", T.MapType(T.StringType(), T.StringType()))])
-    model_metric = spark.createDataFrame(rows, mm_schema).withColumn("run_id", F.lit(run_id))
-    fi_schema = T.StructType([T.StructField("model", T.StringType()), T.StructField("feature", T.StringType()),
-                              T.StructField("importance", T.DoubleType())])
-    feature_importance = spark.createDataFrame(imps, fi_schema).withColumn("run_id", F.lit(run_id))
-    glist = {}
-    if group is not None and assign.count() <= MAX_LISTED_GROUPS:
-        # the run row lists the groups when there are few (cities); the
-        # assignment table (RunResult.assignment) always holds all of them
-        gl = assign.groupBy("split").agg(F.array_sort(F.collect_list(F.col(group).cast("string"))).alias("g"))
-        glist = {r["split"]: r["g"] for r in gl.collect()}
-    train_groups, test_groups = glist.get("train", []), glist.get("test", [])
-    run = spark.createDataFrame(
-        [(run_id, best[0], round(best[1], 4), round(baseline_rmse, 4), round(baseline_mae, 4),
-          feats, train_groups, test_groups)],
-        "run_id string, best_model string, best_rmse double, baseline_rmse double, baseline_mae double, "
-        "feature_names array<string>, train_groups array<string>, test_groups array<string>")
-    pipeline = PipelineModel(stages=[scaler, assembler, best[2]])
+            failed[cand.name] = f"{type(e).__name__}: {e}"
+            continue
+        fitted[cand.name] = model
+        rows.append((cand.name, pos, *map(float, (m["rmse"], m["mae"], m["r2"])), *cv,
+                     1.0 - m["rmse"] / (base["rmse"] + 1e-9), {k: str(v) for k, v in point.items()}))
+        weights += [(cand.name, f, w) for f, w in feature_weights(model, feats)]
     prep.unpersist()
-    return RunResult(run_id, best[0], pipeline, run, model_metric, feature_importance,
-                     train_groups, test_groups, assign)
-
-
-def fit_pipeline(table: DataFrame, features: Sequence[str], label: str, estimator,
-                 fit_scope_df: DataFrame | None = None) -> PipelineModel:
-    """Scaler + assembler + one estimator, fitted on ``table``."""
-    stats = fit_scaler(fit_scope_df if fit_scope_df is not None else table, features)
-    scaler = scaler_stage(stats)
-    assembler = VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features",
-                                handleInvalid="keep")
-    est = estimator.copy().setFeaturesCol("features").setLabelCol("label").setPredictionCol("prediction")
-    pm = Pipeline(stages=[scaler, assembler, est]).fit(
-        table.where(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double")))
-    return pm
+    if not fitted:
+        raise RuntimeError(f"every model failed to train: {failed}")
+
+    run_id = F.lit(uuid.uuid4().hex[:12])
+    metric = spark.createDataFrame(rows, _METRIC)  # one row per model
+    best = evaluate.leaderboard(metric, "model", "rmse", "registry_pos").where("rank = 1").first()
+    numbers = ["rmse", "mae", "r2", "cv_rmse", "cv_std", "skill_vs_baseline"]
+    metric = metric.withColumns({c: round_half_even(c, 4) for c in numbers}).withColumn("run_id", run_id)
+    importance = importance_shares(spark.createDataFrame(weights, "model string, feature string, weight double"))
+    run = spark.createDataFrame([(best["model"], round(best["rmse"], 4), round(float(base["rmse"]), 4), round(float(base["mae"]), 4), feats, prep.n_no_group)],
+                                "best_model string, best_rmse double, baseline_rmse double, baseline_mae double, "
+                                "feature_names array<string>, n_rows_without_group long").withColumn("run_id", run_id)
+    return RunResult(run.first()["run_id"], best["model"], PipelineModel(stages=[prep.scaler, prep.assembler, fitted[best["model"]]]),
+                     run, metric, importance.withColumn("run_id", run_id), prep.assign.withColumn("run_id", run_id), failed)
 
 
 def score(pipeline: PipelineModel, df: DataFrame, out: str = "prediction_clipped") -> DataFrame:

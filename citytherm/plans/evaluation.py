@@ -45,7 +45,7 @@ def q_group_split(spark: SparkSession, sf: str) -> DataFrame:
 @register("group_folds", f"""
 WITH {ORDERS_GROUPED_SQL},
   gc AS (SELECT c_nationkey, count(*) AS n_rows FROM og WHERE c_nationkey IS NOT NULL GROUP BY c_nationkey),
-  r AS (SELECT *, row_number() OVER (ORDER BY n_rows DESC, c_nationkey) - 1 AS i,
+  r AS (SELECT *, row_number() OVER (ORDER BY n_rows DESC, md5('{SEED}' || CAST(c_nationkey AS VARCHAR)), c_nationkey) - 1 AS i,
                least(5, count(*) OVER ()) AS k FROM gc)
 SELECT c_nationkey, n_rows,
        CAST(CASE WHEN CAST(floor(i / k) AS BIGINT) % 2 = 0 THEN i % k ELSE k - 1 - i % k END AS INTEGER) AS fold

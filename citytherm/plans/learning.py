@@ -1,12 +1,12 @@
 """Registered queries: model training, scoring and what-if with a fitted model
-(H5-H7, H10-H14, I1-I5, I8, I9, F7, F8, A9).  Rows-only checks: model
-fits are not SQL; ridge is checked against its closed form in the tests."""
+(H5-H7, H10-H14, I1-I5, I8, I9, F7, F8, A9).  Fits of trees and boosters are not
+SQL: tests hold them against closed forms and known splits.  Scoring queries
+use a one-feature least-squares model too, which SQL can fit."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,32 +17,25 @@ from citytherm.plans.registry import register
 from citytherm.plans.scenarios import group_scenarios
 from citytherm.session import shared_dir
 from citytherm.sources.cities import city_frame
-from citytherm.sources.stages import cached_stage
+from citytherm.sources.stages import cached_stage, once
 from citytherm.sources.tables import Tables
 
 LABEL, GROUP = features.TARGET_COLUMN, features.GROUP_COLUMN
 KEYS = ["l_orderkey", "l_linenumber"]
 
 
+def _inputs(sf: str) -> list[str]:
+    return [f"{sf}/{t}.parquet" for t in ("lineitem", "supplier", "nation")]
+
+
 def feature_table(spark: SparkSession, sf: str) -> preprocess.Prepared:
-    """The processed stage table: built once per application and scale
-    folder, written to the shared folder and read back by every fit, fold and
+    """The processed stage table: built once per application and state of the
+    inputs, written to the shared folder and read back by every fit, fold and
     score (the reference hands over a processed file between stages too)."""
-    holder = {}
-
     def build():
-        p = preprocess.preprocess(lineitem_observations(spark, Tables(spark, sf)), keep=KEYS)
-        holder["p"] = p
-        return p.table
-    table = cached_stage(spark, build, "processed", sf)
-    if "p" in holder:
-        p = holder["p"]
-        names = p.feature_names
-        outliers = p.outliers
-    else:
-        names = features.feature_list(table)
-        outliers = None
-    return preprocess.Prepared(table, outliers, names)
+        return preprocess.preprocess(lineitem_observations(spark, Tables(spark, sf)), keep=KEYS).table
+    table = cached_stage(spark, build, "processed", sf, inputs=_inputs(sf))
+    return preprocess.Prepared(table, None, features.feature_list(table))
 
 
 def _grid_frame(spark, cand, avg, std) -> DataFrame:
@@ -54,8 +47,8 @@ def _grid_frame(spark, cand, avg, std) -> DataFrame:
 def _grid_query(spark: SparkSession, sf: str, model: str, profile: str) -> DataFrame:
     ft = feature_table(spark, sf)
     prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
-    cand = next(c for c in learn.build_candidates(profile, prep.n_train, prep.label_std) if c.name == model)
-    _, best, avg, std = learn.grid_cv(prep, cand)
+    cand = next(c for c in learn.build_candidates(profile) if c.name == model)
+    _, avg, std = learn.grid_cv(prep, cand)
     out = _grid_frame(spark, cand, avg, std).withColumn("model", F.lit(model))
     prep.unpersist()
     return out
@@ -67,26 +60,40 @@ def q_ridge_path(spark: SparkSession, sf: str) -> DataFrame:
     return _grid_query(spark, sf, "Ridge Regression", "full")
 
 
+@register("lasso_path")
+def q_lasso_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Lasso over the full alpha grid, group-fold CV RMSE per alpha."""
+    return _grid_query(spark, sf, "Lasso Regression", "full")
+
+
 @register("tree_cv")
 def q_tree_cv(spark: SparkSession, sf: str) -> DataFrame:
     """H5d/H6: decision tree over the fast-profile grid, group-fold CV RMSE."""
     return _grid_query(spark, sf, "Decision Tree", "fast")
 
 
+def _importance_query(spark: SparkSession, sf: str, model: str) -> DataFrame:
+    ft = feature_table(spark, sf)
+    prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
+    cand = next(c for c in learn.build_candidates("fast") if c.name == model)
+    fitted = cand.fit(prep.train, {**cand.grid_desc[0], **learn.FAST_BASE[model]}, prep.n_train, prep.label_std)
+    weights = spark.createDataFrame([(model, f, w) for f, w in learn.feature_weights(fitted, ft.feature_names)],
+                                    "model string, feature string, weight double")
+    prep.unpersist()
+    return evaluate.top_importances(learn.importance_shares(weights).drop("model"), 15)
+
+
 @register("forest_importance")
 def q_forest_importance(spark: SparkSession, sf: str) -> DataFrame:
     """H5e/H11/F8: random forest (fast-profile base settings) on the training
     groups; importances normalised, top 15 flagged against their median."""
-    ft = feature_table(spark, sf)
-    prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
-    base = learn.FAST_BASE["Random Forest"]
-    rf = RandomForestRegressor(numTrees=base["n_estimators"], maxDepth=base["max_depth"],
-                               minInstancesPerNode=base["min_samples_leaf"], featureSubsetStrategy="all",
-                               seed=learn.SEED, maxBins=64)
-    model = rf.fit(prep.train)
-    imp = spark.createDataFrame(learn._importance(model, ft.feature_names), "feature string, importance double")
-    prep.unpersist()
-    return evaluate.top_importances(imp, 15)
+    return _importance_query(spark, sf, "Random Forest")
+
+
+@register("booster_importance")
+def q_booster_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """H5g/H11/F8: a booster profile (fast-profile base settings), its top 15."""
+    return _importance_query(spark, sf, "Boosting A")
 
 
 @register("run_report")
@@ -102,29 +109,20 @@ def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fitted(spark: SparkSession, sf: str):
     """Feature table, a linear pipeline fitted on the training groups, and the
-    baseline RMSE.  The fitted pipeline is saved under the shared folder and
-    loaded when it exists (A9/A10), like the reference's saved model."""
-    from citytherm.sources.stages import exists, publish, stage_path
+    baseline RMSE.  The fitted pipeline is saved under the shared folder once
+    for the present inputs and loaded from there (A9/A10)."""
     ft = feature_table(spark, sf)
-    path = stage_path(spark, "linear-model", sf)
-    meta = path + "-baseline"
-    if exists(spark, meta) and exists(spark, path + "/metadata"):
-        pipe = PipelineModel.load(path)
-        base_rmse = spark.read.parquet(meta).first()["rmse"]
-        return ft, pipe, float(base_rmse)
-    prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
-    lr = LinearRegression(regParam=0.0, standardization=False, solver="normal")
-    model = lr.fit(prep.train)
-    pipe = PipelineModel(stages=[prep.scaler, prep.assembler, model])
-    base = evaluate.regression_metrics(evaluate.baseline_predictions(prep.train, prep.test, "label"),
-                                       "label", "pred")
-    tmp = shared_dir(spark, "linear-model-tmp")
-    pipe.write().overwrite().save(tmp + "/model")
-    base.select("rmse").write.mode("overwrite").parquet(tmp + "/baseline")
-    publish(spark, tmp + "/model", path)     # model first: the baseline marks completion
-    where = publish(spark, tmp + "/baseline", meta)
-    prep.unpersist()
-    return ft, pipe, float(spark.read.parquet(where).first()["rmse"])
+
+    def build(path: str) -> None:
+        prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
+        cand = learn.build_candidates("fast")[0]
+        model = cand.fit(prep.train, {}, prep.n_train, prep.label_std)
+        PipelineModel(stages=[prep.scaler, prep.assembler, model]).save(f"{path}/model")
+        base = evaluate.baseline_predictions(prep.train, prep.test, "label")
+        evaluate.regression_metrics(base, "label", "pred").select("rmse").write.parquet(f"{path}/baseline")
+        prep.unpersist()
+    path = once(spark, build, "linear-model", sf, inputs=_inputs(sf))
+    return ft, PipelineModel.load(f"{path}/model"), float(spark.read.parquet(f"{path}/baseline").first()["rmse"])
 
 
 @register("score_batch")
@@ -150,11 +148,12 @@ def q_scenario_score(spark: SparkSession, sf: str) -> DataFrame:
     pv = pv.select(GROUP, "city_mean_target", vector_to_array("features").alias("v"))
     sv = scored.select("scenario_id", "uhi_pred", "severity", "delta_vs_baseline",
                        vector_to_array("features").alias("v"))
-    near = whatif.nearest_profiles(sv, pv, "scenario_id", "v", GROUP, "v")
-    top = near.where(F.col("rank") == 1).join(F.broadcast(pv.select(GROUP, "city_mean_target")), GROUP)
-    return (sv.drop("v").join(top.select("scenario_id", F.col(GROUP).alias("closest_city"),
-                                         "similarity", "city_mean_target"), "scenario_id")
-              .withColumn("gap_to_closest", F.col("uhi_pred") - F.col("city_mean_target")))
+    # predictions and mean targets travel with the match: scored and profiled once
+    near = whatif.nearest_profiles(sv, pv, "scenario_id", "v", GROUP, "v",
+                                   carry=["uhi_pred", "severity", "delta_vs_baseline"], profile_carry=["city_mean_target"])
+    return (near.where(F.col("rank") == 1)
+            .select("scenario_id", "uhi_pred", "severity", "delta_vs_baseline", F.col(GROUP).alias("closest_city"), "similarity",
+                    "city_mean_target", (F.col("uhi_pred") - F.col("city_mean_target")).alias("gap_to_closest")))
 
 
 @register("contributions")
@@ -172,11 +171,7 @@ def q_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     scored in one batch."""
     ft, pipe, _ = _fitted(spark, sf)
     scen = group_scenarios(spark, Tables(spark, sf))
-    grids = None
-    for p in whatif.SWEEP_RANGES:
-        g = whatif.sweep(scen, p)
-        grids = g if grids is None else grids.unionByName(g)
-    s = whatif.score_scenarios(pipe, grids)
+    s = whatif.score_scenarios(pipe, whatif.sweep(scen))
     return s.select("scenario_id", "vary", "point", F.col("uhi_pred"))
 
 
@@ -189,7 +184,9 @@ def q_response_surface(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("scenario_id", "gi", "gj", "temp", "uf", "uhi_pred")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", """
+SELECT count(*) AS n_rows, 0.0::DOUBLE AS max_abs_diff FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WHERE l.l_returnflag <> 'R' AND (l.l_quantity - 10.0) * 1.5 BETWEEN -60 AND 60 AND l.l_discount * 1100.0 BETWEEN 0 AND 100""")
 def q_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Save the fitted pipeline to the shared folder, load it, score with
     both; report rows and the largest prediction difference (0 expected)."""
@@ -197,7 +194,6 @@ def q_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "model")
     pipe.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    a = pipe.transform(ft.table).select(*KEYS, F.col("prediction").alias("p1"))
-    b = loaded.transform(ft.table).select(*KEYS, F.col("prediction").alias("p2"))
-    return (a.join(b, KEYS).agg(F.count(F.lit(1)).alias("n_rows"),
-                                F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff")))
+    once_scored = pipe.transform(ft.table).select(*ft.table.columns, F.col("prediction").alias("p1"))
+    both = loaded.transform(once_scored)  # one frame, row by row
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("max_abs_diff"))

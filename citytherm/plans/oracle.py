@@ -39,7 +39,7 @@ COMPOSITE = f"""
     WHERE urban IS NOT NULL AND rural IS NOT NULL)"""
 
 MATCHED = COMPOSITE + f""",
-  cl AS (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click'),
+  cl AS (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day FROM events),
   cand AS (
     SELECT cl.event_id, cr.day AS match_date, cr.urban, cr.rural,
            row_number() OVER (PARTITION BY cl.event_id

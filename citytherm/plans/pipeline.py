@@ -14,6 +14,7 @@ import argparse
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ class Paths:
 
 
 def window(asof: str) -> tuple[str, str]:
-    """C4: 180 days ending 30 days before the as-of date (inclusive)."""
+    """C4: 180 days up to 30 days before the as-of date: first and last day.
+    Daily weather includes the last day; surface composites end before it."""
     end = dt.date.fromisoformat(asof) - dt.timedelta(days=WINDOW_LAG_DAYS)
     start = end - dt.timedelta(days=WINDOW_DAYS - 1)
     return start.isoformat(), end.isoformat()
@@ -81,7 +83,7 @@ def collect(spark: SparkSession, landing: str, asof: str, cities: DataFrame | No
                         round_half_even(clip(F.lit(1.0) - F.col("ndvi"), 0.0, 1.0), 3).alias("urban_fraction"))
     surf = payloads.surface_readings(
         payloads.read_payloads(spark, f"{landing}/surface", payloads.SURFACE_SCHEMA)
-        .where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
+        .where((F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date"))))
     comp = align.composite_reduce(surf, "city", "date", "pt", "lst", "urban", digits=3,
                                   urban_name="urban_lst", rural_name="rural_lst")
     daily = payloads.daily_rows(
@@ -101,30 +103,50 @@ def collect(spark: SparkSession, landing: str, asof: str, cities: DataFrame | No
                           "urban_lst", "rural_lst", F.lit(SOURCE_TAG).alias("source"))
 
 
+@dataclass
+class Outcome:
+    best_model: str
+    best_pipeline: PipelineModel
+    run: DataFrame
+    model_metric: DataFrame
+    feature_importance: DataFrame
+    assignment: DataFrame
+    did: tuple[str, ...]  # the steps that ran; the others were taken from earlier output
+
+
+REPORTS = ("run", "model_metric", "feature_importance", "assignment")
+
+
 def run_pipeline(spark: SparkSession, landing: str, out: str, asof: str | None = None,
                  profile: str = "fast", models=None, force: bool = False,
-                 fit_scope: str = "train") -> learn.RunResult:
+                 fit_scope: str = "train", cities: DataFrame | None = None) -> Outcome:
     """collect -> raw stage -> preprocess -> processed stage -> train -> model
-    and reports.  Collection always runs when ``force``; later stages are
-    skipped when their output exists, unless ``force``."""
+    and reports.  A step whose output exists is not run unless ``force``; a step
+    that runs replaces its output and reports.  ``cities`` limits a collection to a subset."""
     p = Paths(out.rstrip("/"))
-    asof = asof or dt.date.today().isoformat()
-    raw = collect(spark, landing, asof)
-    if not raw.take(1):
-        raise RuntimeError("no data collected")
-    stages.write_stage(raw, p.raw, force=force)
-    raw = spark.read.parquet(p.raw)
-    prep = preprocess.preprocess(raw, require_rows=True)
-    stages.write_stage(prep.table, p.processed, force=force)
-    stages.write_stage(prep.outliers, p.outliers, force=force)
-    table = spark.read.parquet(p.processed)
-    res = learn.train_models(table, prep.feature_names, features.TARGET_COLUMN, features.GROUP_COLUMN,
-                             profile=profile, models=models, fit_scope=fit_scope)
-    res.best_pipeline.write().overwrite().save(p.model)
-    for name, df in (("run", res.run), ("model_metric", res.model_metric),
-                     ("feature_importance", res.feature_importance)):
-        df.write.mode("append").parquet(p.report(name))
-    return res
+    did = []
+    if force or not stages.exists(spark, p.raw):
+        did.append("collect")
+        stages.write_stage(collect(spark, landing, asof or dt.date.today().isoformat(), cities), p.raw, force=True)
+        if spark.read.parquet(p.raw).isEmpty():
+            raise RuntimeError("no data collected")
+    if force or did or not stages.exists(spark, p.processed):
+        did.append("preprocess")
+        prep = preprocess.preprocess(spark.read.parquet(p.raw), require_rows=True)
+        stages.write_stage(prep.outliers, p.outliers, force=True)
+        names = spark.createDataFrame(list(enumerate(prep.feature_names, 1)), "position int, feature string")
+        stages.write_stage(names, p.report("features"), force=True)
+        stages.write_stage(prep.table, p.processed, force=True)
+    if force or did or not stages.exists(spark, p.report("run")):
+        did.append("train")
+        names = [r["feature"] for r in spark.read.parquet(p.report("features")).orderBy("position").collect()]
+        res = learn.train_models(spark.read.parquet(p.processed), names, features.TARGET_COLUMN, features.GROUP_COLUMN,
+                                 profile=profile, models=models, fit_scope=fit_scope)
+        res.best_pipeline.write().overwrite().save(p.model)
+        for name in reversed(REPORTS):  # the run row last: it says that the others are there
+            stages.write_stage(getattr(res, name), p.report(name), force=True)
+    reports = {name: spark.read.parquet(p.report(name)) for name in REPORTS}
+    return Outcome(reports["run"].first()["best_model"], PipelineModel.load(p.model), **reports, did=tuple(did))
 
 
 def main() -> None:

@@ -228,22 +228,32 @@ def q_ols_fit(spark: SparkSession, sf: str) -> DataFrame:
 # E22 - E24, F1, C6
 # --------------------------------------------------------------------------
 BINS = 40
+FINE_BINS = 55
 
 
-@register("histogram_fixed", f"""
+def _histogram_sql(bins: int) -> str:
+    return f"""
 WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
-  b AS (SELECT CAST(CASE WHEN hi > lo THEN least(floor((value - lo) / ((hi - lo) / {D(float(BINS))})), {BINS - 1})
+  b AS (SELECT CAST(CASE WHEN hi > lo THEN least(floor((value - lo) / ((hi - lo) / {D(float(bins))})), {bins - 1})
                     ELSE 0 END AS INTEGER) AS bin, count(*) AS n
         FROM events, r WHERE value IS NOT NULL GROUP BY 1),
-  e AS (SELECT CAST(range AS INTEGER) AS bin, lo, hi FROM range({BINS}), r)
-SELECT e.bin, {R(f'lo + e.bin * ((hi - lo) / {D(float(BINS))})')} AS lower,
-       {R(f'lo + (e.bin + 1) * ((hi - lo) / {D(float(BINS))})')} AS upper,
+  e AS (SELECT CAST(range AS INTEGER) AS bin, lo, hi FROM range({bins}), r)
+SELECT e.bin, {R(f'lo + e.bin * ((hi - lo) / {D(float(bins))})')} AS lower,
+       {R(f'lo + (e.bin + 1) * ((hi - lo) / {D(float(bins))})')} AS upper,
        coalesce(b.n, 0) AS n
-FROM e LEFT JOIN b ON e.bin = b.bin""")
+FROM e LEFT JOIN b ON e.bin = b.bin"""
+
+
+@register("histogram_fixed", _histogram_sql(BINS))
 def q_histogram_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(profile.histogram(Tables(spark, sf).events, "value", BINS))
 
 
+@register("histogram_fine", _histogram_sql(FINE_BINS))
+def q_histogram_fine(spark: SparkSession, sf: str) -> DataFrame:
+    return round_doubles(profile.histogram(Tables(spark, sf).events, "value", FINE_BINS))
+
+
 @register("box_summary", f"""
 WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
                   quantile_cont(value, 0.75) AS q3, avg(value) AS mean, stddev_samp(value) AS sd,

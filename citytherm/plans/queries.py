@@ -33,8 +33,7 @@ def _composite(t: Tables) -> DataFrame:
 
 
 def _matched(t: Tables, method: str = "offsets") -> DataFrame:
-    clicks = t.events.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
-    return align.nearest_asof(clicks, _composite(t), "user_id", "ts", "day",
+    return align.nearest_asof(t.events.select("event_id", "user_id", "ts"), _composite(t), "user_id", "ts", "day",
                               ["urban", "rural"], tolerance_days=MATCH_TOLERANCE_DAYS,
                               method=method)
 
@@ -89,4 +88,4 @@ def q_group_ranking(spark: SparkSession, sf: str) -> DataFrame:
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The slice end to end: users ranked by mean contrast, highest first."""
     r = q_group_ranking(spark, sf)
-    return r.orderBy(F.col("mean").desc(), F.col("user_id")).limit(20)
+    return r.orderBy(F.col("mean").desc(), F.col("user_id"))

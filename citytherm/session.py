@@ -8,6 +8,7 @@ is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,13 +30,20 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "citytherm", extra: dict | None = None) -> SparkSession:
-    """Return the active session or build a local one with ``DEFAULT_CONF``."""
+    """Return the active session or build one with ``DEFAULT_CONF``.
+
+    A master is set only when given, so a submitted job keeps the submitted
+    one; driver memory only for a local master, where the driver does the work.
+    """
     active = SparkSession.getActiveSession()
     if active is not None and master is None:
         return active
-    b = SparkSession.builder.appName(app_name).master(master or "local[*]")
+    b = SparkSession.builder.appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.driver.memory"] = os.environ.get("CITYTHERM_DRIVER_MEMORY", "16g")
+    if master is not None:
+        b = b.master(master)
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = os.environ.get("CITYTHERM_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -52,13 +60,11 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     """Partition sizing for a given input volume (e.g. 100 TB on a large cluster).
 
     Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    of input (at least 2x the cores, at most 65536); AQE then coalesces small partitions
-    and splits skewed ones above 4x the advisory size, so partitions fit in
+    of input (at least 2x the cores); AQE then coalesces small partitions and
+    splits skewed ones above 4x the advisory size, so partitions fit in
     executor memory without spilling whole groups.
     """
-    # input bytes over-estimate shuffle bytes (pruned columns, partial
-    # aggregation), and AQE coalesces, so the count is capped
-    parts = min(max(int(input_bytes // target_partition_bytes) + 1, 2 * (cores or 1)), 65536)
+    parts = max(int(input_bytes // target_partition_bytes) + 1, 2 * (cores or 1))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -70,13 +76,17 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder from the session; set a local one only if unset."""
+    """Checkpoint folder from the session.  Where it is unset, a local master
+    gets a temporary one; on a cluster that would be each machine's own, so it
+    is an error there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="citytherm-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -9,10 +9,12 @@ executor costs a recomputed task, not a lost stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from citytherm.session import ensure_checkpoint_dir, shared_dir
+from citytherm.session import shared_dir
 
 # Timestamps in CSV/JSON stage files keep microseconds (Spark's default text
 # format stops at milliseconds, which would silently truncate them).
@@ -22,16 +24,6 @@ TEXT_TIME_OPTIONS = {
 }
 
 
-def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stage table; a table stored in fewer files than there are
-    cores (small data after AQE coalescing, one row group per file) is
-    spread over the cores so later passes are parallel.  A large table
-    already has more splits than cores and is read as is."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return a fresh scan.
 
@@ -88,39 +80,38 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return r.format(fmt).load(path)
 
 
-def stage_path(spark: SparkSession, *parts: str) -> str:
-    """A deterministic stage folder for this application under the shared root."""
-    import hashlib
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
-    key = hashlib.sha1("/".join(parts).encode()).hexdigest()[:16]
-    return f"{root}/stages/{app}/{key}"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def publish(spark: SparkSession, tmp: str, final: str) -> str:
-    """Move a fully written folder to its final name; if another writer got
-    there first, keep theirs.  Readers never see a half-written stage."""
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, final)
-    fs.mkdirs(dst.getParent())
-    if not fs.exists(dst) and fs.rename(src, dst):
-        return final
-    return final if fs.exists(dst) else tmp
-
-
-def cached_stage(spark: SparkSession, build, *parts: str, force: bool = False) -> DataFrame:
-    """A10 for derived tables: read the committed stage table if it exists,
-    otherwise build it (a DataFrame-producing callable), write it to a
-    private folder, publish it under the shared name, and read it."""
-    path = stage_path(spark, *parts)
-    if force or not exists(spark, path):
-        tmp = shared_dir(spark, "stage-tmp")
-        build().write.mode("overwrite").parquet(tmp)
-        path = publish(spark, tmp, path) if not force else tmp
-    return read_back(spark, path)
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Length and latest change of every input folder or file, as text."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        status = list(fs.listStatus(p)) if fs.exists(p) else []
+        found.append((path, sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in status)))
+    return repr(found)
+
+
+_BUILT: dict[tuple, str] = {}
+
+
+def once(spark: SparkSession, build: Callable[[str], None], *parts: str, inputs: Sequence[str] = (), force: bool = False) -> str:
+    """The folder that ``build(folder)`` wrote for these parts and the present
+    state of the inputs, in this application.  Each build has a folder of its own
+    and is known only when complete, so a reader never meets a partial stage,
+    and ``force`` or changed inputs give a new one that later calls then use."""
+    key = (spark.sparkContext.applicationId, *parts, fingerprint(spark, inputs))
+    if force or key not in _BUILT:
+        path = shared_dir(spark, "stage")
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
+def cached_stage(spark: SparkSession, build: Callable[[], DataFrame], *parts: str, inputs: Sequence[str] = (),
+                 force: bool = False) -> DataFrame:
+    """A10 for derived tables: the stage table of these parts and inputs, built once."""
+    def write(path: str) -> None:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        build().repartition(n).write.parquet(path)  # many files: later passes run on all cores
+    return spark.read.parquet(once(spark, write, *parts, inputs=inputs, force=force))

@@ -40,20 +40,82 @@ def test_leaderboard_tie_goes_to_registry_order(spark):
     assert lb == {"B": 1, "A": 2, "C": 3}
 
 
-def test_ridge_matches_closed_form(spark):
+def _vectors(spark, X, y, extra=()):
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType()), T.StructField("fold", T.IntegerType())])
+    return spark.createDataFrame([(Vectors.dense(x), float(t), int(i % 5)) for i, (x, t) in enumerate(zip(X, y))], schema)
+
+
+def _candidate(name, profile="full"):
+    return next(c for c in learn.build_candidates(profile) if c.name == name)
+
+
+def _data(n=200):
     rng = np.random.default_rng(0)
-    X = rng.normal(size=(200, 3))
-    y = X @ np.array([1.5, -2.0, 0.5]) + 3.0 + rng.normal(scale=0.1, size=200)
-    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
-    df = spark.createDataFrame([(Vectors.dense(x), float(t)) for x, t in zip(X, y)], schema)
-    alpha = 10.0
-    cands = learn.build_candidates("full", 200, float(np.std(y)))
-    ridge = next(c for c in cands if c.name == "Ridge Regression")
-    pm = ridge.grid[[d["alpha"] for d in ridge.grid_desc].index(alpha)]
-    model = ridge.estimator.copy(pm).fit(df)
+    X = rng.normal(size=(n, 3))
+    return X, X @ np.array([1.5, -2.0, 0.5]) + 3.0 + rng.normal(scale=1.0 + (np.arange(n) % 5), size=n)
+
+
+def _ridge(X, y, alpha):
+    Xc, yc = X - X.mean(0), y - y.mean()
+    w = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(X.shape[1]), Xc.T @ yc)
+    return w, y.mean() - X.mean(0) @ w
+
+
+def test_ridge_matches_closed_form(spark):
+    X, y = _data()
+    model = _candidate("Ridge Regression").fit(_vectors(spark, X, y), {"alpha": 10.0}, 200, float(np.std(y)))
+    assert np.allclose(model.coefficients.toArray(), _ridge(X, y, 10.0)[0], atol=1e-6)
+
+
+def test_ridge_fold_errors_match_closed_form(spark):
+    X, y = _data(60)
+    cand, fold = _candidate("Ridge Regression"), np.arange(60) % 5
+    got = learn.fold_errors(_vectors(spark, X, y), "fold", cand, cand.grid_desc)
+    for point, errors in zip(cand.grid_desc, got):
+        for k, e in enumerate(errors):
+            w, b = _ridge(X[fold != k], y[fold != k], point["alpha"])
+            assert abs(e - np.sqrt(np.mean((X[fold == k] @ w + b - y[fold == k]) ** 2))) < 1e-6
+
+
+def test_lasso_meets_its_optimality_conditions(spark):
+    X, y = _data()
+    alpha = 0.1
+    model = _candidate("Lasso Regression").fit(_vectors(spark, X, y), {"alpha": alpha}, 200, float(np.std(y)))
+    w = model.coefficients.toArray()
     Xc, yc = X - X.mean(0), y - y.mean()
-    w = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(3), Xc.T @ yc)
-    assert np.allclose(model.coefficients.toArray(), w, atol=1e-6)
+    slope = Xc.T @ (yc - Xc @ w) / len(y)  # alpha * sign(w) where w is not 0
+    assert all(abs(g - alpha * np.sign(v)) < 1e-3 if v else abs(g) <= alpha + 1e-3 for g, v in zip(slope, w))
+
+
+def test_every_family_and_profile_fits(spark):
+    """A step in one feature: trees and boosters find it, with its importance."""
+    X = np.array([[i % 2, (i * 7) % 11, 1.0] for i in range(80)], dtype=float)
+    y = 10.0 * X[:, 0]
+    rows = _vectors(spark, X, y)
+    for profile, names in (("full", learn.FULL_MODELS), ("fast", learn.FAST_MODELS)):
+        cands = learn.build_candidates(profile)
+        assert [c.name for c in cands] == list(names)
+        for c in cands:
+            point = min(c.grid_desc, key=lambda p: (p.get("n_estimators", 0), p.get("max_depth", 0), p.get("alpha", 0)))
+            point = {**point, **({"n_estimators": 5} if "n_estimators" in point else {})}
+            model = c.fit(rows, point, 80, float(np.std(y)))
+            weights = dict(learn.feature_weights(model, ["step", "noise", "constant"]))
+            assert max(weights, key=lambda f: abs(weights[f])) == "step"
+    assert {p["max_depth"] for p in _candidate("Decision Tree").grid_desc} == {3, 5, 8, learn.MAX_TREE_DEPTH}
+
+
+def test_importance_shares(spark):
+    raw = spark.createDataFrame([("m", "a", -3.0), ("m", "b", 1.0), ("z", "a", 0.0)], "model string, feature string, weight double")
+    got = {(r.model, r.feature): r.importance for r in learn.importance_shares(raw).collect()}
+    assert got == {("m", "a"): 0.75, ("m", "b"): 0.25, ("z", "a"): 0.0}
+
+
+def test_rows_without_group_are_left_out_and_counted(spark):
+    df = spark.createDataFrame([(f"g{i % 10}" if i % 17 else None, float(i % 5), float(i % 5) * 2 + (i % 3)) for i in range(200)], "g string, x double, y double")
+    res = learn.train_models(df, ["x"], "y", "g", models=["Linear Regression"])
+    assert res.run.first()["n_rows_without_group"] == 12 and not res.failed
+    assert {r["split"]: r["n"] for r in res.assignment.groupBy("split").agg(F.count("*").alias("n")).collect()} == {"train": 8, "test": 2}
+    assert res.assignment.agg(F.sum("n_rows")).first()[0] == 188
 
 
 def test_nearest_profiles_fifth_is_zero(spark):

@@ -72,3 +72,27 @@ def test_collect_and_run(spark):
     proc = spark.read.parquet(f"{out}/processed")
     assert len([c for c in proc.columns if c not in ("uhi_intensity", "city_name")]) == 27
     assert spark.read.parquet(f"{out}/reports/model_metric").count() == 2
+    assert res.did == ("collect", "preprocess", "train")
+    # a second run takes everything from the first one
+    again = pipeline.run_pipeline(spark, landing, out, ASOF, models=["Linear Regression"])
+    assert again.did == () and again.best_model == res.best_model and again.model_metric.count() == 2
+    # a forced run replaces the reports, and reports read back as written
+    forced = pipeline.run_pipeline(spark, landing, out, ASOF, models=["Linear Regression"], force=True)
+    assert spark.read.parquet(f"{out}/reports/model_metric").count() == 1 and forced.run.count() == 1
+    assert [r.feature for r in spark.read.parquet(f"{out}/reports/features").orderBy("position").collect()] == forced.run.first()["feature_names"]
+    assert spark.read.parquet(f"{out}/reports/outliers").count() > 0
+    proc = spark.read.parquet(f"{out}/processed")
+    a = forced.best_pipeline.transform(proc).select("prediction").toPandas()
+    assert len(a) == proc.count()
+
+
+def test_surface_window_excludes_its_last_day_and_city_subset(spark):
+    landing = _landing()
+    start, end = pipeline.window(ASOF)
+    _write(f"{landing}/weather_daily", "a", [{"city": "Delhi", "daily": {
+        "time": [end], "temperature_2m_mean": [20.0], "relative_humidity_2m_mean": [50.0], "wind_speed_10m_max": [9.0],
+        "surface_pressure_mean": [1010.0], "cloud_cover_mean": [1.0]}}])
+    _write(f"{landing}/surface", "a", [{"city": "Delhi", "pt": p, "date": end, "dn": 15000} for p in ("urban", "rural_0")])
+    from citytherm.sources.cities import city_frame
+    raw = pipeline.collect(spark, landing, ASOF, cities=city_frame(spark, names=["Delhi"])).collect()
+    assert [(r["name"], r["urban_lst"]) for r in raw] == [("Delhi", None)]

@@ -32,3 +32,36 @@ def test_csv_json_round_trip(spark, smoke_dir):
         stages.write_stage(e, path, fmt=fmt, force=True)
         back = stages.read_stage(spark, path, schema=e.schema, fmt=fmt)
         assert back.exceptAll(e).count() == 0 and e.exceptAll(back).count() == 0
+
+
+def test_cached_stage_follows_inputs_and_force(spark):
+    source = shared_dir(spark, "unit-input")
+    spark.range(3).write.parquet(source)
+    build = lambda: spark.read.parquet(source)
+    first = stages.cached_stage(spark, build, "follow", inputs=[source])
+    spark.range(4).write.mode("append").parquet(source)
+    assert first.count() == 3
+    assert stages.cached_stage(spark, build, "follow", inputs=[source]).count() == 7
+    spark.range(1)
+    forced = stages.cached_stage(spark, lambda: spark.range(9), "follow", inputs=[source], force=True)
+    assert forced.count() == stages.cached_stage(spark, build, "follow", inputs=[source]).count() == 9
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from citytherm import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

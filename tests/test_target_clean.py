@@ -52,3 +52,8 @@ def test_two_phase_quantiles_match_direct(spark, smoke_dir):
     w = wide_quantiles(e, ["value"], [0.25, 0.5, 0.75], ["a", "b", "c"]).first()
     d = e.agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first().q
     assert [w.value__a, w.value__b, w.value__c] == d
+
+
+def test_integer_median_keeps_its_half(spark):
+    df = spark.createDataFrame([(10,), (15,), (None,)], "clouds int")
+    assert sorted(r.clouds for r in clean.median_impute(df, ["clouds"]).collect()) == [10.0, 12.5, 15.0]
