@@ -12,15 +12,18 @@ least the Jaccard similarity.
 
 *Search.*  ``bands`` groups of ``rows`` registers are hashed to buckets.  At
 similarity 0.75 a pair misses all 40 bands of 5 with probability 2e-5.  Buckets
-do not emit all their pairs.  Each member is first paired with one smallest
-member (the pivot it shares most bands with); verified links give components; buckets
-that still hold several components go on with other pivots.  Only when the
-pairs that remain between different components are few (a bound relative to the
-rows) are they listed in full, so no pair that could join two components is left out.
+do not emit all their pairs.  In a pivot round each member is paired with one
+other (of its buckets' first members the one that it shares most bands with) and
+verified links give components, so a large group of near copies costs one pair for
+each member.  Rounds go on while they link much.  Then the members of buckets that
+still hold several components are compared by their registers in blocks of bounded
+size (a bucket of any size is cut into blocks), and only pairs of different
+components whose estimate may reach the threshold leave the task: no pair that
+could join two components is left out.
 
 *Check.*  A pair's registers give the maximum-likelihood similarity from the
 counts of larger, smaller and equal registers and the two set sizes; pairs far
-under the threshold (over 5 standard errors) stop there.  All others are decided
+under the threshold (4.5 standard errors) stop there.  All others are decided
 on the full shingle sets.
 
 Defined cases: null, empty and blank texts have 0 shingles and no links; rows
@@ -50,13 +53,20 @@ class Settings:
     bands: int = 40
     rows: int = 5
     base: float = 1.001
-    pivot_rounds: int = 12
-    full_pairs_per_row: int = 4  # list all remaining pairs below this many per bucket row
+    pivot_rounds: int = 6
+    productive: float = 0.3  # a further pivot round follows one that linked this share of its pairs
+    block: int = 512  # expected members of a bucket that are compared at a time
 
     @property
     def registers(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def floor(self) -> float:
+        """Estimates under this are 4.5 standard errors under the threshold."""
+        j = self.percent / 100
+        return j - 4.5 * (j * (1 - j) / self.registers) ** 0.5
+
 
 _STEP = 0x9E3779B97F4A7C15
 
@@ -132,7 +142,8 @@ def _bands(s: Settings):
                 data, _ = utf8(part.column(1))
                 keys = band_keys(np.frombuffer(data.tobytes(), np.uint16).reshape(part.num_rows, s.registers), s)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), s.bands))], ["key", "node"])
+                    [pa.array(keys.ravel()), pa.array(np.tile(np.arange(s.bands, dtype=np.int32), part.num_rows)),
+                     pa.array(np.repeat(part.column(0).to_numpy(), s.bands))], ["key", "band", "node"])
     return run
 
 
@@ -146,10 +157,9 @@ def _verify(s: Settings):
                 reg = [np.frombuffer(utf8(col[c])[0].tobytes(), np.uint16).reshape(part.num_rows, s.registers) for c in ("ru", "rv")]
                 nu, nv = col["nu"].to_numpy(), col["nv"].to_numpy()
                 j = estimate(*reg, nu, nv, s)
-                floor = s.percent / 100 - 5 * np.sqrt(0.25 / s.registers)
                 u, v = col["u"].to_numpy(), col["v"].to_numpy()
                 ok = np.zeros(part.num_rows, dtype=bool)
-                for i in np.flatnonzero((j >= floor) & (100 * np.minimum(nu, nv) >= s.percent * np.maximum(nu, nv))):
+                for i in np.flatnonzero((j >= s.floor) & (100 * np.minimum(nu, nv) >= s.percent * np.maximum(nu, nv))):
                     if kept[0] != v[i]:
                         kept = (v[i], shingles(*utf8(col["tv"].slice(i, 1)))[0])
                     mine = shingles(*utf8(col["tu"].slice(i, 1)))[0]
@@ -180,65 +190,124 @@ def _pivot_pairs(rest: DataFrame, turn: int) -> DataFrame:
             .select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct())
 
 
-def _all_pairs(rest: DataFrame) -> DataFrame:
-    other = rest.select("key", F.col("node").alias("v"), F.col("comp").alias("vc"))
-    return (rest.join(other, "key").where("node > v and comp <> vc")
-            .select(F.col("node").alias("u"), "v").distinct())
+def _compare(s: Settings):
+    """Rows (key, i, j, b, band, node, comp, n_shingles, registers) sorted by
+    (key, i, j): pairs of members of different components, one of block i and one
+    of block j, whose estimate may reach the threshold.  A pair that shares
+    several buckets leaves from the one of its first common band."""
+    def pairs(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        i, j = group[0][1], group[0][2]
+        left, right = [g for g in group if g[3] == i], [g for g in group if g[3] == j]
+        if len({g[6] for g in group}) < 2:
+            return
+        unpack = lambda side: (np.array([g[5] for g in side]), np.array([g[6] for g in side]), np.array([g[7] for g in side]),
+                               np.frombuffer(b"".join(g[8] for g in side), np.uint16).reshape(len(side), s.registers))
+        node, comp, n, reg = unpack(left)
+        node2, comp2, n2, reg2 = unpack(right)
+        band = group[0][4]
+        for x in range(len(left)):
+            hit = comp2 != comp[x]
+            if i == j:
+                hit[: x + 1] = False
+            hit &= 100 * np.minimum(n[x], n2) >= s.percent * np.maximum(n[x], n2)
+            y = np.flatnonzero(hit)
+            if len(y):
+                same = reg2[y] == reg[x]
+                # equal registers are at least about as frequent as the similarity
+                y, same = y[(e := same.sum(axis=1) >= (s.floor - 0.02) * s.registers)], same[e]
+                first = same.reshape(len(y), s.bands, s.rows).all(axis=2).argmax(axis=1) == band
+                y = y[first]
+                if len(y):
+                    yield np.maximum(node[x], node2[y]), np.minimum(node[x], node2[y])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and row[:3] != group[0][:3]:
+                    for u, v in pairs(group):
+                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                    group = []
+                group.append(row)
+        if group:
+            for u, v in pairs(group):
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+    return run
+
+
+def _block_pairs(rest: DataFrame, sides: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of different components of a bucket, compared block by block."""
+    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = rest.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(s.block))).cast("int").alias("blocks"))
+    rows = (rest.join(size, "key").join(sides.select("node", "n_shingles", "registers"), "node")
+            .withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    dealt = rows.select("key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "band", "node", "comp", "n_shingles", "registers")
+    return (dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+            .mapInArrow(_compare(s), "u long, v long"))
+
+
+def _labelled(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
+    if joined is None:
+        return shared.withColumn("comp", F.col("node"))
+    known = joined.withColumnRenamed("component", "comp")
+    return shared.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def classes(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``documents``."""
-    spark = documents.sparkSession
     texts = documents.select("doc_id", "text")
     rows = stage(texts.mapInArrow(_sketch_rows(s), "doc_id long, n_shingles long, k1 long, k2 long, registers binary"), "sketch")
     filled = rows.where("doc_id is not null and n_shingles > 0")
-    same = filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    member = filled.select("doc_id", "k1", "k2").join(same, ["k1", "k2"]).select("doc_id", "node").distinct()
+    # equal sets are one node, named by the smallest id
+    same = stage(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "nodes")
     heads = (filled.join(same, ["k1", "k2"]).where("doc_id = node")
              .select("node", "n_shingles", "registers").dropDuplicates(["node", "n_shingles", "registers"]))
 
-    bands = heads.select("node", "registers").mapInArrow(_bands(s), "key long, node long")
+    bands = heads.select("node", "registers").mapInArrow(_bands(s), "key long, band int, node long")
     crowded = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
-    shared = stage(bands.join(crowded, "key"), "buckets")
+    shared = stage(bands.join(crowded, "key").select("key", "band", "node"), "buckets")
     wanted = shared.select("node").distinct()
     sides = stage(spread(heads.join(wanted, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
                          .dropDuplicates(["node", "registers"])), "candidates")
 
-    # one document under several texts joins its classes: (doc_id, node) is an edge
-    links = [stage(member.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v")), "copies")]
-    joined = None
-    tested = None
-    for turn in range(s.pivot_rounds + 1):
-        labelled = shared.withColumn("comp", F.col("node")) if joined is None else (
-            shared.join(joined.withColumnRenamed("component", "comp"), "node", "left")
-            .withColumn("comp", F.coalesce("comp", "node")))
-        open_keys = labelled.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-        rest = stage(labelled.join(open_keys, "key").select("key", "node", "comp"), "open")
-        by_comp = rest.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        total = (by_comp.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-                 .agg(F.sum("n").alias("rows"), F.sum((F.col("n").cast("double") * F.col("n") - F.col("nn")) / 2).alias("pairs")).first())
-        if not total["rows"]:
-            break
-        in_full = turn == s.pivot_rounds or total["pairs"] <= s.full_pairs_per_row * total["rows"]
-        pairs = _all_pairs(rest) if in_full else _pivot_pairs(rest, turn)
+    # a document under several texts joins their nodes
+    member = filled.select("doc_id", "k1", "k2").join(same, ["k1", "k2"])
+    several = member.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("u <> v")
+    edges = member.join(several.select("doc_id", "v"), "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
+    edges = stage(edges, "links")
+    joined, tested = None, None
+    for turn in range(s.pivot_rounds):
+        open_rows = _open(_labelled(shared, joined))
+        pairs = _pivot_pairs(open_rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stage(pairs, "pairs")
-        links.append(stage(_links(pairs, sides, s), "links"))
-        discard(rest)
+        links = stage(_links(pairs, sides, s), "links")
+        n_pairs, n_links = pairs.count(), links.count()
         tested = pairs if tested is None else tested.unionAll(pairs)
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.unionAll(more)
+        edges = edges.unionAll(links)
         joined = components(edges)
-        if in_full:
+        if n_links < s.productive * n_pairs or not n_pairs:
             break
-    if joined is None:
-        joined = components(links[0])
-    discard(sides)
-    discard(shared)
-    return (rows.select("doc_id", "n_shingles").join(joined, F.col("doc_id") == F.col("node"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    rest = stage(_open(_labelled(shared, joined)), "open")
+    pairs = _block_pairs(rest, sides, s)
+    if tested is not None:
+        pairs = pairs.join(tested, ["u", "v"], "left_anti")
+    links = stage(_links(pairs, sides, s), "links")
+    joined = components(edges.unionAll(links))
+    for done in (sides, shared, rest):
+        discard(done)
+    # empty sets share a key, but are linked with nothing
+    nodes = rows.select("doc_id", "n_shingles", "k1", "k2").join(same.select("k1", "k2", "node"), ["k1", "k2"], "left")
+    found = nodes.join(joined.select("node", "component"), "node", "left")
+    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component."""
+    keys = labelled.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
+    return labelled.join(keys, "key").select("key", "band", "node", "comp")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

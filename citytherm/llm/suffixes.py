@@ -11,14 +11,13 @@ hash.  Neighbouring windows with one anchor travel as one segment; equal segment
 are counted, not copied.  An anchor with very many different segments is split
 further by the bytes that a block of its windows has in common.
 
-*Judging.*  Within a task, the segments of the task's anchors fill shards of
-bounded size.  Each shard is sorted once and gives its transform (the byte
+*Judging.*  Within a task, segments are cut into blocks of windows that share
+bytes; a block's string that no other string competes with is judged by its count.
+All others fill shards of bounded size.  Each shard is sorted once and gives its transform (the byte
 before each suffix in suffix order).  Shards are merged without sorting their
-suffixes again: the interleave, which shard the next suffix comes from, is refined
-one symbol at a time through the transforms (a stable counting pass), and a
-boundary that first shows in pass d is a common prefix of d - 1.  After ``WIDTH``
-passes the intervals between boundaries hold the suffixes that share ``WIDTH``
-bytes; an interval of weight 2 or more is a repeat.
+suffixes again: the interleave of all suffixes is refined through the transforms,
+two symbols a pass, and the pass in which a suffix loses its last partner gives its
+common prefix.  Suffixes that still share an interval after ``WIDTH`` symbols are repeats.
 
 Defined cases: null texts are empty and lose nothing, as do texts under ``WIDTH``
 bytes; texts with equal or null ``doc_id`` are told apart by a row number, so
@@ -44,7 +43,7 @@ GRAM = 48
 PIECE = 1 << 19  # windows judged at a time, whatever a text's length
 SHARD = 96 << 10  # bytes of segments in one shard
 SPLIT = 256  # different segments of one anchor that are not split further
-BLOCK = 24  # windows of one block when an anchor is split
+BLOCK = 32  # places of one block of windows
 END = 0xFF  # never a byte of UTF-8
 
 
@@ -130,24 +129,28 @@ def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     yield _segment_batch(out)
 
 
+def blocks(seg: bytes, lead: int) -> Iterator[tuple[int, int, bytes]]:
+    """Cut a segment (anchor at ``lead``) into (from, to, name): windows whose
+    places to the anchor fall into one block of ``BLOCK``.  The name holds the bytes
+    that all windows of a block share, so equal windows have equal names."""
+    windows = len(seg) - WIDTH + 1
+    at = 0
+    while at < windows:
+        block = (lead - at) // BLOCK
+        core = lead - block * BLOCK  # the last start that the block can hold
+        to = min(core + 1, windows)
+        yield at, to, block.to_bytes(2, "little") + seg[core: core + WIDTH - BLOCK + 1]
+        at = to
+
+
 def _split_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut segments (with ``lead``, the anchor's place in them) into blocks of
-    windows at equal places to the anchor; ``k`` names the bytes that all windows
-    of a block share, so blocks meet only where these agree."""
+    """Segments cut into blocks that meet only under one name (``k``)."""
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            seg, lead = r["seg"], r["lead"]
-            at = 0
-            while at < r["windows"]:
-                # windows at..to-1 have (lead - start) // BLOCK in common
-                to = min(max(lead - (lead - at) // BLOCK * BLOCK + 1, at + 1), r["windows"])
-                block = (lead - at) // BLOCK
-                core = lead - block * BLOCK  # the last start that the block can hold
-                shared = seg[core: core + WIDTH - BLOCK + 1]
-                piece = seg[at: to + WIDTH - 1]
-                out.append((r["h"], _key(shared + block.to_bytes(2, "little"))[0], *_key(piece), r["rid"], r["start"] + at, lead - at, to - at, piece))
-                at = to
+            for at, to, name in blocks(r["seg"], r["lead"]):
+                piece = r["seg"][at: to + WIDTH - 1]
+                out.append((r["h"], _key(name)[0], *_key(piece), r["rid"], r["start"] + at, r["lead"] - at, to - at, piece))
             if len(out) > 2000:
                 yield _segment_batch(out)
                 out = []
@@ -174,81 +177,103 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank, step = new, step * 2
 
 
-def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards in the order of their suffixes' first ``depth``
-    symbols, and the common prefix with the suffix before (``depth``: that many or more)."""
-    total = sum(map(len, transforms))
-    z = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
-    common = np.full(total, depth, dtype=np.int16)
-    border = np.zeros(total, dtype=bool)
-    border[:1] = True
-    symbol = np.empty(total, dtype=np.uint8)
-    for d in range(1, depth + 1):
-        for s, t in enumerate(transforms):
-            symbol[z == s] = t
+def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = WIDTH) -> np.ndarray:
+    """Common prefixes of the suffixes of several shards, from the shards'
+    (order, transform) alone: for each shard's places, one shard after the other,
+    the longest prefix (even, at most ``depth``, within one string) that another
+    suffix shares.
+
+    The interleave lists suffixes by their first d symbols, in blocks that agree on
+    all of them.  A pass reads the two symbols before each suffix from the
+    transforms and deals the suffixes to these stably: the interleave for d + 2.
+    A block splits where symbols differ; suffixes left alone, or that meet the end of a
+    string, have no longer prefix in common and leave.
+    """
+    sizes = [len(t) for _, t in shards]
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    before = np.concatenate([t for _, t in shards])  # symbol before each suffix, shard by shard in suffix order
+    step = np.empty(begin[-1], dtype=np.int64)  # the suffix that is one symbol longer
+    place = np.empty(begin[-1], dtype=np.int64)
+    for (order, _), n, at in zip(shards, sizes, begin):
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.arange(n)
+        step[at: at + n] = rank[order - 1] + at
+        place[at: at + n] = order + at
+    pair = before[step].astype(np.uint16) << 8 | before
+    ended = (before == END) | (before[step] == END)
+    step = step[step].astype(np.int32)
+    common = np.zeros(begin[-1], dtype=np.int16)
+    now = np.arange(begin[-1], dtype=np.int32)  # the interleave, all in one block
+    block = np.zeros(len(now), dtype=np.int32)
+    for d in range(2, depth + 1, 2):
+        going = ~ended[now]
+        now, block = now[going], block[going]
+        symbol = pair[now]
         order = np.argsort(symbol, kind="stable")
-        block = np.cumsum(border, dtype=np.int32)[order]
-        sorted_symbol = symbol[order]
-        new = border.copy()
-        new[1:] |= (sorted_symbol[1:] != sorted_symbol[:-1]) | (block[1:] != block[:-1])
-        common[new & ~border] = d - 1
-        after = z[order]
-        done = bool((new == border).all()) and bool((after == z).all())
-        z, border = after, new
-        if done:
+        symbol, block, now = symbol[order], block[order], step[now[order]]
+        new = np.ones(len(now) + 1, dtype=bool)
+        new[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        shared = ~(new[:-1] & new[1:])
+        now, block = now[shared], np.cumsum(new[:-1], dtype=np.int32)[shared]
+        if not len(now):
             break
-    common[:1] = 0
-    return z, common
+        common[now] = d
+    out = np.empty(begin[-1], dtype=np.int16)
+    out[place] = common
+    return out
 
 
 def repeated(groups: list[list[tuple[bytes, int]]], shard: int = SHARD) -> list[list[np.ndarray]]:
-    """For groups of different segments (bytes, weight): which window starts of
-    each segment begin a repeat.  Windows of different groups are never equal."""
+    """For groups of different strings (bytes, weight): which window starts of
+    each string begin a repeat.  Windows of different groups are never equal."""
     flat = [(g, i, seg, weight) for g, group in enumerate(groups) for i, (seg, weight) in enumerate(group)]
-    size = sum(len(x[2]) + 1 for x in flat)
-    shards = min(max(2, -(-size // shard)), 200, max(len(flat), 1))
-    texts, owners = [], []
-    for s in range(shards):
-        own = flat[s::shards]  # every group is spread over the shards
-        texts.append(np.frombuffer(b"".join(x[2] + bytes([END]) for x in own), dtype=np.uint8))
-        owners.append(own)
-    sorted_shards = [transform(t) for t in texts]
-    z, common = merge([t for _, t in sorted_shards], WIDTH)
-    begin = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    place = np.empty(len(z), dtype=np.int64)
-    for s, (order, _) in enumerate(sorted_shards):
-        place[z == s] = order + begin[s]
-    # weight of a suffix: its segment's, if a whole window starts there
-    weight = np.zeros(len(z), dtype=np.int64)
-    starts = []
-    for s, own in enumerate(owners):
-        at = begin[s]
-        for g, i, seg, w in own:
-            starts.append((g, i, at, len(seg) - WIDTH + 1))
-            weight[at: at + len(seg) - WIDTH + 1] = w
-            at += len(seg) + 1
-    first = np.flatnonzero(common < WIDTH)
-    sums = np.add.reduceat(weight[place], first) if len(first) else np.zeros(0, np.int64)
-    again = np.zeros(len(z), dtype=bool)
-    again[place] = np.repeat(sums >= 2, np.diff(np.append(first, len(z))))
+    shards = min(max(2, -(-sum(len(x[2]) + 1 for x in flat) // shard)), max(len(flat), 1))
+    dealt = [flat[s::shards] for s in range(shards)]  # every group is spread over the shards
+    common = merge([transform(np.frombuffer(b"".join(x[2] + bytes([END]) for x in own), dtype=np.uint8)) for own in dealt])
     out = [[np.zeros(0, bool)] * len(g) for g in groups]
-    for g, i, at, n in starts:
-        out[g][i] = again[at: at + n]
+    at = 0
+    for own in dealt:
+        for g, i, seg, weight in own:
+            out[g][i] = (common[at: at + len(seg) - WIDTH + 1] >= WIDTH) | (weight >= 2)
+            at += len(seg) + 1
     return out
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by (h, k) -> (h, k, a, b, marks): [from, to) pairs of starts of repeats."""
+    """Segments (h, k, a, b, lead, n, seg) sorted by (h, k) -> (h, k, a, b, marks):
+    [from, to) pairs of starts of repeats."""
+    def cut(group: list) -> dict:
+        """Blocks of a group's segments: name -> {bytes: [weight, places]}."""
+        named: dict = {}
+        for i, (_, _, lead, w, seg) in enumerate(group):
+            for at, to, name in blocks(seg, lead):
+                own = named.setdefault(name, {}).setdefault(seg[at: to + WIDTH - 1], [0, []])
+                own[0] += w
+                own[1].append((i, at))
+        return named
+
     def flush(groups: list) -> Iterator[pa.RecordBatch]:
-        marks = [None] * len(groups)
-        many = [i for i, (_, g) in enumerate(groups) if len(g) > 1]
-        found = repeated([[(seg, w) for _, _, seg, w in groups[i][1]] for i in many]) if many else []
-        for i, f in zip(many, found):
-            marks[i] = f
+        marks = [[np.full(len(x[4]) - WIDTH + 1, x[3] >= 2) for x in g] for _, g in groups]
+        open_sets, places = [], []
+        for at, (_, group) in enumerate(groups):
+            if len(group) > 1:
+                for own in cut(group).values():
+                    if len(own) == 1:  # one string under this name: its weight decides
+                        (_, (w, where)), = own.items()
+                        if w >= 2:
+                            piece, = own
+                            for i, start in where:
+                                marks[at][i][start: start + len(piece) - WIDTH + 1] = True
+                    else:
+                        open_sets.append([(piece, w) for piece, (w, _) in own.items()])
+                        places.append((at, [where for _, where in own.values()]))
+        for found, (at, where) in zip(repeated(open_sets) if open_sets else [], places):
+            for again, spots in zip(found, where):
+                for i, start in spots:
+                    marks[at][i][start: start + len(again)] |= again
         rows = []
         for (key, group), own in zip(groups, marks):
-            for i, (a, b, seg, w) in enumerate(group):
-                again = own[i] if own is not None else np.full(len(seg) - WIDTH + 1, w >= 2)
+            for (a, b, *_), again in zip(group, own):
                 if again.any():
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], again.view(np.int8), [0]))))
                     rows.append((*key, a, b, edge.astype(np.int32).tolist()))
@@ -258,15 +283,15 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     groups, held, last = [], 0, None
     for batch in batches:
-        for h, k, a, b, n, seg in zip(*(c.to_pylist() for c in batch.columns)):
+        for h, k, a, b, lead, n, seg in zip(*(c.to_pylist() for c in batch.columns)):
             if (h, k) != last:
-                if held > 4 * SHARD:
+                if held > 16 * SHARD:
                     yield from flush(groups)
                     groups, held = [], 0
                 groups.append(((h, k), []))
                 last = (h, k)
-            groups[-1][1].append((a, b, seg, n))
-            held += len(seg) if len(groups[-1][1]) > 1 else 0
+            groups[-1][1].append((a, b, lead, n, seg))
+            held += len(seg)
     if groups:
         yield from flush(groups)
 
@@ -275,8 +300,8 @@ def _marked(segments: DataFrame) -> DataFrame:
     """(h, k, a, b, marks) of different segments with repeats."""
     parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # counted first (with partial sums in each task): copies of a segment travel once
-    counted = segments.groupBy("h", "k", "a", "b", "seg").agg(F.count("*").alias("n"))
-    return (counted.select("h", "k", "a", "b", "n", "seg").repartition(parts, "h", "k").sortWithinPartitions("h", "k")
+    counted = segments.groupBy("h", "k", "a", "b", "lead", "seg").agg(F.count("*").alias("n"))
+    return (counted.select("h", "k", "a", "b", "lead", "n", "seg").repartition(parts, "h", "k").sortWithinPartitions("h", "k")
             .mapInArrow(_judge, "h long, k long, a long, b long, marks array<int>"))
 
 

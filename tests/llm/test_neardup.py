@@ -38,8 +38,8 @@ def test_many_copies_and_pivot_rounds(spark, docs_of):
         w = list(base)
         w[rng.randrange(60)] = f"x{i}"
         rows.append((i, " ".join(w)))
-    s = neardup.Settings(full_pairs_per_row=0, pivot_rounds=4)
-    assert sorted(map(tuple, neardup.classes(docs_of(rows), s).collect())) == brute(rows)
+    for s in (neardup.Settings(), neardup.Settings(block=7, pivot_rounds=1), neardup.Settings(pivot_rounds=0)):
+        assert sorted(map(tuple, neardup.classes(docs_of(rows), s).collect())) == brute(rows)
 
 
 def test_null_ids_and_empty_table(spark, docs_of):

@@ -70,15 +70,19 @@ def test_runs_do_not_depend_on_pieces(corpus, monkeypatch):
 
 
 def test_merge_equals_sorting(corpus):
+    """Common prefixes from the transforms equal those of all suffixes sorted together."""
     rng = random.Random(1)
-    shards = [np.frombuffer(("".join(rng.choice("ab") for _ in range(n)) + "\x7f").encode(), np.uint8) for n in (50, 80, 300)]
-    made = [S.transform(t) for t in shards]
-    z, common = S.merge([t for _, t in made], 12)
-    at = [iter(order.tolist()) for order, _ in made]
-    seen = [(np.roll(shards[s], -next(at[s]))[:12]).tobytes() for s in z]
-    assert seen == sorted(seen)
-    share = lambda x, y: next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), 12)
-    assert common[1:].tolist() == [share(x, y) for x, y in zip(seen, seen[1:])]
+    strings = [["".join(rng.choice("ab") for _ in range(n)) for n in sizes] for sizes in ((50, 7), (80,), (300, 1, 90))]
+    made = [S.transform(np.frombuffer(b"".join(x.encode() + b"\xff" for x in own), np.uint8)) for own in strings]
+    got = S.merge(made, 12).tolist()
+    suffixes = [x[i:] for own in strings for x in own for i in range(len(x) + 1)]
+    share = lambda x, y: next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    order = sorted(range(len(suffixes)), key=lambda i: suffixes[i])
+    want = [0] * len(order)
+    for a, b in zip(order, order[1:]):
+        d = min(share(suffixes[a], suffixes[b]), 12) // 2 * 2
+        want[a], want[b] = max(want[a], d), max(want[b], d)
+    assert got == want
 
 
 def test_empty_table(spark, docs_of):
