@@ -60,12 +60,6 @@ def round_half_even(c: ColumnOrName, digits: int) -> Column:
 # --------------------------------------------------------------------------
 # Rescales, defaults, clips
 # --------------------------------------------------------------------------
-def linear(c: ColumnOrName, scale: float, offset: float = 0.0) -> Column:
-    """``c * scale + offset`` (B2)."""
-    out = col(c) * F.lit(float(scale))
-    return out + F.lit(float(offset)) if offset else out
-
-
 def default_if_missing(c: ColumnOrName, default, zero_is_missing: bool = False) -> Column:
     """Null (and optionally 0) -> default."""
     x = col(c)

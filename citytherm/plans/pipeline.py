@@ -94,8 +94,8 @@ def collect(spark: SparkSession, landing: str, asof: str, cities: DataFrame | No
     weather = align.fallback_union(daily, current.select(*daily.columns), "name", tag_col=None)
     dims = cities.select(F.col("city").alias("name"), "lat", "lon")
     rows = (weather.join(F.broadcast(dims), "name")          # bounded city list
-                   .join(consts, "name")                      # D2, inner: no vegetation -> skipped
                    .withColumn("_date", F.to_date(F.substring("timestamp", 1, 10))))
+    rows = align.attach_constants(rows, consts, "name")  # D2, inner: no vegetation -> skipped
     matched = align.nearest_asof(rows, comp.withColumnRenamed("city", "name"), "name", "_date", "date",
                                  ["urban_lst", "rural_lst"], tolerance_days=MATCH_TOLERANCE_DAYS)
     return matched.select("name", "lat", "lon", "temperature", "humidity", "wind_speed", "pressure",

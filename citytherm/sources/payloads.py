@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytherm.functions.expressions import round_half_even
+from citytherm.operators.clean import drop_missing
 
 # Daily-array weather payload: {"city": ..., "daily": {"time": [...], ...}}
 DAILY_FIELDS = ["temperature_2m_mean", "relative_humidity_2m_mean", "wind_speed_10m_max",
@@ -75,8 +76,7 @@ def daily_rows(payload: DataFrame, zero_is_missing: bool = False) -> DataFrame:
         return F.coalesce(F.col(f"daily.{f}"), F.array().cast(f"array<{t}>")).alias(f)
     d = payload.select("city", F.inline(F.arrays_zip(
         arr("time", "string"), *[arr(f, "double") for f in DAILY_FIELDS])))
-    d = d.where(F.col("temperature_2m_mean").isNotNull() & F.col("relative_humidity_2m_mean").isNotNull()
-                & F.col("wind_speed_10m_max").isNotNull())
+    d = drop_missing(d, ["temperature_2m_mean", "relative_humidity_2m_mean", "wind_speed_10m_max"])
     p, c = F.col("surface_pressure_mean"), F.col("cloud_cover_mean")
     p_ok = p.isNotNull() & (p != 0) if zero_is_missing else p.isNotNull()
     c_ok = c.isNotNull() & (c != 0) if zero_is_missing else c.isNotNull()

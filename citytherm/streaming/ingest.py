@@ -21,7 +21,8 @@ def daily_stream(spark: SparkSession, landing: str, zero_is_missing: bool = Fals
 
 def start_daily_ingest(spark: SparkSession, landing: str, raw_table: str, checkpoint: str,
                        zero_is_missing: bool = False, available_now: bool = True) -> StreamingQuery:
-    """Append parsed rows to the raw Parquet table (partitioned by city).
+    """Append parsed weather rows to a Parquet table (partitioned by city): the
+    weather part of a raw row; constants and surface columns join it later, in batch.
 
     The file sink with a checkpoint in the shared folder gives exactly-once
     appends across restarts and lost executors.
