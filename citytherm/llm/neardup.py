@@ -15,11 +15,11 @@ similarity 0.75 a pair misses all 40 bands of 5 with probability 2e-5.  Buckets
 do not emit all their pairs.  In a pivot round each member is paired with one
 other (of its buckets' first members the one that it shares most bands with) and
 verified links give components, so a large group of near copies costs one pair for
-each member.  Rounds go on while they link much.  Then the members of buckets that
-still hold several components are compared by their registers in blocks of bounded
-size (a bucket of any size is cut into blocks), and only pairs of different
-components whose estimate may reach the threshold leave the task: no pair that
-could join two components is left out.
+each member.  Then the members of buckets that still hold several components are
+compared by their registers in blocks of bounded size (a bucket of any size is cut
+into blocks) with their texts at hand, and pairs of different components whose
+estimate may reach the threshold are checked there.  What leaves a block joins
+members that nothing there joined before, at most one link for each.
 
 *Check.*  A pair's registers give the maximum-likelihood similarity from the
 counts of larger, smaller and equal registers and the two set sizes; pairs far
@@ -53,8 +53,7 @@ class Settings:
     bands: int = 40
     rows: int = 5
     base: float = 1.001
-    pivot_rounds: int = 6
-    productive: float = 0.3  # a further pivot round follows one that linked this share of its pairs
+    pivot_rounds: int = 1
     block: int = 512  # expected members of a bucket that are compared at a time
 
     @property
@@ -191,58 +190,78 @@ def _pivot_pairs(rest: DataFrame, turn: int) -> DataFrame:
 
 
 def _compare(s: Settings):
-    """Rows (key, i, j, b, band, node, comp, n_shingles, registers) sorted by
-    (key, i, j): pairs of members of different components, one of block i and one
-    of block j, whose estimate may reach the threshold.  A pair that shares
-    several buckets leaves from the one of its first common band."""
-    def pairs(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        i, j = group[0][1], group[0][2]
-        left, right = [g for g in group if g[3] == i], [g for g in group if g[3] == j]
-        if len({g[6] for g in group}) < 2:
+    """Rows (key, i, j, b, band, node, comp, n_shingles, registers, text) sorted by
+    (key, i, j): links between members of different components, one of block i and
+    one of block j.  A pair that shares several buckets is judged in that of its
+    first common band; a pair that earlier links of the block connect is not."""
+    def links(group: list[tuple]) -> Iterator[tuple[int, int]]:
+        i, j, band = group[0][1], group[0][2], group[0][4]
+        root = {g[6]: g[6] for g in group}
+        if len(root) < 2:
             return
-        unpack = lambda side: (np.array([g[5] for g in side]), np.array([g[6] for g in side]), np.array([g[7] for g in side]),
-                               np.frombuffer(b"".join(g[8] for g in side), np.uint16).reshape(len(side), s.registers))
-        node, comp, n, reg = unpack(left)
-        node2, comp2, n2, reg2 = unpack(right)
-        band = group[0][4]
-        for x in range(len(left)):
-            hit = comp2 != comp[x]
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(g):
+            if g[5] not in sets:
+                sets[g[5]] = shingles(*utf8(pa.array([g[9]], pa.string())))[0]
+            return sets[g[5]]
+        left, right = [g for g in group if g[3] == i], [g for g in group if g[3] == j]
+        n2 = np.array([g[7] for g in right])
+        reg2 = np.frombuffer(b"".join(g[8] for g in right), np.uint16).reshape(len(right), s.registers)
+        comp2 = np.array([g[6] for g in right])
+        for x, mine in enumerate(left):
+            near = (100 * np.minimum(mine[7], n2) >= s.percent * np.maximum(mine[7], n2)) & (comp2 != mine[6])
             if i == j:
-                hit[: x + 1] = False
-            hit &= 100 * np.minimum(n[x], n2) >= s.percent * np.maximum(n[x], n2)
-            y = np.flatnonzero(hit)
-            if len(y):
-                same = reg2[y] == reg[x]
-                # equal registers are at least about as frequent as the similarity
-                y, same = y[(e := same.sum(axis=1) >= (s.floor - 0.02) * s.registers)], same[e]
-                first = same.reshape(len(y), s.bands, s.rows).all(axis=2).argmax(axis=1) == band
-                y = y[first]
-                if len(y):
-                    yield np.maximum(node[x], node2[y]), np.minimum(node[x], node2[y])
+                near[: x + 1] = False
+            near = np.flatnonzero(near)
+            same = reg2[near] == np.frombuffer(mine[8], np.uint16)
+            # registers agree about as often as the sets do, and never much less
+            likely = same.sum(axis=1) >= (s.floor - 0.02) * s.registers
+            near, same = near[likely], same[likely]
+            near = near[same.reshape(len(near), s.bands, s.rows).all(axis=2).argmax(axis=1) == band]
+            if not len(near):
+                continue
+            own = np.broadcast_to(np.frombuffer(mine[8], np.uint16), (len(near), s.registers))
+            fit = estimate(own, reg2[near], np.full(len(near), mine[7]), n2[near], s) >= s.floor
+            for y in near[fit]:
+                other = right[y]
+                if top(mine[6]) != top(other[6]):
+                    a, b = set_of(mine), set_of(other)
+                    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+                    if 100 * both >= s.percent * (len(a) + len(b) - both):
+                        root[top(mine[6])] = top(other[6])
+                        yield max(mine[5], other[5]), min(mine[5], other[5])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(group):
+            found = list(links(group)) if group else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
         group: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if group and row[:3] != group[0][:3]:
-                    for u, v in pairs(group):
-                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                    yield from flush(group)
                     group = []
                 group.append(row)
-        if group:
-            for u, v in pairs(group):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        yield from flush(group)
     return run
 
 
-def _block_pairs(rest: DataFrame, sides: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of different components of a bucket, compared block by block."""
+def _block_links(rest: DataFrame, sides: DataFrame, s: Settings) -> DataFrame:
+    """Links between different components of a bucket, block by block."""
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = rest.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(s.block))).cast("int").alias("blocks"))
-    rows = (rest.join(size, "key").join(sides.select("node", "n_shingles", "registers"), "node")
-            .withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = (rest.join(size, "key").join(sides, "node").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    dealt = rows.select("key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "band", "node", "comp", "n_shingles", "registers")
+    dealt = rows.select("key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "band", "node", "comp",
+                        "n_shingles", "registers", "text")
     return (dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
             .mapInArrow(_compare(s), "u long, v long"))
 
@@ -276,26 +295,13 @@ def classes(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     several = member.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("u <> v")
     edges = member.join(several.select("doc_id", "v"), "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
     edges = stage(edges, "links")
-    joined, tested = None, None
+    joined = None
     for turn in range(s.pivot_rounds):
-        open_rows = _open(_labelled(shared, joined))
-        pairs = _pivot_pairs(open_rows, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        links = stage(_links(pairs, sides, s), "links")
-        n_pairs, n_links = pairs.count(), links.count()
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        edges = edges.unionAll(links)
+        pairs = stage(_pivot_pairs(_open(_labelled(shared, joined)), turn), "pairs")
+        edges = edges.unionAll(stage(_links(pairs, sides, s), "links"))
         joined = components(edges)
-        if n_links < s.productive * n_pairs or not n_pairs:
-            break
     rest = stage(_open(_labelled(shared, joined)), "open")
-    pairs = _block_pairs(rest, sides, s)
-    if tested is not None:
-        pairs = pairs.join(tested, ["u", "v"], "left_anti")
-    links = stage(_links(pairs, sides, s), "links")
-    joined = components(edges.unionAll(links))
+    joined = components(edges.unionAll(stage(_block_links(rest, sides, s), "links")))
     for done in (sides, shared, rest):
         discard(done)
     # empty sets share a key, but are linked with nothing

@@ -38,7 +38,7 @@ def test_many_copies_and_pivot_rounds(spark, docs_of):
         w = list(base)
         w[rng.randrange(60)] = f"x{i}"
         rows.append((i, " ".join(w)))
-    for s in (neardup.Settings(), neardup.Settings(block=7, pivot_rounds=1), neardup.Settings(pivot_rounds=0)):
+    for s in (neardup.Settings(), neardup.Settings(block=7, pivot_rounds=2), neardup.Settings(pivot_rounds=0)):
         assert sorted(map(tuple, neardup.classes(docs_of(rows), s).collect())) == brute(rows)
 
 
