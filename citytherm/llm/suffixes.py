@@ -318,7 +318,8 @@ def repeats(texts: DataFrame) -> DataFrame:
     """(rid, cuts): for texts (rid, text) the byte ranges [start, end) of runs of
     repeats, not yet joined; only texts with repeats."""
     found = texts.select("rid", "text").mapInArrow(_emit_anchors, "h long, rid long, place int")
-    common = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written first: both sides of the join are then plain exchanges, and a hot anchor's rows can be split
+    common = stage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
     hits = found.join(common, "h").groupBy("rid").agg(F.collect_list("place").alias("places"))
     segments = stage(texts.join(hits, "rid").select("rid", "text", "places").mapInArrow(_emit_segments, _SEGMENT), "segments")
     crowd = stage(segments.select("h", "a", "b").distinct().groupBy("h").agg(F.count("*").alias("n")).where(f"n > {SPLIT}").select("h"), "crowd")

@@ -9,6 +9,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, registers string, node long, key string"
 
 
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    from citytherm.session import ship_package
+    ship_package(spark)
+
+
 @pytest.fixture(scope="session")
 def docs_of(spark):
     """Rows of documents from (doc_id, text), with extra columns of clashing names."""
