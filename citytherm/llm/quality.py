@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import held_out, table
+from citytherm.llm.common import held_out, stage, table
 
 
 @dataclass(frozen=True)
@@ -68,13 +68,12 @@ def binned(documents: DataFrame) -> DataFrame:
     """doc_id, host, path, bins: the bin of every measure."""
     rows = documents.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tokens", F.split(F.trim("text"), r"\s+"))
-    bins = []
-    for value, limits in measures().values():
-        at = F.lit(len(limits))
-        for i in reversed(range(len(limits))):
-            at = F.when(value <= limits[i], i).otherwise(at)
-        bins.append(at)
-    return rows.select("doc_id", "host", "path", F.array(*bins).alias("bins"))
+    values, limits = zip(*measures().values())
+    grid = F.array(*[F.array(*[F.lit(x) for x in row]) for row in limits])
+    # each measure is an element of one array, so it is computed once for all its limits
+    bins = F.transform(F.array(*[v.cast("double") for v in values]),
+                       lambda v, i: F.size(F.filter(F.get(grid, i), lambda limit: limit < v)))
+    return rows.select("doc_id", "host", "path", bins.alias("bins"))
 
 
 def posterior(groups: DataFrame, parent: str, name: str, s: Settings) -> DataFrame:
@@ -120,7 +119,7 @@ def fit(features: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tup
 
 def score(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, evidence, site_rate, quality_score."""
-    features = binned(documents)
+    features = stage(binned(documents), "bins")  # a few numbers per text, read by the fit and the score
     evidence, hosts, paths, mean = fit(features, labels, s)
     h = hosts.select(F.col("host").alias("h"), "host_rate")
     p = paths.select(F.col("host").alias("ph"), F.col("path").alias("pp"), "path_rate")
