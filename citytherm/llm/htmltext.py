@@ -5,16 +5,22 @@ rows, loose text) with the containers that they stand in.  Each block is labelle
 content or boilerplate so that the total cost is least:
 
 * a terminal capacity per block from a classifier: a logistic model over the
-  block's shape (length, links, punctuation, kind, place), trained here, plus fixed log
-  odds for containers that say what they hold (``article``, ``nav``, class words);
+  block's shape (length, links, punctuation, kind, place), trained here, plus the log
+  odds that its containers hint at (``article``, ``nav``, class words);
 * smoothness edges between neighbours on the page, weaker over container borders;
 * edges between successive blocks of one container (DOM proximity).
 
+Hints are finite and of the order of the shape's odds, and edges join blocks of
+any hints, so shape and neighbours can outvote them.  Each element is read anew:
+``article`` and ``main`` start over whatever stands around them, and a class word
+of boilerplate weighs by the share of the page's text outside its element, so a
+wrapper (``page with-header``, ``body class="has-sidebar"``) says nothing.
+
 The minimum cut comes from a maximum flow (Dinic) on the page's own small graph.
 
 The classifier's training blocks are those of at most ``sample_pages`` pages
-(smallest hashes) whose containers state their label; the shape model learns
-from them and serves the blocks that no container decides.  All pages are then
+(smallest hashes) whose containers hint clearly at a label; the shape model learns
+from them and weighs in on every block.  All pages are then
 labelled in one map, page by page: no page meets another one.
 
 Defined cases: null and empty html give empty text; broken markup is read as far
@@ -58,6 +64,9 @@ _NOT_CONTENT_WORDS = frozenset(
     "signup login search share sharing social related recommended recommendations comment comments reply replies disqus respond pagination pager widget "
     "copyright legal disclaimer toolbar skip".split())
 _CONTENT_WORDS = frozenset("article post entry story content".split())
+_WORD = 0.75  # weight of a class word beside a tag that states its label
+_ABOVE = 0.25  # what is left of the hint around an element that says the opposite
+_CLEAR = 0.5  # hints that label training blocks
 KINDS = ("p", "heading", "item", "row", "loose")
 
 
@@ -67,51 +76,71 @@ class Block:
     text: str
     links: int  # characters inside links
     parent: int  # nearest container
-    path: tuple[int, ...]
-    stated: int  # 1 content, -1 boilerplate, 0 not said by the containers
+    holder: int  # nearest element of those read
+    hint: float = 0.0  # log odds of content by the containers, in units of ``Settings.stated``
 
 
 @dataclass
 class Settings:
     sample_pages: int = 2_000  # bound on the pages whose blocks train the shape model
-    stated: float = 8.0  # log odds of a container that states its label
+    stated: float = 4.0  # log odds of a tag that states its label
     near: float = 0.8  # smoothness between neighbours in one container
-    far: float = 0.1  # ... over a container border
+    far: float = 0.3  # ... over a container border
     sibling: float = 0.6  # successive blocks of one container
     shape_limit: float = 4.0
     weights: list[float] = field(default_factory=list)
 
 
-def _says(tag: str, attributes: str, inside_content: bool) -> tuple[int, bool]:
-    """What a tag states of what it holds (1, -1, 0), and whether it is hidden."""
-    says = -1 if tag in _NOT_CONTENT or (tag == "header" and not inside_content) else 1 if tag in _CONTENT else 0
+def _says(tag: str, attributes: str) -> tuple[int, bool, bool, bool]:
+    """What a tag states of what it holds (1, -1, 0), whether its class words name
+    content and boilerplate, and whether it is hidden."""
+    says = -1 if tag in _NOT_CONTENT else 1 if tag in _CONTENT else 0
+    good = bad = False
     if "=" in attributes or "hidden" in attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-                return -1, True
+                return -1, False, False, True
             if name in ("class", "id", "role"):
                 words = {w.lower() for w in _WORDS.findall(value)}
-                if words & _NOT_CONTENT_WORDS or value.lower() in ("complementary", "contentinfo", "dialog"):
-                    says = -1
-                elif says == 0 and words & _CONTENT_WORDS:
-                    says = 1
-    return says, False
+                bad = bad or bool(words & _NOT_CONTENT_WORDS) or value.lower() in ("complementary", "contentinfo", "dialog")
+                good = good or bool(words & _CONTENT_WORDS)
+    return says, good, bad, False
+
+
+def _hint(tag: str, says: tuple[int, bool, bool], above: float, share: float) -> float:
+    """The hint inside an element that holds ``share`` of the page's text, from the
+    hint ``above`` it."""
+    stated, good, bad = says
+    if tag == "header" and above <= 0:
+        stated = -1
+    against = _ABOVE * max(above, 0.0)
+    if stated < 0:
+        return against - 1
+    if bad:
+        # an element with much of the page is no sidebar; other words or an article tell the more, the larger it is
+        base = 1.0 if stated else _WORD if good else above
+        return share * base + (1 - share) * (against - _WORD)
+    if stated:
+        return 1.0
+    if good:
+        return above + _WORD if above < 0 else max(above, _WORD)
+    return above
 
 
 def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, stated
-    made = 0
+    stack: list[tuple[str, int]] = [("", 0)]  # tag, number
+    elements: list[tuple] = [("", 0, (0, False, False), False)]  # tag, the element around it, what it says, hidden
     kind, pieces, links, in_link = "loose", [], 0, False
 
     def close() -> None:
         nonlocal pieces, links, kind
         text = " ".join("".join(pieces).split())
         if text:
-            holder = next((n for t, n, _ in reversed(stack) if t in _CONTAINERS or not t))
-            out.append(Block(kind, text, min(links, len(text)), holder, tuple(n for t, n, _ in stack), stack[-1][2]))
+            parent = next((n for t, n in reversed(stack) if t in _CONTAINERS or not t))
+            out.append(Block(kind, text, min(links, len(text)), parent, stack[-1][1]))
         pieces, links = [], 0
 
     at = 0
@@ -137,7 +166,7 @@ def blocks_of(html: str) -> list[Block]:
                 "heading" if tag[0] == "h" and tag != "hr" else "item" if tag in ("li", "dt", "dd") else "row" if tag == "tr" else "loose" if tag == "hr" else "p")
             in_link = in_link and tag not in _CONTAINERS
         if ending:
-            if any(t == tag for t, _, _ in stack):
+            if any(t == tag for t, _ in stack):
                 while stack[-1][0] != tag:
                     stack.pop()
                 stack.pop()
@@ -145,11 +174,10 @@ def blocks_of(html: str) -> list[Block]:
             if tag in ("a", "p", "li") or tag in _BLOCKS:  # these need no end tag: they hold their own block only
                 while stack[-1][0] in _BLOCKS:
                     stack.pop()
-            above = stack[-1][2]
-            says, hidden = _says(tag, attributes, above == 1)
+            *says, hidden = _says(tag, attributes)
             if tag != "a":
-                made += 1
-                stack.append((tag, made, -1 if above == -1 or hidden else says or above))
+                elements.append((tag, stack[-1][1], tuple(says), hidden))
+                stack.append((tag, len(elements) - 1))
         elif tag in _BLOCKS:
             while stack[-1][0] in _BLOCKS:
                 stack.pop()
@@ -158,11 +186,28 @@ def blocks_of(html: str) -> list[Block]:
         cut = rest.rfind("<")  # an unfinished tag
         pieces.append(unescape(rest[:cut] if cut >= 0 and re.match(r"<[a-zA-Z/!?]|<$", rest[cut:]) else rest))
     close()
+    return _hinted(out, elements)
+
+
+def _hinted(blocks: list[Block], elements: list[tuple]) -> list[Block]:
+    """The blocks that are not hidden, with the hints of their elements."""
+    hidden, hints, sizes = [False], [0.0], [0] * len(elements)
+    for _, around, _, own in elements[1:]:
+        hidden.append(own or hidden[around])
+    out = [b for b in blocks if not hidden[b.holder]]
+    for b in out:
+        sizes[b.holder] += len(b.text)
+    for i in range(len(elements) - 1, 0, -1):
+        sizes[elements[i][1]] += sizes[i]
+    for i, (tag, around, says, _) in enumerate(elements[1:], 1):
+        hints.append(_hint(tag, says, hints[around], sizes[i] / max(sizes[0], 1)))
+    for b in out:
+        b.hint = hints[b.holder]
     return out
 
 
 def shape(blocks: list[Block]) -> np.ndarray:
-    """Features of the blocks of a page, without what containers state."""
+    """Features of the blocks of a page, without what containers hint at."""
     n = len(blocks)
     rows = np.zeros((n, 7 + len(KINDS)))
     for i, b in enumerate(blocks):
@@ -175,7 +220,7 @@ def shape(blocks: list[Block]) -> np.ndarray:
 
 def logits(blocks: list[Block], s: Settings) -> np.ndarray:
     """Log odds of content for each block."""
-    stated = s.stated * np.array([b.stated for b in blocks], dtype=float)
+    stated = s.stated * np.array([b.hint for b in blocks], dtype=float)
     if not s.weights:
         return stated
     return stated + np.clip(shape(blocks) @ np.array(s.weights[1:]) + s.weights[0], -s.shape_limit, s.shape_limit)
@@ -246,9 +291,8 @@ def extract(html: str, s: Settings) -> str:
     edges, latest = [], {}
     for i, b in enumerate(blocks):
         if i:
-            same = blocks[i - 1].parent == b.parent and blocks[i - 1].stated == b.stated
-            edges.append((i - 1, i, s.near if same else s.far))
-        if b.parent in latest and latest[b.parent] < i - 1 and blocks[latest[b.parent]].stated == b.stated:
+            edges.append((i - 1, i, s.near if blocks[i - 1].parent == b.parent else s.far))
+        if b.parent in latest and latest[b.parent] < i - 1:
             edges.append((latest[b.parent], i, s.sibling))
         latest[b.parent] = i
     keep = cut(logits(blocks, s), edges)
@@ -261,16 +305,16 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html in batch.column(0).to_pylist():
             blocks = blocks_of(html)
             if blocks:
-                said = [b.stated for b in blocks]
+                said = [b.hint for b in blocks]
                 x = shape(blocks)
-                rows += [x[i].tolist() for i, v in enumerate(said) if v]
-                labels += [float(v > 0) for v in said if v]
+                rows += [x[i].tolist() for i, v in enumerate(said) if abs(v) >= _CLEAR]
+                labels += [float(v > 0) for v in said if abs(v) >= _CLEAR]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels)], ["x", "label"])
 
 
 def fit(pages: DataFrame, s: Settings | None = None) -> Settings:
-    """Train the shape model on blocks whose containers state their label."""
+    """Train the shape model on blocks whose containers hint clearly at their label."""
     s = s or Settings()
     sample = (pages.where("html <> ''").select("html").orderBy(F.xxhash64("html"), "html").limit(s.sample_pages))
     rows = spread(sample).mapInArrow(_training, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label").persist()

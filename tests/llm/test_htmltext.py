@@ -59,3 +59,30 @@ def test_rows_nulls_and_empty(spark):
     got = [(r["page_id"], r["text"]) for r in H.main_text(df, H.Settings()).collect()]
     assert sorted(got, key=str) == sorted([(1, ""), (2, ""), (None, ""), (3, "\n\n".join(TEXT)), (3, "\n\n".join(TEXT)), (4, "\n\n".join(["x y."] * 20_000))], key=str)
     assert H.main_text(df.limit(0), H.fit(df.limit(0))).count() == 0
+
+
+def test_hints_of_wrappers_and_elements_can_be_outvoted(spark):
+    model = H.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    long = ["The first long paragraph, with commas, of the text itself. " * 5, "A second one that goes on, and on, until it ends here. " * 5]
+    text = "".join(f"<p>{t}</p>" for t in long)
+    nav = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">About</a></li></ul></nav>'
+    foot = "<footer>&copy; me</footer>"
+    want = "\n\n".join(t.strip() for t in long)
+    for page in (f'<body class="has-sidebar">{nav}<div>{text}</div>{foot}</body>',
+                 f'<body><div class="page with-header">{nav}{text}{foot}</div></body>',
+                 f'<body class="sidebar-right">{nav}<div id="content">{text}</div>{foot}</body>',
+                 f'<body class="widget cookie-consent-shown"><main>{nav}{text}</main>{foot}</body>',
+                 f'<body class="menu-closed">{nav}<article class="post sidebar-none">{text}</article>{foot}</body>'):
+        assert H.extract(page, model) == want, page
+        if "<div>" not in page and "with-header" not in page:  # a container names the text: no shape needed
+            assert H.extract(page, H.Settings()) == want, page
+
+
+def test_costs_and_neighbours_outvote_a_word():
+    page = '<body><div><p>a</p><p class="story">b b</p><p class="share">c c</p><p class="story">d d</p></div><div class="content">e</div></body>'
+    costs = [b.hint for b in H.blocks_of(page)]
+    assert [c > 0 for c in costs] == [False, True, False, True, True] and max(map(abs, costs)) < 1
+    assert H.extract(page, H.Settings(near=0)).split("\n\n") == ["b b", "d d", "e"]
+    assert H.extract(page, H.Settings(near=3)).split("\n\n") == ["a", "b b", "c c", "d d", "e"]
+    many = "<article><p>text</p></article><article class='comment'><p>no</p></article><p>x</p><div class='promo'>y</div>"
+    assert H.extract(many + "<article>" + "<p>more of it</p>" * 9 + "</article>", H.Settings()).split("\n\n") == ["text"] + ["more of it"] * 9
