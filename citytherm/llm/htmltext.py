@@ -25,7 +25,9 @@ labelled in one map, page by page: no page meets another one.
 
 Defined cases: null and empty html give empty text; broken markup is read as far
 as it goes (an unfinished tag at the end is dropped, unknown references stay as
-they are); without training blocks the shape model is 0 and containers alone
+they are); only scripts, styles, text areas and comments swallow markup; what is
+not shown (``head``, ``svg``, ``button``, ``hidden`` ...) ends with its own or its
+parent's end tag, ``head`` also with the first tag or text that cannot stand in it; without training blocks the shape model is 0 and containers alone
 decide; repeated rows and null ids are carried; other columns are ignored; an
 empty table gives an empty result.
 """
@@ -34,7 +36,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -48,14 +50,17 @@ from pyspark.sql import functions as F
 
 from citytherm.llm.common import spread, table
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|select|svg|iframe|object|head|button)\b[^>]*(?:>.*?(?:</\1\s*>|$)|$)"
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|textarea)(?=[\s/>]|$)[^>]*(?:>.*?(?:</\1\s*>|$)|$)"
                     r"|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)|<[!?][^>]*(?:>|$)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr pre address figcaption summary caption hr legend".split())
 _CONTAINERS = frozenset("html body div section article main nav header footer aside form ul ol dl table tbody thead tfoot blockquote figure "
                         "details dialog fieldset menu center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_HIDDEN = frozenset("head title noscript template select svg foreignobject iframe object button".split())
+_HEAD = frozenset("head title meta link base script style noscript template object".split())  # what may stand in a head
+_CLOSED = frozenset("p h1 h2 h3 h4 h5 h6".split())  # a block that starts closes these
 _NOT_CONTENT = frozenset("nav footer aside form menu dialog".split())
 _CONTENT = frozenset("article main".split())
 _NOT_CONTENT_WORDS = frozenset(
@@ -96,13 +101,13 @@ def _says(tag: str, attributes: str) -> tuple[int, bool, bool, bool]:
     content and boilerplate, and whether it is hidden."""
     says = -1 if tag in _NOT_CONTENT else 1 if tag in _CONTENT else 0
     good = bad = False
-    if "=" in attributes or "hidden" in attributes:
+    if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
                 return -1, False, False, True
-            if name in ("class", "id", "role"):
+            if name in ("class", "id", "role") and tag != "a":  # a link's words are about its goal
                 words = {w.lower() for w in _WORDS.findall(value)}
                 bad = bad or bool(words & _NOT_CONTENT_WORDS) or value.lower() in ("complementary", "contentinfo", "dialog")
                 good = good or bool(words & _CONTENT_WORDS)
@@ -129,26 +134,89 @@ def _hint(tag: str, says: tuple[int, bool, bool], above: float, share: float) ->
     return above
 
 
+class _Open:
+    """The open elements around a place of a page."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # tag, number, nearest container, place of the outermost hidden element
+        self.elements: list[tuple] = [("", 0, (0, False, False))]  # tag, the element around it, what it says
+        self.count: Counter[str] = Counter()
+
+    @property
+    def tag(self) -> str:
+        return self.stack[-1][0]
+
+    @property
+    def hidden(self) -> int:
+        return self.stack[-1][3]
+
+    def push(self, tag: str, attributes: str) -> None:
+        *says, hidden = _says(tag, attributes)
+        _, around, parent, out_of_sight = self.stack[-1]
+        number = len(self.elements)
+        self.elements.append((tag, around, tuple(says)))
+        self.stack.append((tag, number, number if tag in _CONTAINERS else parent, out_of_sight or (len(self.stack) if hidden or tag in _HIDDEN else 0)))
+        self.count[tag] += 1
+
+    def cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            self.count[self.stack.pop()[0]] -= 1
+
+    def drop(self, tag: str) -> None:
+        """Close the innermost element of this tag and all in it."""
+        if self.count[tag]:
+            while self.tag != tag:
+                self.cut(len(self.stack) - 1)
+            self.cut(len(self.stack) - 1)
+
+    def make_room(self, tag: str) -> None:
+        """Close what the start of a tag closes."""
+        if tag == "body":
+            self.cut(self.hidden or len(self.stack) if self.count["body"] else 2 if self.stack[1:] and self.stack[1][0] == "html" else 1)
+        elif self.tag == "head" and tag not in _HEAD:
+            self.cut(len(self.stack) - 1)
+        if tag not in _BLOCKS and tag not in _CONTAINERS:
+            if tag in ("button", "select"):  # these never hold their like
+                self.drop(tag)
+            return
+        if self.tag == "title":  # left open in a head
+            self.drop("title")
+            if self.tag == "head":
+                self.drop("head")
+        elif self.hidden and tag != "hr" and not self.count["foreignobject"]:  # no block stands in a drawing or a choice
+            self.drop("svg")
+            self.drop("select")
+        item, at = tag in ("li", "dt", "dd", "tr"), len(self.stack) - 1
+        while at and self.stack[at][0] not in _CONTAINERS and self.stack[at][0] not in _HIDDEN and (item or self.stack[at][0] not in _BLOCKS):
+            at -= 1
+        self.cut(at + 1 if item or self.stack[at][0] not in _CLOSED else at)
+
+
 def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, int]] = [("", 0)]  # tag, number
-    elements: list[tuple] = [("", 0, (0, False, False), False)]  # tag, the element around it, what it says, hidden
+    now = _Open()
     kind, pieces, links, in_link = "loose", [], 0, False
 
     def close() -> None:
         nonlocal pieces, links, kind
         text = " ".join("".join(pieces).split())
         if text:
-            parent = next((n for t, n in reversed(stack) if t in _CONTAINERS or not t))
-            out.append(Block(kind, text, min(links, len(text)), parent, stack[-1][1]))
+            _, holder, parent, _ = now.stack[-1]
+            out.append(Block(kind, text, min(links, len(text)), parent, holder))
         pieces, links = [], 0
 
+    def read(piece: str) -> None:
+        nonlocal links
+        if now.tag == "head" and piece.strip():
+            now.drop("head")
+        if not now.hidden:
+            pieces.append(unescape(piece))
+            links += len(pieces[-1].strip()) if in_link else 0
+
     at = 0
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            piece = unescape(html[at: m.start()])
-            pieces.append(piece)
-            links += len(piece.strip()) if in_link else 0
+            read(html[at: m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
@@ -156,54 +224,53 @@ def blocks_of(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         ending, attributes = bool(m[2]), m[4]
-        if tag == "a":
-            in_link = not ending
-        elif tag in ("br", "td", "th"):
+        borders = tag in _BLOCKS or tag in _CONTAINERS
+        if ending and now.hidden and now.count[tag] and all(e[0] != tag for e in now.stack[now.hidden:]):
+            now.cut(now.hidden)  # a parent's end tag
+        if borders and not (now.hidden and ending):
+            if not now.hidden:
+                close()  # a block belongs to what holds its end
+            if not ending:
+                now.make_room(tag)
+                if not now.hidden:
+                    close()
+        elif not ending:
+            now.make_room(tag)
+        if now.hidden:
             pieces.append(" ")
-        if tag in _BLOCKS or tag in _CONTAINERS:
-            close()
-            kind = "loose" if ending or tag in _CONTAINERS else (
-                "heading" if tag[0] == "h" and tag != "hr" else "item" if tag in ("li", "dt", "dd") else "row" if tag == "tr" else "loose" if tag == "hr" else "p")
-            in_link = in_link and tag not in _CONTAINERS
+        else:
+            if tag == "a":
+                in_link = not ending
+            elif tag in ("br", "td", "th"):
+                pieces.append(" ")
+            if borders:
+                kind = "loose" if ending or tag in _CONTAINERS else (
+                    "heading" if tag[0] == "h" and tag != "hr" else "item" if tag in ("li", "dt", "dd") else "row" if tag == "tr" else "loose" if tag == "hr" else "p")
+                in_link = in_link and tag not in _CONTAINERS
         if ending:
-            if any(t == tag for t, _ in stack):
-                while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
-        elif tag not in _VOID and not attributes.endswith("/") and (tag in _CONTAINERS or "=" in attributes or "hidden" in attributes):
-            if tag in ("a", "p", "li") or tag in _BLOCKS:  # these need no end tag: they hold their own block only
-                while stack[-1][0] in _BLOCKS:
-                    stack.pop()
-            *says, hidden = _says(tag, attributes)
-            if tag != "a":
-                elements.append((tag, stack[-1][1], tuple(says), hidden))
-                stack.append((tag, len(elements) - 1))
-        elif tag in _BLOCKS:
-            while stack[-1][0] in _BLOCKS:
-                stack.pop()
+            now.drop(tag)
+        elif tag not in _VOID and not attributes.endswith("/") and not (tag == "body" and now.count["body"]):
+            now.push(tag, attributes)
     if at < len(html):
         rest = html[at:]
         cut = rest.rfind("<")  # an unfinished tag
-        pieces.append(unescape(rest[:cut] if cut >= 0 and re.match(r"<[a-zA-Z/!?]|<$", rest[cut:]) else rest))
+        read(rest[:cut] if cut >= 0 and re.match(r"<[a-zA-Z/!?]|<$", rest[cut:]) else rest)
     close()
-    return _hinted(out, elements)
+    return _hinted(out, now.elements)
 
 
 def _hinted(blocks: list[Block], elements: list[tuple]) -> list[Block]:
-    """The blocks that are not hidden, with the hints of their elements."""
-    hidden, hints, sizes = [False], [0.0], [0] * len(elements)
-    for _, around, _, own in elements[1:]:
-        hidden.append(own or hidden[around])
-    out = [b for b in blocks if not hidden[b.holder]]
-    for b in out:
+    """Give the blocks the hints of their elements."""
+    hints, sizes = [0.0], [0] * len(elements)
+    for b in blocks:
         sizes[b.holder] += len(b.text)
     for i in range(len(elements) - 1, 0, -1):
         sizes[elements[i][1]] += sizes[i]
-    for i, (tag, around, says, _) in enumerate(elements[1:], 1):
+    for i, (tag, around, says) in enumerate(elements[1:], 1):
         hints.append(_hint(tag, says, hints[around], sizes[i] / max(sizes[0], 1)))
-    for b in out:
+    for b in blocks:
         b.hint = hints[b.holder]
-    return out
+    return blocks
 
 
 def shape(blocks: list[Block]) -> np.ndarray:

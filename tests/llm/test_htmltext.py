@@ -86,3 +86,18 @@ def test_costs_and_neighbours_outvote_a_word():
     assert H.extract(page, H.Settings(near=3)).split("\n\n") == ["a", "b b", "c c", "d d", "e"]
     many = "<article><p>text</p></article><article class='comment'><p>no</p></article><p>x</p><div class='promo'>y</div>"
     assert H.extract(many + "<article>" + "<p>more of it</p>" * 9 + "</article>", H.Settings()).split("\n\n") == ["text"] + ["more of it"] * 9
+
+
+def test_broken_and_hidden_markup_keeps_the_text():
+    body = "<article><p>One of it.</p><p>Two.</p></article><footer>me</footer>"
+    for page in (f"<html><head><title>no</title><meta charset=utf-8><body>{body}", f"<head><title>no</title><link href=x>{body}", f"<head><title>no<meta charset=x><body>{body}",
+                 f"<head><noscript><link href=x><body>{body}", f"<title>no</title>{body}", f"<head><title>no{body}", f'<body><svg class="i" viewBox="0 0 1 1"/>{body}',
+                 f"<body><div><svg><path d=x></div>{body}", f"<body><svg><path d=x>{body}", f"<body><div><button>no</div>{body}", f"<body><p><select><option>no</p>{body}",
+                 f"<body><div><object data=x>no</div>{body}", f"<body><span><iframe src=x></span>{body}", f"<body><noscript>no<body>{body}", f"<body><p><template><b>no</p>{body}",
+                 f'<body><button>no<button>no</button>{body}', f'<body data-hidden="false" title="Hidden lake">{body}', f'<body data-class="nav" data-x=\'class="menu" hidden\'>{body}'):
+        assert H.extract(page, H.Settings()) == "One of it.\n\nTwo.", page
+    for part in ("<svg><title>no</title><text>no</text></svg>", "<button>no</button>", "<select><option>no<option>no</select>", "<span hidden>no</span>", "<object><p>no</p></object>",
+                 "<noscript><p>no</p></noscript>", "<template><div>no</div></template>", "<svg><foreignObject><div>no</div></foreignObject></svg>", "<iframe>no</iframe>",
+                 "<i style='display: none'>no</i>", "<textarea><p>no</textarea>", "<script>'</p>'</script>"):
+        assert H.extract(f"<article><p>One {part} two.</p><p>Three.</p></article>", H.Settings()) == "One two.\n\nThree.", part
+    assert H.extract("<article>" + "<b></i>" * 30_000 + "<p>end</p></article>", H.Settings()) == "end"
