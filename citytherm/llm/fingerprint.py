@@ -1,14 +1,17 @@
 """Document fingerprints from closed syncmers, with built-in expressions only.
 
-A text is read as tokens: runs of up to 8 characters without white space (longer
-words give several).  A window of ``k`` tokens is an anchor when the smallest
-hash among its ``k - s + 1`` inner windows of ``s`` tokens stands first or last.
-Whether a window is an anchor depends on the window alone, so an edit changes
-only the anchors that touch it.  The fingerprint lists the 32-bit hashes of all
+A text is read as characters, white space and all.  A window of ``k`` characters
+is an anchor when the smallest hash among its ``k - s + 1`` inner windows of ``s``
+characters stands first or last.  Whether a window is an anchor depends on the
+window alone, so an edit changes only the anchors whose characters it touches,
+also in text without spaces.  The fingerprint lists the 32-bit hashes of all
 anchors in text order, 8 hex digits each.
 
+Any ``2 * k - s - 1`` characters in a row hold an anchor.  Shorter texts are read
+with a smaller ``k`` (``LEVELS``), so that three quarters of any text hold one.
+
 Likeness of two fingerprints is the Dice share ``2 * common / (a + b)`` of their
-distinct anchors.
+distinct anchors; a text is read at the level of the shorter one to be compared.
 
 The next document in id order is found without a global sort in one task: ids
 are dealt to ranges by cut points (quantiles, one small array), the first
@@ -16,9 +19,8 @@ document of a range is also sent to the range before it, and a window within
 each range reads the successor.
 
 Defined cases: null and empty texts count as empty, with an empty fingerprint;
-two empty fingerprints have likeness 1, an empty and a filled one 0; texts with
-fewer than ``k`` tokens, or without any anchor, have one anchor, the hash of
-all tokens; rows that tie on ``doc_id`` are ordered by text, and a null
+two empty fingerprints have likeness 1, an empty and a filled one 0; for ``anchors``
+alone, a text without any has one, the hash of all its characters; rows that tie on ``doc_id`` are ordered by text, and a null
 ``doc_id`` comes before all others; with one document the next one is itself;
 other columns are ignored; an empty table gives an empty result.
 """
@@ -30,27 +32,76 @@ from pyspark.sql import functions as F
 
 from citytherm.llm.common import table
 
-K, S = 5, 2
-TOKEN = r"\S{1,8}"
+K, S = 24, 4
+TOKEN = "(?s)."  # one character
+LEVELS = ((2, 1, 0), (4, 1, 8), (8, 2, 17), (K, S, 57))  # k, s and the least number of characters: three quarters hold 2 * k - s - 1
+
+
+def _characters(text: Column) -> Column:
+    return F.transform(F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "")), lambda t: F.xxhash64(t))
+
+
+def _lowest(small: Column, inner: int) -> Column:
+    """At each place the smallest of ``inner`` values from there on: runs of 1, 2, 4 ... joined."""
+    def join(step: int):
+        return lambda o: F.zip_with(o, F.slice(o, step + 1, F.size(o)), lambda a, b: F.least(a, b))
+
+    out, width = small, 1
+    while width < inner:
+        step = min(width, inner - width)
+        out, width = _let(out, join(step)), width + step
+    return out
+
+
+def _places(tokens: Column, k: int, s: int) -> Column:
+    """Places of the closed syncmers, from 0."""
+    inner = k - s + 1
+    small = F.transform(tokens, lambda _, i: F.xxhash64(*[F.get(tokens, i + j) for j in range(s)]))
+
+    def pick(small: Column) -> Column:
+        return F.filter(F.transform(_lowest(small, inner), lambda low, i: F.when((low == F.get(small, i)) | (low == F.get(small, i + inner - 1)), i)),
+                        lambda i: i <= F.size(tokens) - k)
+    return F.when(F.size(tokens) >= k, _let(small, pick)).otherwise(F.array().cast("array<int>"))
+
+
+def _hashes(tokens: Column, places: Column, k: int) -> Column:
+    return F.transform(places, lambda i: F.shiftright(F.xxhash64(*[F.get(tokens, i + j) for j in range(k)]), 32).cast("int"))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<int>: anchor hashes of a text in text order."""
-    def of(tokens: Column) -> Column:
-        small = F.transform(tokens, lambda _, i: F.xxhash64(*[F.get(tokens, i + j) for j in range(s)]))
-        inner = k - s + 1
+    def whole(tokens: Column) -> Column:
+        found = _hashes(tokens, _places(tokens, k, s), k)
+        return _let(found, lambda a: F.when((F.size(a) > 0) | (F.size(tokens) == 0), a).otherwise(F.array(F.shiftright(F.xxhash64(tokens), 32).cast("int"))))
+    return _let(_characters(text), whole)
 
-        def pick(small: Column) -> Column:
-            at = F.filter(F.sequence(F.lit(0), F.size(tokens) - k), lambda i: F.array_min(F.slice(small, i + 1, inner)) >= F.least(
-                F.get(small, i), F.get(small, i + inner - 1)))
-            return F.transform(at, lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(k)]))
-        return F.when(F.size(tokens) >= k, _let(small, pick)).otherwise(F.array().cast("array<bigint>"))
 
-    tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+def level(text: Column) -> Column:
+    """The index in ``LEVELS`` at which a text is read."""
+    out, n = F.lit(0), F.char_length(text)
+    for i, (_, _, least) in enumerate(LEVELS[1:], 1):
+        out = F.when(n >= least, i).otherwise(out)
+    return out
 
-    def whole(tokens: Column) -> Column:
-        return _let(of(tokens), lambda a: F.when(F.size(a) > 0, a).when(F.size(tokens) > 0, F.array(F.xxhash64(tokens))).otherwise(a))
-    return F.transform(_let(tokens, whole), lambda h: F.shiftright(h, 32).cast("int"))
+
+def at_level(text: Column, level: Column, levels: int = len(LEVELS)) -> Column:
+    """Anchors of a text read at a level, one of the first ``levels``."""
+    out = F.when(level == 0, anchors(text, *LEVELS[0][:2]))
+    for i, (k, s, _) in enumerate(LEVELS[1:levels], 1):
+        out = out.when(level == i, anchors(text, k, s))
+    return out
+
+
+def with_kept(text: Column, kept: Column) -> Column:
+    """Anchors at the last level, and how many of them lie in the first ``kept`` characters."""
+    def read(tokens: Column) -> Column:
+        return _let(_places(tokens, K, S), lambda at: F.struct(_hashes(tokens, at, K).alias("a"), F.size(F.filter(at, lambda i: i <= kept - K)).alias("kept")))
+    return _let(_characters(text), read)
+
+
+def windows_of(text: Column) -> Column:
+    """Anchors at the last level of a piece of a longer text; none where no window fits."""
+    return _let(_characters(text), lambda tokens: _hashes(tokens, _places(tokens, K, S), K))
 
 
 def _let(value: Column, body) -> Column:
@@ -114,10 +165,23 @@ def compare(documents: DataFrame) -> DataFrame:
     quarter = F.floor(n / 4).cast("int")
     paired = dealt.select("range", "again", "key", "doc_id", "text", F.lead("text").over(order).alias("next_text"),
                           F.row_number().over(order).alias("place"))
-    edited = paired.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - quarter), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), quarter)))
-    found = edited.select("range", "again", "place", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                          anchors(F.col("text")).alias("a"), F.when(~F.col("again"), anchors(F.col("edited"))).alias("e"))
+    kept = n - quarter
+    edited = (paired.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), quarter)))
+              .withColumn("at", level(F.col("text"))).withColumn("edited_at", level(F.col("edited"))).withColumn("next_at", level(F.col("next_text"))))
+    last = len(LEVELS) - 1
+    # long texts are read once: the edited form shares the windows that lie in the part kept
+    read = (edited.withColumn("own", F.when(F.col("at") == last, with_kept(F.col("text"), kept))
+                              .otherwise(F.struct(at_level(F.col("text"), F.col("at"), last).alias("a"), F.lit(0).alias("kept"))))
+            .withColumn("e", F.when(F.col("again"), None).when((F.col("at") == last) & (F.col("edited_at") == last), F.concat(
+                F.slice("own.a", F.lit(1), F.col("own.kept")), windows_of(F.substring("edited", kept - K + 2, F.char_length("edited")))))
+                .otherwise(at_level(F.col("edited"), F.col("edited_at"), last))))
+    found = read.select("range", "again", "place", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                        F.col("own.a").alias("a"), "e",
+                        F.when(~F.col("again") & (F.col("edited_at") < F.col("at")), at_level(F.col("text"), F.col("edited_at"), last)).alias("a_edited"),
+                        F.when(~F.col("again") & (F.col("next_at") < F.col("at")), at_level(F.col("text"), F.col("next_at"), last)).alias("a_next"),
+                        F.when(~F.col("again") & (F.col("next_at") > F.col("at")), at_level(F.col("next_text"), F.col("at"), last)).alias("n_low"))
     following = F.lead("a").over(Window.partitionBy("range").orderBy("place"))
     return (found.withColumn("n", following).where(~F.col("again"))
             .select("doc_id", "n_chars", "edited_sha256", text_of(F.col("a")).alias("fingerprint"), text_of(F.col("e")).alias("edited_fingerprint"),
-                    likeness(F.col("a"), F.col("e")).alias("near_edited"), likeness(F.col("a"), F.col("n")).alias("near_next")))
+                    likeness(F.coalesce("a_edited", "a"), F.col("e")).alias("near_edited"),
+                    likeness(F.coalesce("a_next", "a"), F.coalesce("n_low", "n")).alias("near_next")))
