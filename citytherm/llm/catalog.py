@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citytherm.llm import bpe, chat, decontaminate, fingerprint, htmltext, neardup, quality, suffixes, toxicity, urls
+from citytherm.llm import bpe, chat, decontaminate, fingerprint, htmltext, neardup, quality, suffixes, tokenfiles, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": htmltext.op8_html_text,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_quality": quality.op10_quality,
+    "op11_token_files": tokenfiles.op11_token_files,
 }
 ORACLE: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
