@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citytherm.llm import bpe, chat, collocation, decontaminate, fingerprint, htmltext, neardup, quality, suffixes, tokenfiles, toxicity, urls
+from citytherm.llm import bpe, chat, collocation, crosstoken, decontaminate, fingerprint, htmltext, neardup, quality, suffixes, tokenfiles, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality.op10_quality,
     "op11_token_files": tokenfiles.op11_token_files,
     "op12_collocations": collocation.op12_collocations,
+    "op13_token_alignment": crosstoken.op13_token_alignment,
 }
 ORACLE: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
