@@ -50,11 +50,11 @@ class Settings:
     vocabulary: Vocabulary = Vocabulary("word_bpe_49k.json", blank=True)
     terminals: int = 49_408       # ids below this are tokens
     end_id: int = 2
-    shard_tokens: int = 1 << 19
+    shard_tokens: int = 1 << 17
     least: int = 12               # a pair with fewer occurrences is no rule
-    gain: float = 0.005           # rounds end once one shortens the shard by less than this share
+    gain: float = 0.02           # rounds end once one shortens the shard by less than this share
     rules_a_round: int = 4_096
-    slice_bytes: int = 1 << 20
+    slice_bytes: int = 4 << 20
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, size: int, most: int) -> np.ndarray:
@@ -97,10 +97,10 @@ def compress(ids: np.ndarray, s: Settings = Settings()) -> tuple[np.ndarray, np.
             break
         keys = np.sort(keys[pick])
         left, right = keys >> 32, keys & 0xFFFFFFFF
-        # only pairs whose left symbol is in a rule are looked up
-        begins = np.zeros(size, dtype=bool)
-        begins[left] = True
-        at = np.flatnonzero(begins[symbols[:-1]])
+        # only pairs of symbols that a rule has on these sides are looked up
+        begins, ends = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        begins[left] = ends[right] = True
+        at = np.flatnonzero(begins[symbols[:-1]] & ends[symbols[1:]])
         rule = np.searchsorted(keys, pairs[at])
         hit = keys[np.minimum(rule, len(keys) - 1)] == pairs[at]
         at, rule = at[hit], rule[hit]

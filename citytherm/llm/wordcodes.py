@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 @dataclass(frozen=True)
@@ -22,7 +24,7 @@ class Vocabulary:
     name: str                    # a file of public_tokenizers, read on each worker
     plain_specials: bool = False  # strings of special tokens inside texts are ordinary text
     blank: bool = False           # white space and the case of A-Z make no difference to the ids
-    table_pieces: int = 500_000
+    table_pieces: int = 800_000
     table_length: int = 48
 
 
@@ -81,60 +83,56 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.rank: dict[bytes, int] = {}
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.int32)
-        self.n = 0
-
-    def _add(self, ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = self.ends[self.n] + int(lengths.sum())
-        while self.n + len(ids) + 1 > len(self.ends):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        while total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.ends[self.n]: total] = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
-        self.ends[self.n + 1: self.n + 1 + len(ids)] = self.ends[self.n] + np.cumsum(lengths)
-        self.n += len(ids)
+        self.table = pa.array([], pa.large_binary())
+        self.ids = np.zeros(0, np.int32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _library(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat, lengths = [], []
+        for at in range(0, len(pieces), 4096):
+            part = [p.decode("utf-8", "replace") for p in pieces[at: at + 4096].to_pylist()]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1].sum())))
+        return np.concatenate(flat), np.concatenate(lengths)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and their row offsets."""
-        if not len(data):
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        if self.vocabulary.blank:
+        if self.vocabulary.blank and len(data):
             data, starts, offsets = _blank(data, offsets)
-            if not len(data):
-                return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        else:
+        elif len(data):
             starts = _pieces(data, offsets)
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         bounds = np.append(starts, len(data)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         coded = column.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.rank) > self.vocabulary.table_pieces:
+        if len(self.table) > self.vocabulary.table_pieces:
             self._clear()
-        base = (self.n, int(self.ends[self.n]))
-        place = [self.rank.get(p, -1) for p in distinct]
-        new = [i for i, r in enumerate(place) if r < 0]
-        kept = 0
-        if new:
-            # short pieces first: only these stay in the table
-            new.sort(key=lambda i: len(distinct[i]) > self.vocabulary.table_length)
-            for at in range(0, len(new), 4096):
-                part = new[at: at + 4096]
-                self._add([e.ids for e in self.tokenizer.encode_batch_fast([distinct[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)])
-            for r, i in enumerate(new, base[0]):
-                place[i] = r
-                if len(distinct[i]) <= self.vocabulary.table_length:
-                    self.rank[distinct[i]] = r
-                    kept += 1
-        rank = np.array(place, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.ends[rank + 1] - self.ends[rank]
+        known = pc.index_in(coded.dictionary, value_set=self.table)
+        new = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
+        place = known.fill_null(0).to_numpy().astype(np.int64)
+        ids, ends = self.ids, self.ends
+        if len(new):
+            # short pieces first: only these go to the table
+            pieces = coded.dictionary.take(pa.array(new))
+            short = pc.less_equal(pc.binary_length(pieces), self.vocabulary.table_length).to_numpy(zero_copy_only=False)
+            order = np.argsort(~short, kind="stable")
+            pieces = pieces.take(pa.array(order))
+            more, lengths = self._library(pieces)
+            ids = np.concatenate((ids, more))
+            ends = np.concatenate((ends, ends[-1] + np.cumsum(lengths)))
+            place[new[order]] = len(self.table) + np.arange(len(new))
+            kept = int(short.sum())
+            self.table = pa.concat_arrays([self.table, pieces[:kept]])
+            self.ends = ends[: len(self.table) + 1]
+            self.ids = ids[: self.ends[-1]]
+        rank = place[coded.indices.to_numpy(zero_copy_only=False)]
+        begin = ends[rank]
+        lengths = ends[rank + 1] - begin
         out = np.zeros(len(rank) + 1, np.int64)
         np.cumsum(lengths, out=out[1:])
-        ids = self.flat[np.repeat(self.ends[rank] - out[:-1], lengths) + np.arange(out[-1])]
-        self.n = base[0] + kept  # long pieces are forgotten
-        return ids, out[np.searchsorted(starts, offsets)]
+        return ids[np.repeat(begin - out[:-1], lengths) + np.arange(out[-1])], out[np.searchsorted(starts, offsets)]
 
     @classmethod
     def of(cls, v: Vocabulary) -> Encoder:
