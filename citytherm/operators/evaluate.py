@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from citytherm.functions.expressions import (minmax_normalise, round_half_even,
                                              sample_excess_kurtosis, sample_skewness)
 from citytherm.functions.stats import global_median, scalars
+from citytherm.sources.stages import materialize
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -59,8 +60,8 @@ def residual_moments(df: DataFrame, residual: str) -> DataFrame:
 
 def group_error(df: DataFrame, group: str, residual: str) -> DataFrame:
     """MAE per group and whether it is below the median group's MAE."""
-    per = (df.where(F.col(group).isNotNull())
-             .groupBy(group).agg(F.avg(F.abs(F.col(residual))).alias("mae")))
+    per = materialize(df.where(F.col(group).isNotNull())  # one row per group, read by the median and the result
+                      .groupBy(group).agg(F.avg(F.abs(F.col(residual))).alias("mae")), "group-error")
     med = scalars(global_median(per, "mae", "_med"))("_med")  # one value
     return per.withColumn("below_median", F.col("mae") < med)
 

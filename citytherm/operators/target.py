@@ -17,6 +17,8 @@ def contrast_target(df: DataFrame, urban: str, rural: str, group: str | None,
     Rows with a null group key take the global median (a null key forms no
     group).  If no row has a pair, the target stays null.
 
+    ``df`` is read several times: write a dear plan first.
+
     Plan: the group medians are one aggregate (partial, map-side) joined back
     on the group key -- not a window, which would put a whole group in one
     task; the global median is a one-row aggregate broadcast to every row.
