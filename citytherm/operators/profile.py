@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import MONTH_NAMES, month_name
+from citytherm.functions.moments import co_moments
 from citytherm.functions.stats import quantiles, scalars, wide_quantiles
 
 
@@ -127,33 +128,30 @@ def headline(df: DataFrame, group: str, value: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Correlation and least squares
 # --------------------------------------------------------------------------
+def _pearson():
+    spread = F.sqrt(F.col("c_ii")) * F.sqrt(F.col("c_jj"))
+    return F.when(spread > 0, F.greatest(F.least(F.col("c_ij") / spread, F.lit(1.0)), F.lit(-1.0))).alias("r")
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for every ordered pair, long form.
+    """Pairwise-complete Pearson r for every ordered pair, long form; null
+    where a column of the pair is constant or the pair has no rows.
 
-    One aggregate pass computes all p(p-1)/2 coefficients.
+    One pass adds up the co-moments of all pairs as matrices, whatever their number.
     """
-    cols = list(cols)
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            names.append((a, b))
-            aggs.append(F.corr(a, b).alias(f"{a}__{b}"))
-    wide = df.agg(*aggs)
-    entries = []
-    for a, b in names:
-        entries += [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")),
-                    F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("r"))]
-    for a in cols:
-        entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(a).alias("col_b"),
-                                F.lit(1.0).alias("r")))
-    return wide.select(F.inline(F.array(*entries)))
+    names = F.array(*[F.lit(c) for c in cols])
+    pairs = co_moments(df, cols).where("i < j").select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), _pearson())
+    both = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b"), "r"),
+                                         F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"), "r"))))
+    own = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")
+    return both.unionByName(own)
 
 
 def corr_with_target(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """R of each feature with the target, with rank by |r| (1 = strongest)."""
-    wide = df.agg(*[F.corr(f, target).alias(f) for f in features])
-    entries = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("r")) for f in features]
-    long = wide.select(F.inline(F.array(*entries)))
+    names = F.array(*[F.lit(f) for f in features])
+    found = co_moments(df, [*features, target]).where((F.col("j") == len(features)) & (F.col("i") < len(features)))
+    long = found.select(F.get(names, "i").alias("feature"), _pearson())
     w = Window.orderBy(F.abs(F.col("r")).desc_nulls_last(), F.col("feature"))
     return long.withColumn("abs_rank", F.row_number().over(w))  # p rows only
 
