@@ -10,9 +10,11 @@ fitted parameters (a few numbers per model).
 * H5 models: LinearRegression (plain, ridge, lasso), DecisionTree,
   RandomForest, GBT, and two further GBT profiles standing in for the two
   optional third-party boosters.
-* H6 grid search and H7 outer CV: one fit per (point, fold) on filters of one
-  staged table; a ridge or lasso penalty is set from the rows that the fold
-  trains on.  Nothing is refitted that is not used.
+* H6 grid search and H7 outer CV of the linear models: no fits at all, every
+  penalty and fold follows from one pass of cross-products (``operators.linear``).
+* H6/H7 of the tree models: fits on filters of one staged table.  Depths of trees
+  and forests and steps of boosters are read off one fit at the largest
+  (``operators.trees``), so a grid needs one fit for each other setting and fold.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import round_half_even
 from citytherm.functions.stats import scalars
-from citytherm.operators import evaluate, split
+from citytherm.operators import evaluate, linear, split, trees
 from citytherm.sources.stages import materialize
 
 SEED = 42
@@ -129,6 +131,8 @@ class Candidate:
     estimator: object
     grid_desc: list[dict]  # reference parameter names
     settings: Callable[[dict, int, float], dict]
+    solve: linear.Solver | None = None  # from sufficient statistics, for linear models
+    nested: str | None = None  # parameter whose smaller values are prefixes of the largest one's model
 
     def fit(self, rows: DataFrame, point: dict, n: int, std: float):
         return self.estimator.copy(self.settings(point, n, std)).fit(rows)
@@ -187,7 +191,9 @@ def build_candidates(profile: str, features_col: str = "features", label: str =
         for c in points:
             if "max_depth" in c:
                 c["max_depth"] = _tree_depth(c["max_depth"])
-        out.append(Candidate(name, est, points, settings))
+        solve = {"Linear Regression": linear.ridge, "Ridge Regression": linear.ridge, "Lasso Regression": linear.lasso}.get(name)
+        nested = None if solve else "max_depth" if name in ("Decision Tree", "Random Forest") else "n_estimators"
+        out.append(Candidate(name, est, points, settings, solve, nested))
     return out
 
 
@@ -230,6 +236,7 @@ class Prepared:
     n_train: int
     label_std: float
     n_no_group: int = 0    # labelled rows without a group, left out
+    statistics: dict | None = None  # of (split, fold, outer_fold), computed when first asked for
 
     @property
     def train(self) -> DataFrame:
@@ -239,6 +246,17 @@ class Prepared:
     def test(self) -> DataFrame:
         return self.rows.where(F.col("split") == "test")
 
+    def folds(self, fold: str) -> dict:
+        """Sufficient statistics of each "fold" (training rows) or "outer_fold"
+        (all rows): one pass over the rows for both."""
+        if self.statistics is None:
+            self.statistics = linear.statistics(self.rows, ["split", "fold", "outer_fold"])
+        own: dict[int, list] = {}
+        for (part, inner, outer), s in sorted(self.statistics.items(), key=str):
+            if fold == "outer_fold" or part == "train":
+                own.setdefault(inner if fold == "fold" else outer, []).append(s)
+        return {k: linear.merged(v) for k, v in own.items() if k is not None}
+
     def unpersist(self):
         self.rows.unpersist()
 
@@ -278,22 +296,37 @@ def prepare(table: DataFrame, features: Sequence[str], label: str, group: str,
                     labelled.where(F.col(group).isNull()).count())
 
 
-def fold_errors(rows: DataFrame, fold: str, cand: Candidate, points: Sequence[dict], parallelism: int = 4) -> list[list[float]]:
+def fold_errors(rows: DataFrame, fold: str, cand: Candidate, points: Sequence[dict], parallelism: int = 4,
+                folds: dict | None = None) -> list[list[float]]:
     """RMSE of every (point, fold): fitted on the other folds, with settings from
-    their own number of rows and label spread."""
+    their own number of rows and label spread.  Linear models are solved from
+    ``folds``, the folds' sufficient statistics (one pass if not given)."""
+    if cand.solve is not None:
+        if folds is None:
+            folds = {k: s for (k,), s in linear.statistics(rows.where(F.col(fold).isNotNull()), [fold]).items()}
+        return linear.fold_errors(folds, cand.solve, [p.get("alpha", 0.0) for p in points])
     known = [r[0] for r in rows.where(F.col(fold).isNotNull()).select(fold).distinct().orderBy(fold).collect()]  # k numbers
     others = rows.agg(*[f for k in known for f in (F.count_if(F.col(fold) != k).alias(f"n{k}"),
                                                    F.stddev_pop(F.when(F.col(fold) != k, F.col("label"))).alias(f"s{k}"))]).first()
 
+    # points that differ in the nested parameter only share one fit
+    families: dict[str, list[int]] = {}
+    for i, p in enumerate(points):
+        families.setdefault(repr(sorted((c, v) for c, v in p.items() if c != cand.nested)), []).append(i)
+
     def one(task):
-        point, k = task
-        model = cand.fit(rows.where(F.col(fold) != k), point, others[f"n{k}"], float(others[f"s{k}"] or 0.0))
-        gap = F.col("prediction") - F.col("label")
-        return model.transform(rows.where(F.col(fold) == k)).agg(F.sqrt(F.avg(gap * gap)).alias("rmse")).first()["rmse"]
-    tasks = [(p, k) for p in points for k in known]
+        own, k = task
+        cuts = [int(points[i][cand.nested]) for i in own]
+        model = cand.fit(rows.where(F.col(fold) != k), points[own[cuts.index(max(cuts))]], others[f"n{k}"], float(others[f"s{k}"] or 0.0))
+        return trees.prefix_errors(rows.where(F.col(fold) == k), trees.nodes_of(rows.sparkSession, model), cuts, "features", "label")
+    tasks = [(own, k) for own in families.values() for k in known]
     with ThreadPool(min(parallelism, max(len(tasks), 1))) as pool:
         flat = pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks)
-    return [flat[i * len(known): (i + 1) * len(known)] for i in range(len(points))]
+    out = [[0.0] * len(known) for _ in points]
+    for (own, k), errors in zip(tasks, flat):
+        for i, e in zip(own, errors):
+            out[i][known.index(k)] = e
+    return out
 
 
 def mean_std(values: Sequence[float]) -> tuple[float, float]:
@@ -305,7 +338,8 @@ def mean_std(values: Sequence[float]) -> tuple[float, float]:
 def grid_cv(prep: Prepared, cand: Candidate, parallelism: int = 4) -> tuple[int, list[float], list[float]]:
     """H6: group-fold grid search of one candidate: best index (first of equals),
     mean and population std of the fold RMSE per point."""
-    found = [mean_std(e) for e in fold_errors(prep.train, "fold", cand, cand.grid_desc, parallelism)]
+    folds = prep.folds("fold") if cand.solve is not None else None
+    found = [mean_std(e) for e in fold_errors(prep.train, "fold", cand, cand.grid_desc, parallelism, folds)]
     avg = [m for m, _ in found]
     return avg.index(min(avg)), avg, [s for _, s in found]
 
@@ -337,7 +371,8 @@ def train_models(table: DataFrame, features: Sequence[str], label: str, group: s
             point = cand.grid_desc[grid_cv(prep, cand, parallelism)[0] if len(cand.grid_desc) > 1 else 0]
             model = cand.fit(prep.train, point, prep.n_train, prep.label_std)
             m = evaluate.regression_metrics(model.transform(prep.test), "label", "prediction").first()
-            cv = mean_std(fold_errors(prep.rows, "outer_fold", cand, [point], parallelism)[0]) if outer_cv else (None, None)
+            folds = prep.folds("outer_fold") if cand.solve is not None and outer_cv else None
+            cv = mean_std(fold_errors(prep.rows, "outer_fold", cand, [point], parallelism, folds)[0]) if outer_cv else (None, None)
         except Exception as e:  # H10: a failing model is reported and left out
             failed[cand.name] = f"{type(e).__name__}: {e}"
             continue

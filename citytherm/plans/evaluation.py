@@ -43,13 +43,19 @@ def q_group_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("group_folds", f"""
-WITH {ORDERS_GROUPED_SQL},
+WITH RECURSIVE {ORDERS_GROUPED_SQL},
   gc AS (SELECT c_nationkey, count(*) AS n_rows FROM og WHERE c_nationkey IS NOT NULL GROUP BY c_nationkey),
-  r AS (SELECT *, row_number() OVER (ORDER BY n_rows DESC, md5('{SEED}' || CAST(c_nationkey AS VARCHAR)), c_nationkey) - 1 AS i,
-               least(5, count(*) OVER ()) AS k FROM gc)
-SELECT c_nationkey, n_rows,
-       CAST(CASE WHEN CAST(floor(i / k) AS BIGINT) % 2 = 0 THEN i % k ELSE k - 1 - i % k END AS INTEGER) AS fold
-FROM r""")
+  r AS (SELECT *, row_number() OVER (ORDER BY n_rows DESC, md5('{SEED}' || CAST(c_nationkey AS VARCHAR)), c_nationkey) AS i FROM gc),
+  d(i, l0, l1, l2, l3, l4, fold) AS (
+    SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, -1
+    UNION ALL
+    SELECT i, l0 + CASE WHEN f = 0 THEN n_rows ELSE 0 END, l1 + CASE WHEN f = 1 THEN n_rows ELSE 0 END,
+           l2 + CASE WHEN f = 2 THEN n_rows ELSE 0 END, l3 + CASE WHEN f = 3 THEN n_rows ELSE 0 END,
+           l4 + CASE WHEN f = 4 THEN n_rows ELSE 0 END, f
+    FROM (SELECT r.i, r.n_rows, l0, l1, l2, l3, l4,
+                 CASE least(l0, l1, l2, l3, l4) WHEN l0 THEN 0 WHEN l1 THEN 1 WHEN l2 THEN 2 WHEN l3 THEN 3 ELSE 4 END AS f
+          FROM d JOIN r ON r.i = d.i + 1))
+SELECT r.c_nationkey, r.n_rows, d.fold FROM d JOIN r ON r.i = d.i""")
 def q_group_folds(spark: SparkSession, sf: str) -> DataFrame:
     return split.group_folds(_orders_grouped(Tables(spark, sf)), "c_nationkey", 5)
 

@@ -64,22 +64,32 @@ def q_parallel_arrays(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # A3: nested payload text -> typed fields with defaults
 # --------------------------------------------------------------------------
-PROPS_SCHEMA = "k INT, main STRUCT<temp: DOUBLE, humidity: DOUBLE, pressure: DOUBLE>, clouds STRUCT<`all`: INT>, dt BIGINT"
-
-
-@register("nested_payload", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-       CAST(json_extract(props, '$.main.temp') AS DOUBLE) AS temperature,
-       coalesce(CAST(json_extract(props, '$.main.pressure') AS DOUBLE), 1013.0::DOUBLE) AS pressure,
-       coalesce(CAST(json_extract(props, '$.clouds.all') AS INTEGER), 50) AS clouds
+PAYLOAD_SCHEMA = ("city STRING, main STRUCT<temp: DOUBLE, humidity: DOUBLE, pressure: DOUBLE>, wind STRUCT<speed: DOUBLE>, "
+                  "clouds STRUCT<`all`: INT>, dt BIGINT")
+
+
+def _current_payloads(t: Tables) -> DataFrame:
+    """One current-weather object as JSON text per event; views come without pressure,
+    clicks without clouds, errors without the whole main object."""
+    v, kind = F.col("value"), F.col("event_type")
+    main = F.struct(v.alias("temp"), F.when(v > 10, v % 100).alias("humidity"), F.when(kind != "view", F.lit(1000.0) + v % 50).alias("pressure"))
+    clouds = F.struct((F.col("event_id") % 101).cast("int").alias("all"))
+    text = F.to_json(F.struct(F.col("user_id").cast("string").alias("city"), F.when(kind != "error", main).alias("main"),
+                              F.struct((v / 4).alias("speed")).alias("wind"), F.when(kind != "click", clouds).alias("clouds"),
+                              F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).alias("dt")))
+    return t.events.select("event_id", text.alias("payload"))
+
+
+@register("nested_payload", f"""
+SELECT event_id, CAST(user_id AS VARCHAR) AS name, CASE WHEN event_type <> 'error' THEN value END AS temperature,
+       CASE WHEN event_type <> 'error' AND value > 10 THEN value % 100 END AS humidity, value / 4 AS wind_speed,
+       CASE WHEN event_type NOT IN ('view', 'error') AND value IS NOT NULL THEN 1000.0::DOUBLE + value % 50 ELSE {D(payloads.DEFAULT_PRESSURE)} END AS pressure,
+       CASE WHEN event_type <> 'click' THEN CAST(event_id % 101 AS INTEGER) ELSE {int(payloads.DEFAULT_CLOUDS)} END AS clouds,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp
 FROM events""")
 def q_nested_payload(spark: SparkSession, sf: str) -> DataFrame:
-    e = Tables(spark, sf).events.select("event_id", F.from_json("props", PROPS_SCHEMA).alias("p"))
-    obj = e.select("event_id", F.col("p.k").alias("k"), F.col("event_id").cast("string").alias("city"),
-                   F.col("p.main").alias("main"), F.lit(None).cast("struct<speed:double>").alias("wind"),
-                   F.col("p.clouds").alias("clouds"), F.col("p.dt").alias("dt"))
-    cur = payloads.current_row(obj, keep=["event_id", "k"])
-    return cur.select("event_id", "k", "temperature", "pressure", "clouds")
+    e = _current_payloads(Tables(spark, sf)).select("event_id", F.from_json("payload", PAYLOAD_SCHEMA).alias("p"))
+    return payloads.current_row(e.select("event_id", "p.*"), keep=["event_id"])
 
 
 # --------------------------------------------------------------------------
@@ -189,7 +199,10 @@ def q_trailing_window(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Stage tables through CSV, JSON and Parquet
 # --------------------------------------------------------------------------
-@register("stage_tables")
+@register("stage_tables", """
+SELECT v.format, count(*) AS n_rows, CAST((SELECT count(*) FROM pragma_table_info('events')) AS INTEGER) AS n_columns,
+       CAST(round_even(sum(e.value) * 1e3, 0) / 1e3 AS DOUBLE) AS sum_value
+FROM events e, (VALUES ('csv'), ('json'), ('parquet')) v(format) GROUP BY v.format""")
 def q_stage_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Write events as CSV (with header), JSON and Parquet under the shared
     folder, read each back with the explicit schema, write again without
@@ -209,4 +222,4 @@ def q_stage_tables(spark: SparkSession, sf: str) -> DataFrame:
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
-    return round_doubles(res)
+    return round_doubles(res, 3)

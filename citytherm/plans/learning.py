@@ -1,18 +1,20 @@
 """Registered queries: model training, scoring and what-if with a fitted model
 (H5-H7, H10-H14, I1-I5, I8, I9, F7, F8, A9).  Fits of trees and boosters are not
-SQL: tests hold them against closed forms and known splits.  Scoring queries
-use a one-feature least-squares model too, which SQL can fit."""
+SQL: tests hold them against known splits.  ``linear_cv`` holds the linear models and
+their fold errors against SQL."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytherm.functions.expressions import severity_score
-from citytherm.operators import evaluate, features, learn, preprocess, whatif
-from citytherm.plans.common import lineitem_observations
+from citytherm.operators import evaluate, features, learn, linear, preprocess, whatif
+from citytherm.plans.common import lineitem_observations, rnd
+from citytherm.plans.oracle import R
 from citytherm.plans.registry import register
 from citytherm.plans.scenarios import group_scenarios
 from citytherm.session import shared_dir
@@ -66,6 +68,42 @@ def q_lasso_path(spark: SparkSession, sf: str) -> DataFrame:
     return _grid_query(spark, sf, "Lasso Regression", "full")
 
 
+LINEAR_ALPHAS = {"ridge": [0.0, 1.0, 1e4], "lasso": [10.0, 1e3, 1e9]}
+
+_LINEAR_SQL = f"""
+WITH d AS (SELECT l_orderkey % 5 AS fold, l_quantity AS x1, l_discount * 100 AS x2, l_extendedprice AS y FROM lineitem),
+  s AS (SELECT k.k, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, covar_pop(x1, x1) AS c11, covar_pop(x2, x2) AS c22,
+               covar_pop(x1, x2) AS c12, covar_pop(x1, y) AS c1y, covar_pop(x2, y) AS c2y
+        FROM d JOIN (SELECT DISTINCT fold AS k FROM d) k ON d.fold <> k.k GROUP BY k.k),
+  r AS (SELECT 'ridge' AS model, a AS alpha, s.*, c11 + a / n AS g11, c22 + a / n AS g22
+        FROM s, (VALUES {", ".join(f"({a!r}::DOUBLE)" for a in LINEAR_ALPHAS["ridge"])}) v(a)),
+  w AS (SELECT model, alpha, k, m1, m2, my, (c1y * g22 - c2y * c12) / (g11 * g22 - c12 * c12) AS w1,
+               (c2y * g11 - c1y * c12) / (g11 * g22 - c12 * c12) AS w2 FROM r
+        UNION ALL
+        SELECT 'lasso', a, k, m1, m2, my, sign(c1y) * greatest(abs(c1y) - a, 0.0) / c11, 0.0
+        FROM s, (VALUES {", ".join(f"({a!r}::DOUBLE)" for a in LINEAR_ALPHAS["lasso"])}) v(a))
+SELECT model, alpha, k AS fold,
+       {R('sqrt(avg((y - my - w1 * (x1 - m1) - w2 * (x2 - m2)) * (y - my - w1 * (x1 - m1) - w2 * (x2 - m2))))', 4)} AS rmse
+FROM w JOIN d ON d.fold = w.k GROUP BY model, alpha, k"""
+
+
+@register("linear_cv", _LINEAR_SQL)
+def q_linear_cv(spark: SparkSession, sf: str) -> DataFrame:
+    """Fold errors of least squares and ridge on two features and
+    lasso on one, over whole order groups, from one pass of cross-products."""
+    li = Tables(spark, sf).lineitem
+    rows = li.select((F.col("l_orderkey") % 5).alias("fold"), F.array("l_quantity", F.col("l_discount") * 100).alias("features"),
+                     F.col("l_extendedprice").alias("label"))
+    both = {k: s for (k,), s in linear.statistics(rows, ["fold"]).items()}
+    one = {k: linear.Statistics(s.n, s.mean[[0, 2]], s.c[np.ix_([0, 2], [0, 2])]) for k, s in both.items()}
+    out = []
+    for model, folds, solve in (("ridge", both, linear.ridge), ("lasso", one, linear.lasso)):
+        for alpha, errors in zip(LINEAR_ALPHAS[model], linear.fold_errors(folds, solve, LINEAR_ALPHAS[model])):
+            out += [(model, alpha, k, e) for k, e in zip(sorted(folds), errors)]
+    return (spark.createDataFrame(out, "model string, alpha double, fold long, rmse double")
+            .withColumn("rmse", rnd("rmse", 4)))
+
+
 @register("tree_cv")
 def q_tree_cv(spark: SparkSession, sf: str) -> DataFrame:
     """H5d/H6: decision tree over the fast-profile grid, group-fold CV RMSE."""
@@ -165,6 +203,41 @@ def q_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return whatif.contributions(scaled, ft.feature_names, key="row_id")
 
 
+SCALED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("contribution_rank", f"""
+WITH s AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(SCALED))} FROM lineitem),
+  b AS (SELECT *, row_number() OVER () AS rid FROM lineitem),
+  z AS ({" UNION ALL ".join(f"SELECT rid, l_orderkey * 8 + l_linenumber AS row_id, '{c}' AS feature, ({c} - m{i}) / s{i} AS value FROM b, s" for i, c in enumerate(SCALED))}),
+  r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY abs(value) DESC, feature) AS rank,
+               max(abs(value)) OVER (PARTITION BY rid) AS largest FROM z)
+SELECT row_id, CAST(rank AS INTEGER) AS rank, feature, {R('value')} AS value, {R('abs(value) / largest')} AS width FROM r WHERE rank <= 3""")
+def q_contribution_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """The 3 largest scaled measures of every line item, with their width."""
+    li = Tables(spark, sf).lineitem.withColumn("row_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    scaled = learn.standardize(li.select("row_id", *SCALED), SCALED)
+    out = whatif.contributions(scaled.select("row_id", F.array(*SCALED).alias("z")), SCALED, key="row_id", vector_col="z", k=3)
+    return out.withColumns({"value": rnd("value"), "width": rnd("width")})
+
+
+@register("importance_share", f"""
+WITH w AS (SELECT l_returnflag AS model, CAST(l_suppkey AS VARCHAR) AS feature, sum(CAST(l_quantity AS BIGINT) * (l_linenumber - 4)) AS weight
+           FROM lineitem GROUP BY 1, 2),
+  i AS (SELECT model, feature, {R('abs(weight) / (sum(abs(weight)) OVER (PARTITION BY model) + 1e-9)', 5)} AS importance FROM w),
+  t AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rank FROM i),
+  k AS (SELECT model, median(importance) AS med FROM t WHERE rank <= 15 GROUP BY model)
+SELECT t.model, t.feature, t.importance, CAST(t.rank AS INTEGER) AS rank, t.importance > k.med AS above_median
+FROM t JOIN k ON t.model = k.model WHERE t.rank <= 15""")
+def q_importance_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of a table normalised per model, the 15 largest flagged
+    against their median (weights: a signed measure per return flag and supplier)."""
+    li = Tables(spark, sf).lineitem
+    weights = li.groupBy(F.col("l_returnflag").alias("model"), F.col("l_suppkey").cast("string").alias("feature")).agg(
+        F.sum(F.col("l_quantity").cast("long") * (F.col("l_linenumber") - 4)).cast("double").alias("weight"))
+    return evaluate.top_importances(learn.importance_shares(weights), 15, "model")
+
+
 @register("sensitivity")
 def q_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     """Every city scenario at 60 even values of each of the 7 parameters,

@@ -2,11 +2,13 @@
 import datetime as dt
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citytherm.operators import evaluate, learn, split, whatif
+from citytherm.operators import evaluate, learn, linear, split, whatif
 from citytherm.sources import payloads
 
 
@@ -34,6 +36,39 @@ def test_folds_partition_groups(spark):
     assert sorted(sizes) == [0, 1, 2, 3, 4] and all(v > 0 for v in sizes.values())
 
 
+def _greedy(sizes, k):
+    loads, out = [0] * k, []
+    for s in sizes:
+        f = min(range(k), key=lambda j: (loads[j], j))
+        loads[f] += s
+        out.append(f)
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(1, 12)), max_size=8, unique_by=lambda r: r[0]), st.integers(1, 6))
+def test_turns_equal_the_sequential_greedy(runs, k):
+    runs = sorted(runs, reverse=True)
+    entries = list(split.deal(runs, k))
+    got = []
+    for size, count in runs:
+        mine = [(at, order) for s, at, order in entries if s == size]
+        assert len(mine) <= k and mine[0][0] == 0
+        for i in range(count):
+            at, order = [m for m in mine if m[0] <= i][-1]
+            got.append(order[(i - at) % len(order)])
+    assert got == _greedy([s for s, c in runs for _ in range(c)], k)
+
+
+def test_folds_equal_the_sequential_greedy(spark):
+    rows = [(f"g{i}", j) for i in range(60) for j in range(1 + i * i % 13)] + [(None, 1)] * 5
+    f = split.group_folds(spark.createDataFrame(rows, "g string, v int"), "g", 4)
+    order = (f.withColumn("h", F.md5(F.concat(F.lit("42"), "g"))).orderBy(F.desc("n_rows"), "h", "g").collect())
+    assert [r.fold for r in order] == _greedy([r.n_rows for r in order], 4)
+    assert split.group_folds(f.limit(0), "g", 4).count() == 0
+    assert sorted(r.fold for r in split.group_folds(spark.createDataFrame([("a",), ("b",), ("b",)], "g string"), "g", 5).collect()) == [0, 1]
+
+
 def test_leaderboard_tie_goes_to_registry_order(spark):
     m = spark.createDataFrame([("B", 1, 1.0), ("A", 2, 1.0), ("C", 0, 2.0)], "model string, pos int, rmse double")
     lb = {r.model: r.rank for r in evaluate.leaderboard(m, "model", "rmse", "pos").collect()}
@@ -168,3 +203,52 @@ def test_current_payload_defaults(spark):
     r = payloads.current_row(p).first()
     assert (r.pressure, r.clouds, r.timestamp) == (1013.0, 50, "2024-01-01T00:00:00")
     assert dt is not None and F is not None
+
+
+def test_lasso_from_statistics_meets_its_optimality_conditions(spark):
+    X, y = _data()
+    (s,) = linear.statistics(_vectors(spark, X, y), []).values()
+    assert np.allclose(s.mean, [*X.mean(0), y.mean()]) and np.allclose(s.c[:-1, -1], (X - X.mean(0)).T @ (y - y.mean()))
+    for alpha in (0.001, 0.1, 1.0, 100.0):
+        w, b = linear.lasso(s, alpha)
+        g = X.T @ (y - X @ w - b) / len(y)
+        assert all(abs(abs(gj) - alpha) < 1e-8 and np.sign(gj) == np.sign(wj) if wj else abs(gj) <= alpha + 1e-9 for gj, wj in zip(g, w))
+        assert abs(linear.rmse(s, (w, b)) - np.sqrt(np.mean((y - X @ w - b) ** 2))) < 1e-9
+
+
+def test_linear_paths_equal_spark_fits(spark):
+    """The statistics' fold errors equal models fitted on rows, also at penalties that leave dependent columns."""
+    X, y = _data(90)
+    X = np.column_stack([X, X[:, 0] - X[:, 1]])
+    rows, fold = _vectors(spark, X, y), np.arange(90) % 5
+    for name in ("Ridge Regression", "Lasso Regression"):
+        cand = _candidate(name)
+        errors = learn.fold_errors(rows, "fold", cand, cand.grid_desc)
+        point = cand.grid_desc[2]
+        for k in (0, 3):
+            n, sd = int((fold != k).sum()), float(np.std(y[fold != k]))
+            model = cand.fit(rows.where(f"fold <> {k}"), point, n, sd)
+            got = X[fold == k] @ model.coefficients.toArray() + model.intercept - y[fold == k]
+            assert abs(errors[2][k] - np.sqrt(np.mean(got ** 2))) < 1e-4
+    plain = learn.fold_errors(rows, "fold", _candidate("Linear Regression"), [{}])[0]
+    A = np.column_stack([X, np.ones(90)])
+    w = np.linalg.lstsq(A[fold != 1], y[fold != 1], rcond=None)[0]
+    assert abs(plain[1] - np.sqrt(np.mean((A[fold == 1] @ w - y[fold == 1]) ** 2))) < 1e-8
+
+
+def test_prefixes_equal_separate_fits(spark):
+    """Depths and steps read off one model give the fold errors of a fit for each point."""
+    X, y = _data(150)
+    y = y + np.sin(3 * X[:, 0]) * 4
+    rows, fold = _vectors(spark, X, y).repartition(2).persist(), 2
+    grids = {"Decision Tree": [{"max_depth": d, "min_samples_leaf": m} for d in (5, 2, 30) for m in (1, 4)],
+             "Random Forest": [{"n_estimators": 4, "max_depth": d, "min_samples_leaf": 2} for d in (2, 4)],
+             "Gradient Boosting": [{"n_estimators": n, "learning_rate": 0.1, "max_depth": 3, "subsample": s} for n in (3, 6) for s in (0.8, 1.0)]}
+    for name, points in grids.items():
+        cand = _candidate(name)
+        got = learn.fold_errors(rows, "fold", cand, points)
+        for point, errors in zip(points, got):
+            model = cand.fit(rows.where(f"fold <> {fold}"), point, 120, 1.0)
+            gap = F.col("prediction") - F.col("label")
+            want = model.transform(rows.where(f"fold = {fold}")).agg(F.sqrt(F.avg(gap * gap))).first()[0]
+            assert abs(errors[fold] - want) < 1e-9, (name, point)
