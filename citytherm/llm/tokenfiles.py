@@ -54,7 +54,7 @@ class Settings:
     least: int = 12               # a pair with fewer occurrences is no rule
     gain: float = 0.02           # rounds end once one shortens the shard by less than this share
     rules_a_round: int = 4_096
-    slice_bytes: int = 4 << 20
+    slice_bytes: int = 8 << 20
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, size: int, most: int) -> np.ndarray:
@@ -187,17 +187,17 @@ class _Shard:
 
 
 def _write(s: Settings):
-    def shard_row(shard: _Shard, part: int, number: int) -> pa.RecordBatch:
+    def shard_row(shard: _Shard, part: int, before: int) -> pa.RecordBatch:
         names, counts = pa.concat_arrays(shard.names), np.concatenate(shard.counts)
         payload = pack(*compress(np.concatenate(shard.ids), s), s.terminals)
         one = pa.array([0, len(names)], pa.int32())
         return pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([shard.tokens], pa.int64()),
+            [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([shard.tokens], pa.int64()),
              pa.ListArray.from_arrays(one, names), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())),
-             pa.array([payload], pa.binary())], ["part", "shard", "n_tokens", "doc_ids", "counts", "payload"])
+             pa.array([payload], pa.binary())], ["part", "before", "n_tokens", "doc_ids", "counts", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number, shard = Encoder.of(s.vocabulary), TaskContext.get().partitionId(), 0, _Shard()
+        encoder, part, before, shard = Encoder.of(s.vocabulary), TaskContext.get().partitionId(), 0, _Shard()
         for batch in batches:
             for rows, data, offsets in slices(batch, "text", s.slice_bytes):
                 ids, ends = encoder.encode(data, offsets)
@@ -211,16 +211,16 @@ def _write(s: Settings):
                     shard.add(names.slice(row, last - row), full, ends[row: last + 1])
                     row = last
                     if shard.tokens >= s.shard_tokens:
-                        yield shard_row(shard, part, number)
-                        number, shard = number + 1, _Shard()
+                        yield shard_row(shard, part, before)
+                        before, shard = before + shard.tokens, _Shard()
         if shard.names:
-            yield shard_row(shard, part, number)
+            yield shard_row(shard, part, before)
     return run
 
 
 def write(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The shards of ``documents`` (doc_id, text), written: part, shard, start
-    (ids of all shards before), n_tokens, doc_ids, counts, payload."""
+    """The shards of ``documents`` (doc_id, text), written: part, n_tokens, doc_ids,
+    counts, payload, start (ids of all shards before)."""
     spark = documents.sparkSession
     kind = documents.schema["doc_id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -228,14 +228,12 @@ def write(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     named = (documents.select("doc_id", "text", F.xxhash64("text").alias("__tie"))
              .withColumn("__row", F.monotonically_increasing_id()))
     dealt = named.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    shards = stage(dealt.mapInArrow(_write(s), f"part int, shard int, n_tokens long, doc_ids array<{kind}>, counts array<long>, payload binary"),
+    shards = stage(dealt.mapInArrow(_write(s), f"part int, before long, n_tokens long, doc_ids array<{kind}>, counts array<long>, payload binary"),
                    "token-files")
-    # one row for each range, then one for each shard of it: windows over counts, never over documents
+    # a shard knows the ids before it in its range; the ranges' totals are at most ``parts`` rows
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("__base"))
-    within = shards.select("part", "shard", (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")).alias("__own"))
-    starts = within.join(before, "part").select("part", "shard", (F.col("__base") + F.col("__own")).alias("start"))
-    return shards.join(starts, ["part", "shard"])
+    bases = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("__base"))
+    return shards.join(F.broadcast(bases), "part").withColumn("start", F.col("__base") + F.col("before")).drop("__base")
 
 
 def read(shards: DataFrame, wanted: str = "digest") -> DataFrame:
@@ -267,10 +265,10 @@ def lookup(shards: DataFrame, places: DataFrame) -> DataFrame:
     """ids of stated documents (``places``: doc_id, start, n_tokens) by random
     access: only the symbols that cover them are opened."""
     kind = places.schema["doc_id"].dataType.simpleString()
-    held = shards.select("part", "shard", F.col("start").alias("__start"), F.col("n_tokens").alias("__size"), F.explode(F.array_distinct("doc_ids")).alias("__id"))
+    held = shards.select("part", "before", F.col("start").alias("__start"), F.col("n_tokens").alias("__size"), F.explode(F.array_distinct("doc_ids")).alias("__id"))
     at = (places.select("doc_id", F.col("start").alias("__at"), F.col("n_tokens").alias("__n"))
           .join(held, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__at") >= F.col("__start")) & (F.col("__at") < F.col("__start") + F.col("__size"))))
-    found = at.join(shards.select("part", "shard", "payload"), ["part", "shard"])
+    found = at.join(shards.select("part", "before", "payload"), ["part", "before"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,9 +1,10 @@
-"""Token ids of many texts through a tokenizer of the tokenizers library, by distinct pieces.
+"""Token ids of many texts through the tokenizers and sentencepiece libraries, by distinct pieces.
 
 Texts are cut where no token can cross: before a space that has a visible ASCII
 character on one side, around a line feed between two of them, and between an ASCII letter and a
 mark such as a comma.  The given tokenizers split there before they merge, so a text's
-ids are those of its pieces in order.  Each distinct piece goes through the
+ids are those of its pieces in order.  A sentencepiece model is cut before spaces only, where
+no entry of its vocabulary has a space behind another character.  Each distinct piece goes through the
 library once per slice at most; a bounded table per worker keeps short ones.
 """
 
@@ -52,6 +53,18 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first)
 
 
+def _words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Start of every piece that begins with a space, for rows that begin with one:
+    cut before a space whose last character is neither a space nor U+2581, which stands for it."""
+    first = np.zeros(len(data), dtype=bool)
+    first[1:] = (data[1:] == 0x20) & (data[:-1] != 0x20)
+    if len(data) > 3:
+        first[3:] &= ~((data[:-3] == 0xE2) & (data[1:-2] == 0x96) & (data[2:-1] == 0x81))
+    first[np.maximum(offsets[1:] - 1, 0)] = False  # a last space alone would look like an empty text
+    first[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(first)
+
+
 def _blank(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes without spaces and line feeds, the piece starts and the row
     offsets among them; every such blank ends a piece."""
@@ -60,7 +73,7 @@ def _blank(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first[1:] = ~kept[:-1] | (_LETTER[data[:-1]] & _STOP[data[1:]])
     first[0] = True
     first[offsets[:-1][np.diff(offsets) > 0]] = True
-    place = np.zeros(len(data) + 1, np.int64)
+    place = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
     np.cumsum(kept, out=place[1:])
     starts = place[np.flatnonzero(first & kept)]
     out = data[kept]
@@ -76,10 +89,17 @@ class Encoder:
 
     def __init__(self, v: Vocabulary):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
         self.vocabulary = v
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(v.name))
-        self.tokenizer.encode_special_tokens = v.plain_specials
+        self.words = v.name.endswith(".model")
+        if self.words:
+            from sentencepiece import SentencePieceProcessor
+            self.tokenizer = SentencePieceProcessor(model_file=public_tokenizers.path(v.name))
+            if any("\u2581" in self.tokenizer.id_to_piece(i).lstrip("\u2581") for i in range(self.tokenizer.get_piece_size())):
+                raise ValueError("entries of this vocabulary cross spaces")
+        else:
+            from tokenizers import Tokenizer
+            self.tokenizer = Tokenizer.from_file(public_tokenizers.path(v.name))
+            self.tokenizer.encode_special_tokens = v.plain_specials
         self._clear()
 
     def _clear(self) -> None:
@@ -91,17 +111,21 @@ class Encoder:
         flat, lengths = [], []
         for at in range(0, len(pieces), 4096):
             part = [p.decode("utf-8", "replace") for p in pieces[at: at + 4096].to_pylist()]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            if self.words:  # the library puts the leading space there itself
+                ids = self.tokenizer.encode([p[1:] for p in part], num_threads=1)
+            else:
+                ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
             flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1].sum())))
         return np.concatenate(flat), np.concatenate(lengths)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and their row offsets."""
+        """Flat ids and their row offsets.  For a sentencepiece model rows have the
+        space in front that it adds to a text."""
         if self.vocabulary.blank and len(data):
             data, starts, offsets = _blank(data, offsets)
         elif len(data):
-            starts = _pieces(data, offsets)
+            starts = (_words if self.words else _pieces)(data, offsets)
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         bounds = np.append(starts, len(data)).astype(np.int64)

@@ -78,3 +78,12 @@ def test_pieces_give_the_library_ids(v, texts):
     ids, rows = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), ends)
     want = [encoder.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
     assert [ids[a:b].tolist() for a, b in zip(rows, rows[1:])] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=list(" \t\n 　\u0085\x1c\0aAbz'é12.,▁<|>好🙂")) | st.sampled_from(["<s> a", "a  b ", " x\n\ny ", "<0x0A>"]), max_size=6))
+def test_word_pieces_give_the_library_ids(texts):
+    encoder = Encoder.of(Vocabulary("piece_bpe_32k.model"))
+    raw = [(" " + x).encode() for x in texts]
+    ids, rows = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert [ids[a:b].tolist() for a, b in zip(rows, rows[1:])] == [encoder.tokenizer.encode(x) for x in texts]
