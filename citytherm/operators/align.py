@@ -57,9 +57,12 @@ def composite_reduce(samples: DataFrame, keys: str | Sequence[str], date_col: st
 # --------------------------------------------------------------------------
 # D1
 # --------------------------------------------------------------------------
+MIN_BLOCK_DAYS = 32
+
+
 def nearest_asof(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                  left_time: str, right_date: str, value_cols: Sequence[str],
-                 tolerance_days: int = 8, method: str = "offsets",
+                 tolerance_days: int = 8, method: str = "blocks",
                  match_date_name: str = "match_date", gap_name: str = "gap_days") -> DataFrame:
     """Attach to each left row the right row of the same key nearest in days.
 
@@ -71,11 +74,17 @@ def nearest_asof(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     not by rows -- and joined back.  A key holding a third of all rows then
     costs a map-side dedupe plus a join that AQE can split or broadcast.
 
-    ``method="offsets"``: each calendar day probes day-tol..day+tol with an
+    ``method="blocks"``: calendar and right dates of a key are cut into blocks of
+    at least ``tolerance_days`` days.  A window inside (key, block), which holds at most
+    two rows a day of the block, carries the right row before and after each day;
+    a day without one in its block takes the last of the block before or the
+    first of the block after from a table with one row per (key, block), and a match
+    never lies further off.  No probes grow with the tolerance and no task holds a
+    key's calendar.  ``method="offsets"``: each calendar day probes day-tol..day+tol with an
     equi-join on (key, date) (right is unique per key/date) and keeps the
     best by (|gap|, date).  ``method="window"``: union calendar and right,
     carry the previous/next right row with ``last(..., ignorenulls)`` over a
-    growing frame, pick the nearer.  Each implementation checks the other.
+    growing frame of the key, pick the nearer.  Each implementation checks the others.
     """
     keys = _cols(keys)
     tol = int(tolerance_days)
@@ -94,18 +103,27 @@ def nearest_asof(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
         match = best.select(*keys, "_day",
                             F.col("_m.d").alias(match_date_name),
                             *[F.col(f"_m.{v}").alias(v) for v in rvals])
-    elif method == "window":
+    elif method in ("blocks", "window"):
         payload = F.struct(F.col("_rdate").alias("d"), *[F.col(v) for v in rvals])
-        u = (cal.select(*keys, F.col("_day").alias("_t"), F.lit(1).alias("_side"),
-                        F.lit(None).cast(r.select(payload.alias("p")).schema["p"].dataType).alias("_p"))
-             .unionByName(r.select(*keys, F.col("_rdate").alias("_t"), F.lit(0).alias("_side"),
-                                   payload.alias("_p"))))
+        days = max(tol, MIN_BLOCK_DAYS)
+        # one block for a whole key in the plain window
+        block = (F.floor(F.datediff(F.col("_t"), F.lit("1970-01-01").cast("date")) / days).cast("int") if method == "blocks" else F.lit(0)).alias("_block")
+        rows = r.where(F.col("_rdate").isNotNull()).select(*keys, F.col("_rdate").alias("_t"), payload.alias("_p")).select(*keys, "_t", block, F.lit(0).alias("_side"), "_p")
+        u = (cal.select(*keys, F.col("_day").alias("_t")).select(*keys, "_t", block, F.lit(1).alias("_side"), F.lit(None).cast(rows.schema["_p"].dataType).alias("_p"))
+             .unionByName(rows))
         grow = (Window.unboundedPreceding, Window.currentRow)
-        w_prev = Window.partitionBy(*keys).orderBy(F.col("_t").asc(), F.col("_side").asc()).rowsBetween(*grow)
-        w_next = Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_side").asc()).rowsBetween(*grow)
+        w_prev = Window.partitionBy(*keys, "_block").orderBy(F.col("_t").asc(), F.col("_side").asc()).rowsBetween(*grow)
+        w_next = Window.partitionBy(*keys, "_block").orderBy(F.col("_t").desc(), F.col("_side").asc()).rowsBetween(*grow)
         u = (u.withColumn("_prev", F.last("_p", ignorenulls=True).over(w_prev))
               .withColumn("_next", F.last("_p", ignorenulls=True).over(w_next))
               .where(F.col("_side") == 1))
+        if method == "blocks":
+            # one row per (key, block): its first and last right rows, for the blocks beside it
+            ends = rows.groupBy(*keys, "_block").agg(F.max_by("_p", "_t").alias("_last"), F.min_by("_p", "_t").alias("_first"))
+            before = ends.select(*keys, (F.col("_block") + 1).alias("_block"), "_last")
+            after = ends.select(*keys, (F.col("_block") - 1).alias("_block"), "_first")
+            u = (u.join(before, [*keys, "_block"], "left").join(after, [*keys, "_block"], "left")
+                  .withColumn("_prev", F.coalesce("_prev", "_last")).withColumn("_next", F.coalesce("_next", "_first")))
         gp = F.datediff(F.col("_t"), F.col("_prev.d"))
         gn = F.datediff(F.col("_next.d"), F.col("_t"))
         pick = (F.when(F.col("_prev").isNull(), F.col("_next"))

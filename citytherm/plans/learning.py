@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytherm.functions.expressions import severity_score
-from citytherm.operators import evaluate, features, learn, linear, preprocess, whatif
+from citytherm.operators import evaluate, features, learn, linear, preprocess, scoring, whatif
 from citytherm.plans.common import lineitem_observations, rnd
 from citytherm.plans.oracle import R
 from citytherm.plans.registry import register
@@ -91,6 +91,13 @@ FROM w JOIN d ON d.fold = w.k GROUP BY model, alpha, k"""
 def q_linear_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Fold errors of least squares and ridge on two features and
     lasso on one, over whole order groups, from one pass of cross-products."""
+    out, _, _ = _linear_folds(spark, sf)
+    return (spark.createDataFrame(out, "model string, alpha double, fold long, rmse double")
+            .withColumn("rmse", rnd("rmse", 4)))
+
+
+def _linear_folds(spark: SparkSession, sf: str):
+    """(model, alpha, fold, rmse) rows, and the folds' statistics with two features and with one."""
     li = Tables(spark, sf).lineitem
     rows = li.select((F.col("l_orderkey") % 5).alias("fold"), F.array("l_quantity", F.col("l_discount") * 100).alias("features"),
                      F.col("l_extendedprice").alias("label"))
@@ -100,8 +107,40 @@ def q_linear_cv(spark: SparkSession, sf: str) -> DataFrame:
     for model, folds, solve in (("ridge", both, linear.ridge), ("lasso", one, linear.lasso)):
         for alpha, errors in zip(LINEAR_ALPHAS[model], linear.fold_errors(folds, solve, LINEAR_ALPHAS[model])):
             out += [(model, alpha, k, e) for k, e in zip(sorted(folds), errors)]
-    return (spark.createDataFrame(out, "model string, alpha double, fold long, rmse double")
-            .withColumn("rmse", rnd("rmse", 4)))
+    return out, both, one
+
+
+_SELECTED_SQL = f"""
+WITH f AS ({_LINEAR_SQL}),
+  b AS (SELECT model, alpha FROM f GROUP BY model, alpha ORDER BY round_even(avg(rmse), 2), model, alpha LIMIT 1),
+  d AS (SELECT l_orderkey, l_linenumber, l_quantity AS x1, l_discount * 100 AS x2, l_extendedprice AS y FROM lineitem),
+  s AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, covar_pop(x1, x1) AS c11, covar_pop(x2, x2) AS c22,
+               covar_pop(x1, x2) AS c12, covar_pop(x1, y) AS c1y, covar_pop(x2, y) AS c2y FROM d),
+  g AS (SELECT model, alpha, s.*, c11 + alpha / n AS g11, c22 + alpha / n AS g22 FROM s, b),
+  w AS (SELECT *, CASE WHEN model = 'ridge' THEN (c1y * g22 - c2y * c12) / (g11 * g22 - c12 * c12) ELSE sign(c1y) * greatest(abs(c1y) - alpha, 0.0) / c11 END AS w1,
+               CASE WHEN model = 'ridge' THEN (c2y * g11 - c1y * c12) / (g11 * g22 - c12 * c12) ELSE 0.0 END AS w2 FROM g)
+SELECT l_orderkey, l_linenumber, model || ' ' || CAST(CAST(alpha AS BIGINT) AS VARCHAR) AS model,
+       {R('greatest(my + w1 * (x1 - m1) + w2 * (x2 - m2), 0.0)', 4)} AS prediction FROM d, w"""
+
+
+@register("score_selected", _SELECTED_SQL)
+def q_score_selected(spark: SparkSession, sf: str) -> DataFrame:
+    """Every penalty of the linear models judged by its folds' mean error,
+    the best one kept as a row of the model table, every line item scored with it and clipped at 0."""
+    fold_rmse, both, one = _linear_folds(spark, sf)
+    models = []
+    for model, folds, solve in (("ridge", both, linear.ridge), ("lasso", one, linear.lasso)):
+        for alpha in LINEAR_ALPHAS[model]:
+            w, b = solve(linear.merged([folds[k] for k in sorted(folds)]), alpha)
+            models.append((alpha, *scoring.linear_row(model, [*w, *[0.0] * (2 - len(w))], b)))
+    table = spark.createDataFrame(models, f"alpha double, {scoring.MODEL_SCHEMA}")
+    errors = spark.createDataFrame(fold_rmse, "model string, alpha double, fold long, rmse double").withColumn("rmse", rnd("rmse", 4))
+    mean = errors.groupBy("model", "alpha").agg(rnd(F.avg("rmse"), 2).alias("cv"))
+    best = mean.orderBy("cv", "model", "alpha").limit(1).join(table, ["model", "alpha"])
+    name = F.concat_ws(" ", "model", F.col("alpha").cast("long").cast("string")).alias("model")
+    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_discount") * 100).alias("discount"))
+    scored = scoring.predict(li, ["l_quantity", "discount"], best.withColumn("model", name), keep=["model"])
+    return scored.select("l_orderkey", "l_linenumber", "model", rnd(F.greatest("prediction", F.lit(0.0)), 4).alias("prediction"))
 
 
 @register("tree_cv")
@@ -145,21 +184,20 @@ def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
     return res.model_metric.join(run, "run_id")
 
 
+SCORED_MODELS = ["Linear Regression", "Ridge Regression", "Decision Tree"]
+
+
 def _fitted(spark: SparkSession, sf: str):
-    """Feature table, a linear pipeline fitted on the training groups, and the
-    baseline RMSE.  The fitted pipeline is saved under the shared folder once
-    for the present inputs and loaded from there (A9/A10)."""
+    """Feature table, the pipeline of the run's best model by test error (linear,
+    ridge or tree), and the baseline RMSE.  The fitted pipeline is saved under the
+    shared folder once for the present inputs and loaded from there (A9/A10)."""
     ft = feature_table(spark, sf)
 
     def build(path: str) -> None:
-        prep = learn.prepare(ft.table, ft.feature_names, LABEL, GROUP)
-        cand = learn.build_candidates("fast")[0]
-        model = cand.fit(prep.train, {}, prep.n_train, prep.label_std)
-        PipelineModel(stages=[prep.scaler, prep.assembler, model]).save(f"{path}/model")
-        base = evaluate.baseline_predictions(prep.train, prep.test, "label")
-        evaluate.regression_metrics(base, "label", "pred").select("rmse").write.parquet(f"{path}/baseline")
-        prep.unpersist()
-    path = once(spark, build, "linear-model", sf, inputs=_inputs(sf))
+        res = learn.train_models(ft.table, ft.feature_names, LABEL, GROUP, profile="fast", models=SCORED_MODELS, outer_cv=False)
+        res.best_pipeline.save(f"{path}/model")
+        res.run.select(F.col("baseline_rmse").alias("rmse")).write.parquet(f"{path}/baseline")
+    path = once(spark, build, "best-model", sf, inputs=_inputs(sf))
     return ft, PipelineModel.load(f"{path}/model"), float(spark.read.parquet(f"{path}/baseline").first()["rmse"])
 
 

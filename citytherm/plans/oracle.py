@@ -77,6 +77,11 @@ def _():
     return f"WITH {MATCHED} SELECT * FROM nm"
 
 
+@sql("nearest_match_offsets")
+def _():
+    return f"WITH {MATCHED} SELECT * FROM nm"
+
+
 @sql("match_coverage")
 def _():
     return f"""WITH {MATCHED}

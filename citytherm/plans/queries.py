@@ -32,7 +32,7 @@ def _composite(t: Tables) -> DataFrame:
                                   REFERENCE_TYPE, order_col="ord", digits=3)
 
 
-def _matched(t: Tables, method: str = "offsets") -> DataFrame:
+def _matched(t: Tables, method: str = "blocks") -> DataFrame:
     return align.nearest_asof(t.events.select("event_id", "user_id", "ts"), _composite(t), "user_id", "ts", "day",
                               ["urban", "rural"], tolerance_days=MATCH_TOLERANCE_DAYS,
                               method=method)
@@ -56,6 +56,11 @@ def q_nearest_match(spark: SparkSession, sf: str) -> DataFrame:
     return _matched(Tables(spark, sf))
 
 
+@register
+def q_nearest_match_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    return _matched(Tables(spark, sf), method="offsets")
+
+
 @register
 def q_nearest_match_window(spark: SparkSession, sf: str) -> DataFrame:
     return _matched(Tables(spark, sf), method="window")

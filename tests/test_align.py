@@ -1,5 +1,6 @@
 """E1 composite reduce and D1 nearest-date match on hand-made rows."""
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -39,30 +40,42 @@ def _match(spark, left_days, right_days, method, tol=8, city_left="a", city_righ
 
 
 def test_nearest_tie_goes_to_earlier(spark):
-    for m in ("offsets", "window"):
+    for m in ("blocks", "offsets", "window"):
         got = _match(spark, [4], [0, 8], m)
         assert got[0] == (_d(0), 0.0, 4), m
 
 
 def test_nearest_tolerance_edge(spark):
-    for m in ("offsets", "window"):
+    for m in ("blocks", "offsets", "window"):
         got = _match(spark, [8, 9], [0], m)
         assert got[0] == (_d(0), 0.0, 8), m
         assert got[1] == (None, None, None), m
 
 
 def test_group_without_series_keeps_rows(spark):
-    for m in ("offsets", "window"):
+    for m in ("blocks", "offsets", "window"):
         got = _match(spark, [1, 2], [1], m, city_right="b")
         assert got == {0: (None, None, None), 1: (None, None, None)}
 
 
 def test_methods_agree_on_events(spark, smoke_dir):
-    from citytherm.plans.queries import q_nearest_match, q_nearest_match_window
+    from citytherm.plans.queries import q_nearest_match, q_nearest_match_offsets, q_nearest_match_window
     a = q_nearest_match(spark, smoke_dir)
-    b = q_nearest_match_window(spark, smoke_dir)
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for b in (q_nearest_match_window(spark, smoke_dir), q_nearest_match_offsets(spark, smoke_dir)):
+        assert a.count() == b.count()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_blocks_agree_at_long_and_short_tolerances_with_a_hot_key(spark):
+    rng = random.Random(4)
+    left = [(i, "hot" if i % 3 else f"k{i % 7}", dt.datetime.combine(_d(rng.randint(-3000, 3000)), dt.time(6))) for i in range(900)] + [(900, None, None), (901, "hot", None)]
+    right = {("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 7)}", _d(rng.randint(-3500, 3500))) for _ in range(160)}
+    lf = spark.createDataFrame(left, "id int, city string, ts timestamp_ntz")
+    rf = spark.createDataFrame([(k, d, float(i)) for i, (k, d) in enumerate(sorted(right))], "city string, date date, u double")
+    for tol in (0, 1, 8, 33, 400):
+        got = [sorted(map(str, align.nearest_asof(lf, rf, "city", "ts", "date", ["u"], tolerance_days=tol, method=m).collect()))
+               for m in ("blocks", "offsets", "window")]
+        assert got[0] == got[1] == got[2], tol
 
 
 def test_fallback_union(spark):

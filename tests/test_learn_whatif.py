@@ -4,11 +4,12 @@ import datetime as dt
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citytherm.operators import evaluate, learn, linear, split, whatif
+from citytherm.operators import evaluate, learn, linear, scoring, split, whatif
 from citytherm.sources import payloads
 
 
@@ -252,3 +253,17 @@ def test_prefixes_equal_separate_fits(spark):
             gap = F.col("prediction") - F.col("label")
             want = model.transform(rows.where(f"fold = {fold}")).agg(F.sqrt(F.avg(gap * gap))).first()[0]
             assert abs(errors[fold] - want) < 1e-9, (name, point)
+
+
+def test_model_rows_score_like_the_models(spark):
+    X, y = _data(120)
+    rows = _vectors(spark, X, y + np.sin(4 * X[:, 1]) * 3)
+    table = rows.select("features", F.col("label"), *[F.get(vector_to_array("features"), F.lit(i)).alias(f"x{i}") for i in range(3)])
+    for name, point in (("Ridge Regression", {"alpha": 1.0}), ("Decision Tree", {"max_depth": 5, "min_samples_leaf": 1}),
+                        ("Random Forest", {"n_estimators": 5, "max_depth": 4, "min_samples_leaf": 2}),
+                        ("Gradient Boosting", {"n_estimators": 5, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0})):
+        model = _candidate(name).fit(rows, point, 120, float(np.std(y)))
+        both = scoring.predict(model.transform(table).withColumnRenamed("prediction", "want"), ["x0", "x1", "x2"], scoring.model_table(spark, {name: model}))
+        assert both.where("abs(prediction - want) > 1e-9 OR prediction IS NULL").count() == 0, name
+    gaps = spark.createDataFrame([(None, 1.0, 1.0), (float("nan"), 1.0, 1.0)], "x0 double, x1 double, x2 double")
+    assert [r.prediction for r in scoring.predict(gaps, ["x0", "x1", "x2"], scoring.model_table(spark, {name: model})).collect()] == [None, None]
