@@ -11,8 +11,8 @@ boundary too.  Where the two reports agree for all neighbours the pieces are
 joined in order.  Where they don't (a run without boundaries longer than the
 overlap), the text is encoded whole.
 
-Distinct pieces are encoded once per worker through a bounded cache, by the
-given ranks.  Decoding concatenates the bytes of the ids.
+Distinct pieces are encoded once per slice at most through a bounded table of the
+worker, by the given ranks.  Decoding concatenates the bytes of the ids.
 
 Defined cases: null and empty texts have no ids; ids that are null decode to
 nothing; repeated rows and null or repeated ``doc_id`` are carried; other columns
@@ -21,20 +21,18 @@ are ignored unless asked for; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import slices, table
+from citytherm.llm import wordcodes
+from citytherm.llm.common import slices, stage, table
 
 
 @dataclass(frozen=True)
@@ -43,34 +41,34 @@ class Settings:
     pattern: str = public_tokenizers.PATTERN
     chunk: int = 32_768
     overlap: int = 512
-    cached_pieces: int = 200_000
-    cached_length: int = 64
+    cached_pieces: int = 500_000
+    cached_length: int = 48
+    slice_bytes: int = 4 << 20
 
 
-class Encoder(dict):
-    """piece -> ids; bounded, one per worker process."""
+class Encoder:
+    """Pieces and ids of texts; one per worker process."""
 
     held: dict = {}
 
     def __init__(self, s: Settings):
-        super().__init__()
-        with open(public_tokenizers.path(s.ranks), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.settings = s
         self.find = regex.compile(s.pattern)
-        self.bytes_of = dict(zip(ranks.values(), ranks))
-        self.encoding = tiktoken.Encoding("ranks", pat_str=s.pattern, mergeable_ranks=ranks, special_tokens={})
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.encoding.encode_ordinary(piece)
-        if len(self) >= self.settings.cached_pieces:
-            self.clear()
-        if len(piece) <= self.settings.cached_length:
-            self[piece] = ids
-        return ids
-
-    def ids(self, pieces: list[str]) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, pieces)))
+        self.table = wordcodes.Encoder.of(wordcodes.Vocabulary(s.ranks, pattern=s.pattern, table_pieces=s.cached_pieces, table_length=s.cached_length))
+        entries = [self.table.bytes_of.get(i, b"") for i in range(max(self.table.bytes_of) + 1)]
+        self.size = np.fromiter(map(len, entries), np.int64, len(entries))
+        self.end = np.cumsum(self.size)
+        self.raw = np.frombuffer(b"".join(entries), np.uint8)
+
+    def ids(self, pieces: list[str]) -> np.ndarray:
+        raw = [p.encode() for p in pieces]
+        return self.table.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0]
+
+    def bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids' bytes in a row, and where each id's bytes end."""
+        size = self.size[ids]
+        end = np.cumsum(size)
+        return self.raw[np.repeat(self.end[ids] - end, size) + np.arange(end[-1] if len(end) else 0)], end
 
     @classmethod
     def of(cls, s: Settings) -> Encoder:
@@ -79,24 +77,26 @@ class Encoder(dict):
         return cls.held[s]
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
+def _lists(ids: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, ids)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
 
 
 def _whole(s: Settings, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(s)
         for batch in batches:
-            for part, _, _ in slices(batch, "text"):
-                texts = part.column(part.schema.get_field_index("text")).to_pylist()
-                ids = [encoder.ids(encoder.find.findall(t)) if t else [] for t in texts]
+            for part, data, offsets in slices(batch, "text", s.slice_bytes):
+                ids, rows = encoder.table.encode(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index(c)) for c in columns] + [_lists(ids)], [*columns, "ids"])
+                    [part.column(part.schema.get_field_index(c)) for c in columns] + [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids))], [*columns, "ids"])
     return run
 
 
-def encode_chunk(encoder: Encoder, text: str, begin: int, end: int, last: bool) -> tuple[int, int, list[int]]:
+_NONE = np.zeros(0, np.int32)
+
+
+def encode_chunk(encoder: Encoder, text: str, begin: int, end: int, last: bool) -> tuple[int, int, np.ndarray]:
     """Ids of the pieces that a chunk keeps of its slice ``text``, the first
     boundary at or after ``begin``, and the first at or after ``end`` (-1: none
     that can be relied on)."""
@@ -106,7 +106,7 @@ def encode_chunk(encoder: Encoder, text: str, begin: int, end: int, last: bool)
     first = next((a for a in starts if a >= begin), -1)
     stop = len(text) if last else next((a for a in starts if a >= end), -1)
     if first < 0 or stop < 0:
-        return (first, stop, []) if not (last and first < 0) else (len(text), len(text), [])
+        return (first, stop, _NONE) if not (last and first < 0) else (len(text), len(text), _NONE)
     return first, stop, encoder.ids([text[a:b] for a, b in spans if first <= a < stop])
 
 
@@ -136,10 +136,11 @@ def _long(texts: DataFrame, s: Settings) -> DataFrame:
            .select("key", F.col("at").cast("long").alias("at"), F.col("n").cast("long").alias("n"), F.col("lead").cast("long").alias("lead"),
                    F.substring("text", F.col("at") - F.col("lead") + 1, F.col("lead") + s.chunk + s.overlap).alias("text")))
     parts = cut.repartition("key", "at").mapInArrow(_chunks(s), "key string, at long, first long, stop long, ids array<int>")
-    joined = (parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "first", "stop", "ids"))).alias("c"))
+    # written once: what fits and what does not read the same chunks
+    joined = stage(parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "first", "stop", "ids"))).alias("c"))
               # neighbours agree on a boundary, and the first chunk starts at 0
               .withColumn("fits", F.expr("c[0].first = 0 AND forall(sequence(0, size(c) - 1), "
-                                         "i -> c[i].stop >= 0 AND (i = 0 OR c[i].first = c[i - 1].stop))")))
+                                         "i -> c[i].stop >= 0 AND (i = 0 OR c[i].first = c[i - 1].stop))")), "chunks")
     whole = joined.where("fits").select("key", F.flatten(F.transform("c", lambda x: x["ids"])).alias("ids"))
     odd = joined.where("NOT fits").select("key").join(texts, "key")
     return whole.unionAll(odd.select("key", "text").mapInArrow(_whole(s, ["key"]), "key string, ids array<int>"))
@@ -164,15 +165,24 @@ def decode(encoded: DataFrame, columns: list[str] | None = None, s: Settings = S
     kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = Encoder.of(s).bytes_of.__getitem__
+        encoder = Encoder.of(s)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = part.column(part.schema.get_field_index("ids"))
-                values, ends = ids.flatten().to_pylist(), ids.value_lengths().fill_null(0).to_numpy().cumsum().tolist()
-                texts = [b"".join(map(get, values[a:b])) for a, b in zip([0, *ends], ends)]
-                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in columns] + [pa.array(texts, pa.binary())],
-                                                 [*columns, "bytes"])
+            ids = batch.column(batch.schema.get_field_index("ids"))
+            counts = ids.value_lengths().fill_null(0).to_numpy()
+            at = 0
+            while at < batch.num_rows:  # runs of rows with a bounded number of ids
+                n = max(int(np.searchsorted(np.cumsum(counts[at:]), s.slice_bytes // 4)), 1)
+                part = batch.slice(at, n)
+                values = ids.slice(at, n).flatten().drop_null().to_numpy().astype(np.int64)
+                raw, end = encoder.bytes(values)
+                rows = np.concatenate(([0], np.cumsum(ids.slice(at, n).is_valid().to_numpy(zero_copy_only=False) * counts[at: at + n])))
+                if len(values) < rows[-1]:  # null ids inside lists
+                    valid = np.concatenate(([0], np.cumsum(ids.slice(at, n).flatten().is_valid().to_numpy(zero_copy_only=False))))
+                    rows = valid[rows]
+                bounds = np.concatenate(([0], end))[rows].astype(np.int64)
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in columns] + [texts.cast(pa.binary())], [*columns, "bytes"])
+                at += n
 
     return encoded.select(*dict.fromkeys([*columns, "ids"])).mapInArrow(run, f"{kinds}, bytes binary")
 

@@ -1,4 +1,4 @@
-"""Token ids of many texts through the tokenizers and sentencepiece libraries, by distinct pieces.
+"""Token ids of many texts through the tokenizers, tiktoken and sentencepiece libraries, by distinct pieces.
 
 Texts are cut where no token can cross: before a space that has a visible ASCII
 character on one side, around a line feed between two of them, and between an ASCII letter and a
@@ -10,6 +10,7 @@ library once per slice at most; a bounded table per worker keeps short ones.
 
 from __future__ import annotations
 
+import base64
 import os
 from dataclasses import dataclass
 from itertools import chain
@@ -24,6 +25,7 @@ import pyarrow.compute as pc
 class Vocabulary:
     name: str                    # a file of public_tokenizers, read on each worker
     plain_specials: bool = False  # strings of special tokens inside texts are ordinary text
+    pattern: str = public_tokenizers.PATTERN  # of a file of ranks
     blank: bool = False           # white space and the case of A-Z make no difference to the ids
     table_pieces: int = 800_000
     table_length: int = 48
@@ -90,12 +92,18 @@ class Encoder:
     def __init__(self, v: Vocabulary):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.vocabulary = v
-        self.words = v.name.endswith(".model")
+        self.words, self.ranks = v.name.endswith(".model"), v.name.endswith(".tiktoken")
         if self.words:
             from sentencepiece import SentencePieceProcessor
             self.tokenizer = SentencePieceProcessor(model_file=public_tokenizers.path(v.name))
             if any("\u2581" in self.tokenizer.id_to_piece(i).lstrip("\u2581") for i in range(self.tokenizer.get_piece_size())):
                 raise ValueError("entries of this vocabulary cross spaces")
+        elif self.ranks:
+            import tiktoken
+            with open(public_tokenizers.path(v.name), "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.bytes_of = dict(zip(ranks.values(), ranks))
+            self.tokenizer = tiktoken.Encoding(v.name, pat_str=v.pattern, mergeable_ranks=ranks, special_tokens={})
         else:
             from tokenizers import Tokenizer
             self.tokenizer = Tokenizer.from_file(public_tokenizers.path(v.name))
@@ -113,6 +121,8 @@ class Encoder:
             part = [p.decode("utf-8", "replace") for p in pieces[at: at + 4096].to_pylist()]
             if self.words:  # the library puts the leading space there itself
                 ids = self.tokenizer.encode([p[1:] for p in part], num_threads=1)
+            elif self.ranks:
+                ids = self.tokenizer.encode_ordinary_batch(part, num_threads=1)
             else:
                 ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))

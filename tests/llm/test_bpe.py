@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import tiktoken
@@ -22,7 +23,8 @@ def expected(rows):
 
 
 def test_matches_library(spark, docs_of, corpus):
-    odd = [(300, "don't  stop\n\n  now 12345 x²½ 日本語 🙂🙂 a\u00a0b <|endoftext|>"), (301, "x" * 5000), (302, " " * 3000 + "end"), (None, "null id"), (303, "it's we'll 's 'll" * 300)]
+    odd = [(300, "don't  stop\n\n  now 12345 x²½ 日本語 🙂🙂 a\u00a0b <|endoftext|>"), (301, "x" * 5000), (302, " " * 3000 + "end"), (None, "null id"), (303, "it's we'll 's 'll" * 300), (304, "\n\nb a  c" * 400),
+           (305, "".join(random.Random(1).choice(list(" \n\t ab'é1,.")) for _ in range(9000)))]
     rows = corpus + odd
     for s in (bpe.Settings(), bpe.Settings(chunk=700, overlap=40), bpe.Settings(chunk=64, overlap=8, cached_pieces=10)):
         assert sorted(map(tuple, bpe.digests(docs_of(rows), s).collect()), key=str) == expected(rows)
