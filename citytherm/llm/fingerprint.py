@@ -1,4 +1,4 @@
-"""Document fingerprints from closed syncmers, with built-in expressions only.
+"""Document fingerprints from closed syncmers.
 
 A text is read as characters, white space and all.  A window of ``k`` characters
 is an anchor when the smallest hash among its ``k - s + 1`` inner windows of ``s``
@@ -13,10 +13,15 @@ with a smaller ``k`` (``LEVELS``), so that three quarters of any text hold one.
 Likeness of two fingerprints is the Dice share ``2 * common / (a + b)`` of their
 distinct anchors; a text is read at the level of the shorter one to be compared.
 
-The next document in id order is found without a global sort in one task: ids
-are dealt to ranges by cut points (quantiles, one small array), the first
-document of a range is also sent to the range before it, and a window within
-each range reads the successor.
+``anchors``, ``level`` and ``at_level`` are built-in expressions for any column.  They
+interpret an array element by element, which costs too much for whole corpora;
+``compare`` computes the same hashes over Arrow batches, and tests hold the two
+against each other.
+
+The next document in id order is found without a global sort in one task: rows
+are dealt to ranges of (id, text) and sorted there, so a row's successor is the next
+row; the last row of a range meets the first one of the next range through a table
+with two rows for each range.
 
 Defined cases: null and empty texts count as empty, with an empty fingerprint;
 two empty fingerprints have likeness 1, an empty and a filled one 0; for ``anchors``
@@ -27,7 +32,13 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytherm.llm.common import table
@@ -92,18 +103,6 @@ def at_level(text: Column, level: Column, levels: int = len(LEVELS)) -> Column:
     return out
 
 
-def with_kept(text: Column, kept: Column) -> Column:
-    """Anchors at the last level, and how many of them lie in the first ``kept`` characters."""
-    def read(tokens: Column) -> Column:
-        return _let(_places(tokens, K, S), lambda at: F.struct(_hashes(tokens, at, K).alias("a"), F.size(F.filter(at, lambda i: i <= kept - K)).alias("kept")))
-    return _let(_characters(text), read)
-
-
-def windows_of(text: Column) -> Column:
-    """Anchors at the last level of a piece of a longer text; none where no window fits."""
-    return _let(_characters(text), lambda tokens: _hashes(tokens, _places(tokens, K, S), K))
-
-
 def _let(value: Column, body) -> Column:
     """Name an array so that it is computed once: the only element of a one-element array."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -120,68 +119,212 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(2.0 * both / total)
 
 
-_FIRST = -(1 << 63)
+# ---------------------------------------------------------------- whole tables, in tasks
+
+_U = np.uint64
+_P1, _P2, _P3, _P4, _P5 = (_U(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+LEAD = 64  # characters of a text that take part in dealing rows of one id to ranges
+BLOCK = 1 << 18  # windows worked on at once, so that memory follows the block and not the text
 
 
-def in_ranges(documents: DataFrame) -> tuple[DataFrame, Window]:
-    """Rows (key, text, range, again) dealt to id ranges, and the window of a
-    range.  The first rows of a range come ``again`` at the end of the one before."""
-    spark = documents.sparkSession
-    rows = documents.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], 100 * parts).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    if cuts:  # binary search: the number of cut points under the key
-        points = F.array(*[F.lit(c) for c in cuts])
-        found = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, x: F.when(
-            (at + x <= len(cuts)) & (F.get(points, at + x - 1) < F.col("key")), at + x).otherwise(at))
-    else:
-        found = F.lit(0)
-    ranged = rows.withColumn("range", found)
-    first = {r["range"]: r["key"] for r in ranged.groupBy("range").agg(F.min("key").alias("key")).collect()}  # one per range
-    used = sorted(first)
-    before = {r: used[i - 1] for i, r in enumerate(used)}
-    if used:
-        pairs = lambda d: F.create_map(*[F.lit(x) for r in used for x in (r, d[r])])
-        again = F.when(F.col("key") == F.try_element_at(pairs(first), F.col("range")), F.try_element_at(pairs(before), F.col("range")))
+def _turn(x: np.ndarray, r: int) -> np.ndarray:
+    return (x << _U(r)) | (x >> _U(64 - r))
+
+
+def _hash_long(value: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    """The 64-bit hash of one long that ``xxhash64`` chains."""
+    h = (seed + _P5 + _U(8)) ^ (_turn(value * _P2, 31) * _P1)
+    h = _turn(h, 27) * _P1 + _P4
+    h = (h ^ (h >> _U(33))) * _P2
+    h = (h ^ (h >> _U(29))) * _P3
+    return h ^ (h >> _U(32))
+
+
+def _chain(tokens: np.ndarray, at: np.ndarray | slice, n: int) -> np.ndarray:
+    """Hash of ``n`` tokens from each place on."""
+    h: np.ndarray | np.uint64 = _U(42)
+    for j in range(n):
+        part = tokens[at.start + j: at.stop + j] if isinstance(at, slice) else tokens[at + j]
+        h = _hash_long(part, h)
+    return h
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all characters in a row, and the row offsets."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    known, code = np.unique(points, return_inverse=True)
+    table_ = np.array([xxhash.xxh64_intdigest(chr(c).encode(), seed=42) for c in known.tolist()], np.uint64)
+    return table_[code] if len(points) else np.zeros(0, np.uint64), np.cumsum([0, *map(len, texts)])
+
+
+def _scan(tokens: np.ndarray, k: int, s: int) -> np.ndarray:
+    """Places of the closed syncmers of all windows, in blocks."""
+    inner, found = k - s + 1, []
+    for begin in range(0, len(tokens) - k + 1, BLOCK):
+        stop = min(begin + BLOCK, len(tokens) - k + 1)
+        small = _chain(tokens, slice(begin, stop + inner - 1), s).view(np.int64)
+        low, width = small, 1
+        while width < inner:
+            step = min(width, inner - width)
+            low, width = np.minimum(low[:-step], low[step:]), width + step
+        n = stop - begin
+        found.append(np.flatnonzero((low == small[:n]) | (low == small[inner - 1: inner - 1 + n])) + begin)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def read_texts(texts: list[str], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor hashes of all texts, each at its level, and the row offsets: ``at_level`` for many rows."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for lv, (k, s, _) in enumerate(LEVELS):
+        mine = np.flatnonzero(levels == lv)
+        if not len(mine):
+            continue
+        tokens, ends = _codes([texts[i] for i in mine.tolist()])
+        at = _scan(tokens, k, s)
+        row = np.searchsorted(ends, at, side="right") - 1
+        inside = at + k <= ends[row + 1]
+        at, row = at[inside], row[inside]
+        value = (_chain(tokens, at, k).view(np.int64) >> 32).astype(np.int32) if len(at) else np.zeros(0, np.int32)
+        none = np.flatnonzero((np.bincount(row, minlength=len(mine)) == 0) & (np.diff(ends) > 0))
+        for r in none.tolist():  # short texts without an anchor: all their characters
+            h = _U(42)
+            for t in tokens[ends[r]: ends[r + 1]]:
+                h = _hash_long(np.array([t], np.uint64), h)
+            value = np.append(value, (h.view(np.int64) >> 32).astype(np.int32))
+            row = np.append(row, r)
+        parts.append((mine[row], value))
+    row, value = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+    order = np.argsort(row, kind="stable")
+    return value[order], np.searchsorted(row[order], np.arange(len(texts) + 1))
+
+
+def _levels(sizes: np.ndarray) -> np.ndarray:
+    return np.searchsorted([least for *_, least in LEVELS[1:]], sizes, side="right")
+
+
+def _distinct(found: tuple[np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Sorted (place in ``rows``, hash) keys of the chosen rows' distinct anchors."""
+    value, ends = found
+    size = ends[rows + 1] - ends[rows]
+    at = np.repeat(ends[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return np.unique((np.repeat(np.arange(len(rows)), size).astype(np.int64) << 32) | (value[at].astype(np.int64) & 0xFFFFFFFF))
+
+
+def _dice(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    both = np.bincount(np.intersect1d(a, b, assume_unique=True) >> 32, minlength=n)
+    total = np.bincount(a >> 32, minlength=n) + np.bincount(b >> 32, minlength=n)
+    return np.where(total == 0, 1.0, 2.0 * both / np.maximum(total, 1))
+
+
+_DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
+
+
+def _hex(found: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    value, ends = found
+    digits = _DIGITS[(value.view(np.uint32)[:, None] >> np.arange(28, -1, -4, dtype=np.uint32)) & 15]
+    return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(8 * ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(digits))).cast(pa.string())
+
+
+_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def _compared(names: pa.Array, texts: list[str], following: list[str]) -> pa.RecordBatch:
+    """Rows of ``compare`` from texts and the texts that follow them."""
+    n = len(texts)
+    edited = [t[: len(t) - len(t) // 4] + f[: len(t) // 4] for t, f in zip(texts, following)]
+    own, changed, after = (_levels(np.fromiter(map(len, x), np.int64, n)) for x in (texts, edited, following))
+    rows = np.arange(n)
+    a, e = read_texts(texts, own), read_texts(edited, changed)
+    lower = np.minimum(own, after)
+
+    def at(found, texts, had, wanted):
+        """Distinct anchors at the wanted levels: read again only where they are not at hand."""
+        same = had == wanted
+        again = np.flatnonzero(~same)
+        keys = _distinct(found, rows)
+        if not len(again):
+            return keys
+        more = _distinct(read_texts([texts[i] for i in again.tolist()], wanted[again]), np.arange(len(again)))
+        return np.sort(np.concatenate((keys[same[keys >> 32]], (again[more >> 32].astype(np.int64) << 32) | (more & 0xFFFFFFFF))))
+    near_edited = _dice(at(a, texts, own, np.minimum(own, changed)), at(e, edited, changed, np.minimum(own, changed)), n)
+    # most texts that follow are the next row's own
+    chained = following[:-1] == texts[1:] if n > 1 else False
+    if chained:
+        last = read_texts(following[-1:], after[-1:])
+        f = (np.concatenate((a[0][a[1][1]:], last[0])), np.append(a[1][1:], a[1][-1] + len(last[0])) - a[1][1])
     else:
-        again = F.lit(None).cast("int")
-    entry = lambda r, a: F.struct(r.alias("range"), F.lit(a).alias("again"))
-    dealt = (ranged.withColumn("to", F.explode(F.when(again.isNull(), F.array(entry(F.col("range"), False)))
-                                              .otherwise(F.array(entry(F.col("range"), False), entry(again, True)))))
-             .select("key", "doc_id", "text", "to.range", "to.again"))
-    return dealt.repartition(parts, "range"), Window.partitionBy("range").orderBy("again", "key", "text")
+        f = read_texts(following, after)
+    near_next = _dice(at(a, texts, own, lower), at(f, following, after, lower), n)
+    return pa.RecordBatch.from_arrays(
+        [names, pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited]),
+         _hex(a), _hex(e), pa.array(near_edited), pa.array(near_next)], [c.split()[0] for c in _OUT.split(", ")])
+
+
+def _slices(batches: Iterator[pa.RecordBatch], limit: int = 1 << 19) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(doc ids, texts) of runs of rows with about ``limit`` characters."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        at, size = 0, 0
+        for i, t in enumerate(texts):
+            size += len(t) + 16
+            if size >= limit or i == len(texts) - 1:
+                yield batch.column(0).slice(at, i + 1 - at), texts[at: i + 1]
+                at, size = i + 1, 0
+
+
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a sorted partition but the last, which has no successor here."""
+    held: tuple[pa.Array, str] | None = None
+    for names, texts in _slices(batches):
+        if held is not None:
+            names, texts = pa.concat_arrays([held[0], names]), [held[1], *texts]
+        if len(texts) > 1:
+            yield _compared(names[:-1], texts[:-1], texts[1:])
+        held = (names[-1:], texts[-1])
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last row of a sorted partition, named by the first one's
+    place in the order, which no other range has."""
+    first, last = None, None
+    for batch in batches:
+        if batch.num_rows:
+            first = first if first is not None else batch.slice(0, 1)
+            last = batch.slice(batch.num_rows - 1, 1)
+    if first is not None:
+        names = pa.concat_arrays([first.column(0)] * 2)
+        lead = first.column(1)[0].as_py()[:LEAD]
+        yield pa.RecordBatch.from_arrays([names, pa.array([lead, lead]), pa.array([True, False]), *(pa.concat_arrays([first.column(i), last.column(i)]) for i in (0, 1))],
+                                         ["range_id", "range_text", "first", "doc_id", "text"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield _compared(batch.column(0).slice(i, 1), [batch.column(1)[i].as_py()], [batch.column(2)[i].as_py()])
+
+
+def compare(documents: DataFrame) -> DataFrame:
+    """The contract's columns for every document."""
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    order = [F.asc_nulls_first("doc_id"), F.asc("text")]
+    dealt = (rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"), F.asc(F.substring("text", 1, LEAD)))
+             .sortWithinPartitions(*order))
+    ends = dealt.mapInArrow(_ends, "range_id long, range_text string, first boolean, doc_id long, text string")
+    # one short entry for each range: the range that follows, and the first after the last
+    used = ends.where("first").agg(F.sort_array(F.collect_list(F.struct("range_id", "range_text"))).alias("r"))
+    then = lambda r, i: F.get("r", (i + 1) % F.size("r"))
+    follows = used.select(F.inline(F.transform("r", lambda r, i: F.struct(
+        r["range_id"].alias("a_id"), r["range_text"].alias("a_text"), then(r, i)["range_id"].alias("b_id"), then(r, i)["range_text"].alias("b_text")))))
+    heads = ends.where("first").select(F.col("range_id").alias("h_id"), F.col("range_text").alias("h_text"), F.col("text").alias("next_text"))
+    tails = (ends.where("NOT first")
+             .join(follows, F.col("range_id").eqNullSafe(F.col("a_id")) & (F.col("range_text") == F.col("a_text")))
+             .join(heads, F.col("b_id").eqNullSafe(F.col("h_id")) & (F.col("b_text") == F.col("h_text")))
+             .select("doc_id", "text", "next_text").mapInArrow(_pairs, _OUT))
+    return dealt.mapInArrow(_inside, _OUT).unionAll(tails)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited form."""
     return compare(table(spark, sf_dir, "documents"))
-
-
-def compare(documents: DataFrame) -> DataFrame:
-    dealt, order = in_ranges(documents)
-    n = F.char_length("text")
-    quarter = F.floor(n / 4).cast("int")
-    paired = dealt.select("range", "again", "key", "doc_id", "text", F.lead("text").over(order).alias("next_text"),
-                          F.row_number().over(order).alias("place"))
-    kept = n - quarter
-    edited = (paired.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), quarter)))
-              .withColumn("at", level(F.col("text"))).withColumn("edited_at", level(F.col("edited"))).withColumn("next_at", level(F.col("next_text"))))
-    last = len(LEVELS) - 1
-    # long texts are read once: the edited form shares the windows that lie in the part kept
-    read = (edited.withColumn("own", F.when(F.col("at") == last, with_kept(F.col("text"), kept))
-                              .otherwise(F.struct(at_level(F.col("text"), F.col("at"), last).alias("a"), F.lit(0).alias("kept"))))
-            .withColumn("e", F.when(F.col("again"), None).when((F.col("at") == last) & (F.col("edited_at") == last), F.concat(
-                F.slice("own.a", F.lit(1), F.col("own.kept")), windows_of(F.substring("edited", kept - K + 2, F.char_length("edited")))))
-                .otherwise(at_level(F.col("edited"), F.col("edited_at"), last))))
-    found = read.select("range", "again", "place", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                        F.col("own.a").alias("a"), "e",
-                        F.when(~F.col("again") & (F.col("edited_at") < F.col("at")), at_level(F.col("text"), F.col("edited_at"), last)).alias("a_edited"),
-                        F.when(~F.col("again") & (F.col("next_at") < F.col("at")), at_level(F.col("text"), F.col("next_at"), last)).alias("a_next"),
-                        F.when(~F.col("again") & (F.col("next_at") > F.col("at")), at_level(F.col("next_text"), F.col("at"), last)).alias("n_low"))
-    following = F.lead("a").over(Window.partitionBy("range").orderBy("place"))
-    return (found.withColumn("n", following).where(~F.col("again"))
-            .select("doc_id", "n_chars", "edited_sha256", text_of(F.col("a")).alias("fingerprint"), text_of(F.col("e")).alias("edited_fingerprint"),
-                    likeness(F.coalesce("a_edited", "a"), F.col("e")).alias("near_edited"),
-                    likeness(F.coalesce("a_next", "a"), F.coalesce("n_low", "n")).alias("near_next")))
