@@ -160,3 +160,8 @@ def spread(df: DataFrame) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """True for rows whose labels may not be learnt from: crc32(id as text) mod 5 = 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def let(value: Column, body) -> Column:
+    """Name an expression so that it is computed once: the only element of a one-element array."""
+    return F.get(F.transform(F.array(value), body), 0)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import table
+from citytherm.llm.common import let, table
 
 K, S = 24, 4
 TOKEN = "(?s)."  # one character
@@ -60,7 +60,7 @@ def _lowest(small: Column, inner: int) -> Column:
     out, width = small, 1
     while width < inner:
         step = min(width, inner - width)
-        out, width = _let(out, join(step)), width + step
+        out, width = let(out, join(step)), width + step
     return out
 
 
@@ -72,7 +72,7 @@ def _places(tokens: Column, k: int, s: int) -> Column:
     def pick(small: Column) -> Column:
         return F.filter(F.transform(_lowest(small, inner), lambda low, i: F.when((low == F.get(small, i)) | (low == F.get(small, i + inner - 1)), i)),
                         lambda i: i <= F.size(tokens) - k)
-    return F.when(F.size(tokens) >= k, _let(small, pick)).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(tokens) >= k, let(small, pick)).otherwise(F.array().cast("array<int>"))
 
 
 def _hashes(tokens: Column, places: Column, k: int) -> Column:
@@ -83,8 +83,8 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<int>: anchor hashes of a text in text order."""
     def whole(tokens: Column) -> Column:
         found = _hashes(tokens, _places(tokens, k, s), k)
-        return _let(found, lambda a: F.when((F.size(a) > 0) | (F.size(tokens) == 0), a).otherwise(F.array(F.shiftright(F.xxhash64(tokens), 32).cast("int"))))
-    return _let(_characters(text), whole)
+        return let(found, lambda a: F.when((F.size(a) > 0) | (F.size(tokens) == 0), a).otherwise(F.array(F.shiftright(F.xxhash64(tokens), 32).cast("int"))))
+    return let(_characters(text), whole)
 
 
 def level(text: Column) -> Column:
@@ -103,11 +103,6 @@ def at_level(text: Column, level: Column, levels: int = len(LEVELS)) -> Column:
     return out
 
 
-def _let(value: Column, body) -> Column:
-    """Name an array so that it is computed once: the only element of a one-element array."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def text_of(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda a: F.lower(F.lpad(F.right(F.hex(a), F.lit(8)), 8, "0"))), "")
 

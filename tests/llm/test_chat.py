@@ -39,3 +39,24 @@ def test_query_matches_sql_and_hash(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     assert [r["conv_id"] for r in chat.op5_chat_format(spark, str(tmp_path)).collect()] == [-1]
+
+
+def test_a_conversation_of_50000_turns(spark):
+    import time
+    turns = [(9, i, "assistant" if i % 3 else "user", f"é <{i}> & 🙂 " + "x" * (i % 40)) for i in range(50_000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    begin = time.time()
+    out = chat.format_chat(df).select("formatted", "loss_spans", chat.read_back(F.col("formatted")).alias("turns"),
+                                      chat.spanned(F.col("formatted"), F.col("loss_spans")).alias("cut")).first()
+    assert time.time() - begin < 60
+    assert [(t["role"], t["text"]) for t in out["turns"]] == [x[2:] for x in turns]
+    said = [x[3] for x in turns if x[2] == "assistant"]
+    plain = lambda x: x.replace("&gt;", ">").replace("&lt;", "<").replace("&amp;", "&")
+    assert [plain(x) for x in out["cut"]] == said
+    assert [plain(out["formatted"][s["start"]: s["start"] + s["length"]]) for s in out["loss_spans"]] == said
+
+
+def test_messages_merge_adjacent_roles(spark):
+    df = spark.createDataFrame(ROWS, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: [(m["role"], m["texts"]) for m in r["messages"]] for r in chat.messages(df).collect()}
+    assert got[1] == [("user", ["hi"]), ("assistant", ["a <|end|> & &lt; b", "", "x<|and|>y"]), ("user", [""])] and got[4] == [("", [""])]
