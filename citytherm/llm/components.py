@@ -27,7 +27,8 @@ def _to_minimum(directed: DataFrame, only_larger: bool) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(u, v)``; the component is its
     smallest node.  Each round is written to the shared folder, so a later one
-    never recomputes it.  The rounds end when every node points at a minimum."""
+    never recomputes it.  The rounds end when every node points at a minimum; if they
+    run out before that it is an error, so no link is lost without a word."""
     ordered = (edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     now = stage(ordered, "edges")
     summary = None
@@ -42,5 +43,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if check == summary:
             break
         summary = check
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -127,9 +127,9 @@ def _sketch_rows(s: Settings):
                 key = np.array([np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64) for x in sets])
                 flat = sketch(sets, s)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]),
+                    [part.column(0), part.column(2), pa.array([len(x) for x in sets], pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]),
                      pa.array([r.tobytes() for r in flat], pa.binary())],
-                    ["doc_id", "n_shingles", "k1", "k2", "registers"])
+                    ["doc_id", "hash", "n_shingles", "k1", "k2", "registers"])
     return run
 
 
@@ -275,20 +275,23 @@ def _labelled(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
 
 def classes(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``documents``."""
-    texts = documents.select("doc_id", "text")
-    rows = stage(texts.mapInArrow(_sketch_rows(s), "doc_id long, n_shingles long, k1 long, k2 long, registers binary"), "sketch")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    rows = stage(texts.mapInArrow(_sketch_rows(s), "doc_id long, hash long, n_shingles long, k1 long, k2 long, registers binary"), "sketch")
     filled = rows.where("doc_id is not null and n_shingles > 0")
     # equal sets are one node, named by the smallest id
     same = stage(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "nodes")
-    heads = (filled.join(same, ["k1", "k2"]).where("doc_id = node")
-             .select("node", "n_shingles", "registers").dropDuplicates(["node", "n_shingles", "registers"]))
+    # a node has one row for each of its sets: an id may come with several texts
+    heads = (filled.join(same, ["k1", "k2"]).where("doc_id = node").groupBy("node", "k1", "k2")
+             .agg(F.min(F.struct("hash", "n_shingles", "registers")).alias("h")).select("node", "k1", "k2", "h.*"))
 
     bands = heads.select("node", "registers").mapInArrow(_bands(s), "key long, band int, node long")
     crowded = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
     shared = stage(bands.join(crowded, "key").select("key", "band", "node"), "buckets")
     wanted = shared.select("node").distinct()
-    sides = stage(spread(heads.join(wanted, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
-                         .dropDuplicates(["node", "registers"])), "candidates")
+    # each set with the text it comes from; rows that repeat one text count once
+    own = texts.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
+    sides = stage(spread(heads.join(own, ["node", "hash"]).groupBy("node", "k1", "k2", "n_shingles", "registers").agg(F.min("text").alias("text"))
+                         .drop("k1", "k2")), "candidates")
 
     # a document under several texts joins their nodes
     member = filled.select("doc_id", "k1", "k2").join(same, ["k1", "k2"])

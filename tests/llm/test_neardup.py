@@ -67,3 +67,16 @@ def test_components(spark, edges):
         for u, v in edges:
             parent[u] = parent[v] = min(parent[u], parent[v])
     assert got == parent
+
+
+def test_an_id_under_several_texts_is_linked_whatever_the_order(spark, docs_of):
+    a = " ".join(f"w{i}" for i in range(41))
+    b = " ".join(f"v{i}" for i in range(41))
+    rows = [(1, a), (2, b), (2, a + " more"), (2, b), (3, b + " end"), (9, "far away from all of them")]
+    want = None
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        for parts in (1, 3):
+            got = sorted(map(tuple, neardup.classes(docs_of(order).repartition(parts)).select("doc_id", "n_shingles", "component_id").collect()))
+            want = want or got
+            assert got == want
+    assert {r[2] for r in want if r[0] in (1, 2, 3)} == {1}
