@@ -20,6 +20,7 @@ largest; with no labelled rows, or one class only, the model is the bias ``-4``
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,19 +102,22 @@ class Ftrl:
 
 def _train_shard(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for batch in batches:
-            for part, data, offsets in slices(batch, "text"):
-                index, row = distinct(*features(data, offsets, s.bits), s.bits)
-                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
-                labels = part.column("label").to_pylist()
-                rows += [(index[a:b].astype(np.int32), y) for a, b, y in zip(cut, cut[1:], labels)]
-        if not rows:
-            return
-        learner = Ftrl(s)
-        for _ in range(s.epochs):
-            for index, y in rows:
-                learner.learn(index.astype(np.int64), y)
+        with tempfile.TemporaryFile() as kept:  # the task's own, gone with it: epochs read it row by row
+            sizes: list[int] = []
+            labels: list[int] = []
+            for batch in batches:
+                for part, data, offsets in slices(batch, "text"):
+                    index, row = distinct(*features(data, offsets, s.bits), s.bits)
+                    sizes += np.bincount(row, minlength=part.num_rows).tolist()
+                    labels += part.column("label").to_pylist()
+                    kept.write(index.astype(np.int32).tobytes())
+            if not labels:
+                return
+            learner = Ftrl(s)
+            for _ in range(s.epochs):
+                kept.seek(0)
+                for n, y in zip(sizes, labels):
+                    learner.learn(np.frombuffer(kept.read(4 * n), np.int32).astype(np.int64), y)
         at = np.append(np.flatnonzero(learner.n[:-1]), 1 << s.bits)
         w = learner.weights(at)
         keep = (w != 0) | (at == 1 << s.bits)
