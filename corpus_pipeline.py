@@ -34,12 +34,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component, one row of each id."""
+    """Keep the document with the smallest id of each component, one row of each id:
+    the one whose text has the smallest hash, then the smallest row."""
     keep = neardup.classes(docs).where("doc_id = component_id").select("doc_id").distinct()
     ids = docs.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("k")).first()
     known = docs.join(keep, "doc_id", "left_semi")
     if ids["n"] != ids["k"]:
-        known = known.dropDuplicates(["doc_id"])
+        rest = [c for c in DOCUMENT_COLUMNS if c != "doc_id"]
+        known = known.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), *rest)).alias("r")).select("doc_id", *[f"r.{c}" for c in rest])
     return known.unionByName(docs.where("doc_id IS NULL")).select(DOCUMENT_COLUMNS)
 
 
