@@ -69,6 +69,9 @@ _NOT_CONTENT_WORDS = frozenset(
     "signup login search share sharing social related recommended recommendations comment comments reply replies disqus respond pagination pager widget "
     "copyright legal disclaimer toolbar skip".split())
 _CONTENT_WORDS = frozenset("article post entry story content".split())
+_THREAD_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())  # first words of what holds readers' comments
+_SWITCH_WORDS = frozenset("open opened closed on off enabled disabled allowed count counter link".split())  # last words of what only tells of them
+_THREAD = -3.0  # hint inside readers' comments, whatever their share: more than shape and neighbours can outvote
 _WORD = 0.75  # weight of a class word beside a tag that states its label
 _ABOVE = 0.25  # what is left of the hint around an element that says the opposite
 _CLEAR = 0.5  # hints that label training blocks
@@ -96,31 +99,38 @@ class Settings:
     weights: list[float] = field(default_factory=list)
 
 
-def _says(tag: str, attributes: str) -> tuple[int, bool, bool, bool]:
+def _says(tag: str, attributes: str) -> tuple[int, bool, bool, bool, bool]:
     """What a tag states of what it holds (1, -1, 0), whether its class words name
-    content and boilerplate, and whether it is hidden."""
+    content, boilerplate and readers' comments, and whether it is hidden."""
     says = -1 if tag in _NOT_CONTENT else 1 if tag in _CONTENT else 0
-    good = bad = False
+    good = bad = thread = False
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-                return -1, False, False, True
+                return -1, False, False, False, True
             if name in ("class", "id", "role") and tag != "a":  # a link's words are about its goal
                 words = {w.lower() for w in _WORDS.findall(value)}
                 bad = bad or bool(words & _NOT_CONTENT_WORDS) or value.lower() in ("complementary", "contentinfo", "dialog")
                 good = good or bool(words & _CONTENT_WORDS)
-    return says, good, bad, False
+                if tag not in ("html", "body", "main") and name != "role":
+                    for names in (_WORDS.findall(w.lower()) for w in value.split()):
+                        thread = thread or bool(names) and names[0] in _THREAD_WORDS and names[-1] not in _SWITCH_WORDS
+    return says, good, bad, thread, False
 
 
-def _hint(tag: str, says: tuple[int, bool, bool], above: float, share: float) -> float:
+def _hint(tag: str, says: tuple[int, bool, bool, bool], above: float, share: float) -> float:
     """The hint inside an element that holds ``share`` of the page's text, from the
     hint ``above`` it."""
-    stated, good, bad = says
+    stated, good, bad, thread = says
+    if thread or above <= _THREAD:
+        return _THREAD
     if tag == "header" and above <= 0:
         stated = -1
     against = _ABOVE * max(above, 0.0)
+    if tag == "form":  # around most of a page it says nothing of it
+        return share * above + (1 - share) * (against - 1)
     if stated < 0:
         return against - 1
     if bad:
@@ -139,7 +149,7 @@ class _Open:
 
     def __init__(self) -> None:
         self.stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # tag, number, nearest container, place of the outermost hidden element
-        self.elements: list[tuple] = [("", 0, (0, False, False))]  # tag, the element around it, what it says
+        self.elements: list[tuple] = [("", 0, (0, False, False, False))]  # tag, the element around it, what it says
         self.count: Counter[str] = Counter()
 
     @property
@@ -383,7 +393,10 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, s: Settings | None = None) -> Settings:
     """Train the shape model on blocks whose containers hint clearly at their label."""
     s = s or Settings()
-    sample = (pages.where("html <> ''").select("html").orderBy(F.xxhash64("html"), "html").limit(s.sample_pages))
+    # numbers first: only the pages of the smallest hashes travel
+    hashed = pages.where("html <> ''").select("html", F.xxhash64("html").alias("h"))
+    least = hashed.select("h").distinct().orderBy("h").limit(s.sample_pages)  # at most sample_pages numbers
+    sample = hashed.join(F.broadcast(least), "h", "left_semi").groupBy("h").agg(F.min("html").alias("html")).select("html")
     rows = spread(sample).mapInArrow(_training, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label").persist()
     try:
         if rows.select("label").distinct().count() < 2:

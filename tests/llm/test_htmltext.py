@@ -101,3 +101,28 @@ def test_broken_and_hidden_markup_keeps_the_text():
                  "<i style='display: none'>no</i>", "<textarea><p>no</textarea>", "<script>'</p>'</script>"):
         assert H.extract(f"<article><p>One {part} two.</p><p>Three.</p></article>", H.Settings()) == "One two.\n\nThree.", part
     assert H.extract("<article>" + "<b></i>" * 30_000 + "<p>end</p></article>", H.Settings()) == "end"
+
+
+def test_readers_comments_go_whatever_their_share(spark):
+    model = H.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    text = [f"Paragraph {i} of the article, with commas, and an end of its own." for i in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    said = "A reader writes that this is all wrong, and that it is long, and ends here. "
+    for n in (1, 3, 12, 60, 200):
+        for thread in ('<section id="comments"><h3>Comments</h3>{}</section>', '<div class="comment-list">{}</div>', '<ol class="box commentlist">{}</ol>'):
+            many = "".join(f'<article class="comment"><p>{said * 3}</p></article>' if n % 2 else f"<p>{said}</p>" for _ in range(n))
+            inside = f"<body><nav><a href=/>Home</a></nav><article>{body}{thread.format(many)}</article><footer>me</footer></body>"
+            after = f"<body><article>{body}</article>{thread.format(many)}</body>"
+            for page in (inside, after):
+                for s in (model, H.Settings()):
+                    assert H.extract(page, s).split("\n\n") == text, (n, thread)
+    for wrapper in ('<body class="has-comments comments-open">{}</body>', '<body><article class="post comments-closed">{}</article></body>', '<body><form id="all">{}</form></body>'):
+        assert H.extract(wrapper.format("<h1>A heading of it.</h1>" + body * 3), model).split("\n\n")[-12:] == text * 3, wrapper
+
+
+def test_the_cut_turns_blocks_that_stand_between_others():
+    """Costs alone would keep the label of each block; neighbours decide where the costs are weak."""
+    page = '<body><div><p class="story">one</p><p>two</p><p class="story">three</p><p>four</p><p>five</p></div><div><p>six</p></div></body>'
+    alone, joint = H.Settings(near=0, far=0, sibling=0), H.Settings()
+    assert H.extract(page, alone).split("\n\n") == ["one", "three"]
+    assert H.extract(page, joint).split("\n\n")[:3] == ["one", "two", "three"]
