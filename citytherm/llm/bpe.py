@@ -60,9 +60,10 @@ class Encoder:
         self.end = np.cumsum(self.size)
         self.raw = np.frombuffer(b"".join(entries), np.uint8)
 
-    def ids(self, pieces: list[str]) -> np.ndarray:
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of pieces and where each one's begin."""
         raw = [p.encode() for p in pieces]
-        return self.table.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0]
+        return self.table.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
 
     def bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids' bytes in a row, and where each id's bytes end."""
@@ -77,11 +78,6 @@ class Encoder:
         return cls.held[s]
 
 
-def _lists(ids: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, ids)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
-
-
 def _whole(s: Settings, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(s)
@@ -93,11 +89,8 @@ def _whole(s: Settings, columns: list[str]):
     return run
 
 
-_NONE = np.zeros(0, np.int32)
-
-
-def encode_chunk(encoder: Encoder, text: str, begin: int, end: int, last: bool) -> tuple[int, int, np.ndarray]:
-    """Ids of the pieces that a chunk keeps of its slice ``text``, the first
+def chunk_pieces(encoder: Encoder, text: str, begin: int, end: int, last: bool) -> tuple[int, int, list[str]]:
+    """The pieces that a chunk keeps of its slice ``text``, after the first
     boundary at or after ``begin``, and the first at or after ``end`` (-1: none
     that can be relied on)."""
     spans = [m.span() for m in encoder.find.finditer(text)]
@@ -106,8 +99,8 @@ def encode_chunk(encoder: Encoder, text: str, begin: int, end: int, last: bool)
     first = next((a for a in starts if a >= begin), -1)
     stop = len(text) if last else next((a for a in starts if a >= end), -1)
     if first < 0 or stop < 0:
-        return (first, stop, _NONE) if not (last and first < 0) else (len(text), len(text), _NONE)
-    return first, stop, encoder.ids([text[a:b] for a, b in spans if first <= a < stop])
+        return (first, stop, []) if not (last and first < 0) else (len(text), len(text), [])
+    return first, stop, [text[a:b] for a, b in spans if first <= a < stop]
 
 
 def _chunks(s: Settings):
@@ -116,14 +109,18 @@ def _chunks(s: Settings):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                firsts, stops, ids = [], [], []
+                firsts, stops, pieces, counts = [], [], [], []
                 for row in part.select(["at", "n", "lead", "text"]).to_pylist():
                     base = row["at"] - row["lead"]
-                    a, b, own = encode_chunk(encoder, row["text"], row["lead"], row["lead"] + s.chunk, row["at"] + s.chunk >= row["n"])
+                    a, b, own = chunk_pieces(encoder, row["text"], row["lead"], row["lead"] + s.chunk, row["at"] + s.chunk >= row["n"])
                     firsts.append(a + base if a >= 0 else -1)
                     stops.append(b + base if b >= 0 else -1)
-                    ids.append(own)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(firsts, pa.int64()), pa.array(stops, pa.int64()), _lists(ids)],
+                    pieces += own
+                    counts.append(len(own))
+                ids, ends = encoder.ids(pieces)  # of all chunks at once
+                bounds = ends[np.cumsum([0, *counts])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(firsts, pa.int64()), pa.array(stops, pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))],
                                                  ["key", "at", "first", "stop", "ids"])
     return run
 

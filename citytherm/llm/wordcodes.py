@@ -122,7 +122,7 @@ class Encoder:
             if self.words:  # the library puts the leading space there itself
                 ids = self.tokenizer.encode([p[1:] for p in part], num_threads=1)
             elif self.ranks:
-                ids = self.tokenizer.encode_ordinary_batch(part, num_threads=1)
+                ids = list(map(self.tokenizer.encode_ordinary, part))
             else:
                 ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
