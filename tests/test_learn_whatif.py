@@ -163,6 +163,30 @@ def test_nearest_profiles_fifth_is_zero(spark):
         assert out[-1].similarity == 0.0 and out[0].similarity == 80.0
 
 
+def test_nearest_profiles_are_exact_and_cells_prune(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 6)) * 20
+    prof = centres[rng.integers(0, 12, 1500)] + rng.normal(size=(1500, 6))
+    pts = np.concatenate([centres[rng.integers(0, 12, 40)] + rng.normal(size=(40, 6)), rng.normal(size=(5, 6)) * 60, prof[:3]])
+    pf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(prof)] + [(5000 + i, prof[7].tolist()) for i in range(9)], "pk int, pv array<double>")
+    qf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pts)], "id int, v array<double>")
+    every = np.concatenate([prof, np.repeat(prof[7:8], 9, 0)])
+    names = [*range(1500), *range(5000, 5009)]
+    for chunk in (16, 300, 4000):
+        got = {}
+        for r in whatif.nearest_profiles(qf, pf, "id", "v", "pk", "pv", k=4, chunk=chunk).collect():
+            got.setdefault(r.id, {})[r["rank"]] = (r.pk, r.distance)
+        for i, v in enumerate(pts):
+            d = np.sqrt(((every - v) ** 2).sum(1))
+            want = sorted(zip(d.tolist(), names))[:4]
+            assert [got[i][j + 1][0] for j in range(4)] == [n for _, n in want]
+            assert np.allclose([got[i][j + 1][1] for j in range(4)], [x for x, _ in want])
+    met = whatif.visited_share(qf.where("id < 40"), "v", pf, "pk", "pv", 2.0, rings=16).first()
+    assert met.n_points == 40 and met.n_profiles == 1509 and met.visited < 0.25
+    assert whatif.nearest_profiles(qf, pf.limit(0), "id", "v", "pk", "pv").count() == 0
+    assert whatif.nearest_profiles(qf.limit(0), pf, "id", "v", "pk", "pv").count() == 0
+
+
 def test_rules_order_and_default(spark):
     cols = "scenario_id int, temp double, hum double, wind double, ndvi double, uf double, clouds double"
     df = spark.createDataFrame([(1, 40.0, 90.0, 1.0, 0.1, 0.9, 10.0), (2, 20.0, 50.0, 5.0, 0.5, 0.3, 50.0)], cols)
