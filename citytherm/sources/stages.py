@@ -14,7 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from citytherm.session import shared_dir
+from citytherm.session import ensure_checkpoint_dir, shared_dir
+from citytherm.sources.manifest import Manifest
 
 # Timestamps in CSV/JSON stage files keep microseconds (Spark's default text
 # format stops at milliseconds, which would silently truncate them).
@@ -92,20 +93,16 @@ def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return repr(found)
 
 
-_BUILT: dict[tuple, str] = {}
+def manifest(spark: SparkSession) -> Manifest:
+    """The records in the shared folder that ``spark.checkpoint.dir`` names, the same for all applications."""
+    ensure_checkpoint_dir(spark)
+    return Manifest(spark, f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/citytherm-stages")
 
 
 def once(spark: SparkSession, build: Callable[[str], None], *parts: str, inputs: Sequence[str] = (), force: bool = False) -> str:
-    """The folder that ``build(folder)`` wrote for these parts and the present
-    state of the inputs, in this application.  Each build has a folder of its own
-    and is known only when complete, so a reader never meets a partial stage,
-    and ``force`` or changed inputs give a new one that later calls then use."""
-    key = (spark.sparkContext.applicationId, *parts, fingerprint(spark, inputs))
-    if force or key not in _BUILT:
-        path = shared_dir(spark, "stage")
-        build(path)
-        _BUILT[key] = path
-    return _BUILT[key]
+    """The folder that ``build(folder)`` wrote for these parts, the present state of
+    the inputs and this code, in this or an earlier application (see ``manifest``)."""
+    return manifest(spark).once("-".join(parts), fingerprint(spark, inputs), build, force)
 
 
 def cached_stage(spark: SparkSession, build: Callable[[], DataFrame], *parts: str, inputs: Sequence[str] = (),

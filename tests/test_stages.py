@@ -65,3 +65,51 @@ def test_no_local_folder_on_a_cluster(spark, monkeypatch):
             get = staticmethod(lambda *a: None)
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def _manifest(spark, code="c1"):
+    from citytherm.sources.manifest import Manifest
+    return Manifest(spark, _manifest.root, code)
+
+
+def test_manifest_across_applications(spark):
+    """Nothing is kept in the process: a fresh manifest of the same folder skips, rebuilds and sweeps."""
+    import pytest
+    _manifest.root, calls = shared_dir(spark, "unit-manifest"), []
+
+    def build(n):
+        def run(folder):
+            calls.append(folder)
+            spark.range(n).write.parquet(f"{folder}/data")
+        return run
+    a = _manifest(spark).once("s", "in-1", build(3))
+    assert _manifest(spark).once("s", "in-1", build(9)) == a and len(calls) == 1  # a second application skips
+    b = _manifest(spark).once("s", "in-2", build(4))  # a changed input rebuilds
+    c = _manifest(spark, "c2").once("s", "in-2", build(5))  # so does changed code
+    assert len({a, b, c}) == 3 and spark.read.parquet(f"{c}/data").count() == 5
+    forced = _manifest(spark).once("s", "in-1", build(6), force=True)
+    assert _manifest(spark).once("s", "in-1", build(9)) == forced
+    with pytest.raises(ZeroDivisionError):
+        _manifest(spark).once("lost", "x", lambda folder: (spark.range(2).write.parquet(f"{folder}/data"), 1 / 0))
+    assert _manifest(spark).sweep(grace=3600) == []
+    gone = _manifest(spark).sweep(grace=0)
+    assert len(gone) == 2 and any("lost" in g for g in gone)  # the lost run and the output that was replaced
+    assert spark.read.parquet(f"{forced}/data").count() == 6 and _manifest(spark).find("s", "in-2") is not None
+    # an output that lost a file is not used
+    m = _manifest(spark)
+    m._fs.delete(m._list(f"{forced}/data")[-1].getPath(), False)
+    assert _manifest(spark).once("s", "in-1", build(7)) != forced
+
+
+def test_writers_that_meet_never_mix(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    _manifest.root = shared_dir(spark, "unit-meet")
+
+    def write(n):
+        return _manifest(spark).once("s", "in", lambda folder: spark.range(n).write.parquet(f"{folder}/data"), force=True)
+    with ThreadPoolExecutor(4) as pool:
+        paths = list(pool.map(write, range(1, 9)))
+    assert len(set(paths)) == 8 and [spark.read.parquet(f"{p}/data").count() for p in paths] == list(range(1, 9))
+    records = _manifest(spark).records("s")
+    assert [r.number for r in records] == list(range(1, 9)) and all(_manifest(spark).complete(r) for r in records)
+    assert _manifest(spark).once("s", "in", None).endswith(records[-1].folder)
