@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -255,16 +256,16 @@ def _compared(names: pa.Array, texts: list[str], following: list[str]) -> pa.Rec
          _hex(a), _hex(e), pa.array(near_edited), pa.array(near_next)], [c.split()[0] for c in _OUT.split(", ")])
 
 
-def _slices(batches: Iterator[pa.RecordBatch], limit: int = 1 << 19) -> Iterator[tuple[pa.Array, list[str]]]:
-    """(doc ids, texts) of runs of rows with about ``limit`` characters."""
+def _slices(batches: Iterator[pa.RecordBatch], limit: int = 1 << 18) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(doc ids, texts) of runs of rows with about ``limit`` bytes of text."""
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        at, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t) + 16
-            if size >= limit or i == len(texts) - 1:
-                yield batch.column(0).slice(at, i + 1 - at), texts[at: i + 1]
-                at, size = i + 1, 0
+        size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+        at = 0
+        while at < batch.num_rows:
+            stop = max(int(np.searchsorted(size, (size[at - 1] if at else 0) + limit)), at + 1)
+            part = batch.slice(at, stop - at)
+            yield part.column(0), part.column(1).to_pylist()
+            at = stop
 
 
 def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
