@@ -43,7 +43,7 @@ GRAM = 48
 PIECE = 1 << 19  # windows judged at a time, whatever a text's length
 SHARD = 96 << 10  # bytes of segments in one shard
 SPLIT = 256  # different segments of one anchor that are not split further
-BLOCK = 32  # places of one block of windows
+BLOCK = 64  # places of one block of windows
 END = 0xFF  # never a byte of UTF-8
 
 
@@ -98,7 +98,8 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[row]), pa.array(place.astype(np.int32))], ["h", "rid", "place"])
 
 
-_SEGMENT = "h long, k long, a long, b long, rid long, start int, lead int, windows int, seg binary"
+_SEGMENT = "h long, a long, b long, rid long, start int, lead int, seg binary"
+_PIECE = "h long, k long, a long, b long, lead int, n long, seg binary, form_a long, form_b long, at int"
 
 
 def _key(b: bytes) -> tuple[int, int]:
@@ -106,9 +107,10 @@ def _key(b: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["h", "k", "a", "b", "rid", "start", "lead", "windows", "seg"])
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(field.split() for field in schema.split(", ")))
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(zip(*rows), kinds)], list(names))
 
 
 def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +126,9 @@ def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 out = []
                 for r, at, n, x, p in zip(row[hit].tolist(), s[hit].tolist(), count[hit].tolist(), h[hit].tolist(), place[hit].tolist()):
                     seg = raw[offsets[r] + at: offsets[r] + at + n + WIDTH - 1]
-                    out.append((x, 0, *_key(seg), ids[r], at, p - at, n, seg))
+                    out.append((x, *_key(seg), ids[r], at, p - at, seg))
                 if out:
-                    yield _segment_batch(out)
+                    yield _batch(out, _SEGMENT)
 
 
 def blocks(seg: bytes, lead: int) -> Iterator[tuple[int, int, bytes]]:
@@ -143,19 +145,19 @@ def blocks(seg: bytes, lead: int) -> Iterator[tuple[int, int, bytes]]:
         at = to
 
 
-def _split_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments cut into blocks that meet only under one name (``k``)."""
+def _split_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different segments (h, a, b, lead, n, seg) cut into blocks that meet only under one name (``k``)."""
     for batch in batches:
         out = []
-        for r in batch.to_pylist():
-            for at, to, name in blocks(r["seg"], r["lead"]):
-                piece = r["seg"][at: to + WIDTH - 1]
-                out.append((r["h"], _key(name)[0], *_key(piece), r["rid"], r["start"] + at, r["lead"] - at, to - at, piece))
+        for h, a, b, lead, n, seg in zip(*(c.to_pylist() for c in batch.columns)):
+            for at, to, name in blocks(seg, lead):
+                piece = seg[at: to + WIDTH - 1]
+                out.append((h, _key(name)[0], *_key(piece), lead - at, n, piece, a, b, at))
             if len(out) > 2000:
-                yield _segment_batch(out)
+                yield _batch(out, _PIECE)
                 out = []
         if out:
-            yield _segment_batch(out)
+            yield _batch(out, _PIECE)
 
 
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,11 +298,9 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(groups)
 
 
-def _marked(segments: DataFrame) -> DataFrame:
-    """(h, k, a, b, marks) of different segments with repeats."""
-    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # counted first (with partial sums in each task): copies of a segment travel once
-    counted = segments.groupBy("h", "k", "a", "b", "lead", "seg").agg(F.count("*").alias("n"))
+def _marked(counted: DataFrame) -> DataFrame:
+    """(h, k, a, b, marks) of different pieces (h, k, a, b, lead, n, seg) with repeats."""
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (counted.select("h", "k", "a", "b", "lead", "n", "seg").repartition(parts, "h", "k").sortWithinPartitions("h", "k")
             .mapInArrow(_judge, "h long, k long, a long, b long, marks array<int>"))
 
@@ -322,16 +322,26 @@ def repeats(texts: DataFrame) -> DataFrame:
     common = stage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
     hits = found.join(common, "h").groupBy("rid").agg(F.collect_list("place").alias("places"))
     segments = stage(texts.join(hits, "rid").select("rid", "text", "places").mapInArrow(_emit_segments, _SEGMENT), "segments")
-    crowd = stage(segments.select("h", "a", "b").distinct().groupBy("h").agg(F.count("*").alias("n")).where(f"n > {SPLIT}").select("h"), "crowd")
-    blocks = stage(segments.join(crowd, "h").select("h", "rid", "start", "lead", "windows", "seg").mapInArrow(_split_segments, _SEGMENT), "blocks")
-    every = segments.join(crowd, "h", "left_anti").unionByName(blocks)
-    marked = stage(_marked(every), "marks")
-    pairs = F.transform(F.sequence(F.lit(0), F.size("marks") - 1, F.lit(2)), lambda i: F.struct(
-        (F.col("start") + F.get("marks", i)).alias("start"), (F.col("start") + F.get("marks", i + 1) + (WIDTH - 1)).alias("end")))
-    ranges = (every.select("h", "k", "a", "b", "rid", "start").join(marked, ["h", "k", "a", "b"])
-              .select("rid", F.explode(pairs).alias("cut")))
+    # copies of a segment are counted first (partial sums in each task) and travel once from here on
+    forms = stage(segments.groupBy("h", "a", "b", "lead", "seg").agg(F.count("*").alias("n")), "forms")
+    crowd = stage(forms.groupBy("h").count().where(f"count > {SPLIT}").select("h"), "crowd")
+    pieces = stage(forms.join(crowd, "h").select("h", "a", "b", "lead", "n", "seg").mapInArrow(_split_forms, _PIECE), "pieces")
+    plain = forms.join(crowd, "h", "left_anti").withColumn("k", F.lit(0).cast("long"))
+    split = pieces.groupBy("h", "k", "a", "b", "lead", "seg").agg(F.sum("n").alias("n"))
+    marked = stage(_marked(plain.select("h", "k", "a", "b", "lead", "n", "seg").unionByName(split)), "marks")
+    # the pieces' marks, moved to their places in the segments they come from
+    spans = F.transform(F.sequence(F.lit(0), F.size("marks") - 1, F.lit(2)), lambda i: F.struct(
+        (F.col("at") + F.get("marks", i)).alias("start"), (F.col("at") + F.get("marks", i + 1) + (WIDTH - 1)).alias("end")))
+    of_pieces = pieces.select("h", "k", "a", "b", "form_a", "form_b", "at").join(marked, ["h", "k", "a", "b"])
+    of_plain = marked.join(crowd, "h", "left_anti").select("h", F.col("a").alias("form_a"), F.col("b").alias("form_b"), F.lit(0).alias("at"), "marks")
+    found = (of_plain.unionByName(of_pieces.select("h", "form_a", "form_b", "at", "marks"))
+             .select("h", F.col("form_a").alias("a"), F.col("form_b").alias("b"), spans.alias("spans"))
+             .groupBy("h", "a", "b").agg(F.flatten(F.collect_list("spans")).alias("spans")))  # a segment's own pieces
+    ranges = (segments.select("h", "a", "b", "rid", "start").join(found, ["h", "a", "b"])
+              .select("rid", "start", F.explode("spans").alias("span"))
+              .select("rid", F.struct((F.col("start") + F.col("span.start")).alias("start"), (F.col("start") + F.col("span.end")).alias("end")).alias("cut")))
     cuts = stage(ranges.groupBy("rid").agg(F.sort_array(F.collect_list("cut")).alias("cuts")), "cuts")
-    for done in (segments, blocks, marked):
+    for done in (segments, forms, pieces, marked, crowd, common):
         discard(done)
     return cuts
 
