@@ -1,14 +1,10 @@
-"""Counts, means and co-moments of all pairs of columns in one pass.
+"""Counts, means and co-moments of all pairs of columns.
 
 Each task adds up a p x p accumulator for each key with matrix products over Arrow
-batches: over the rows where both columns of a pair are present, their number,
-the means and the centred squares and products.  Values are shifted by the
-task's first means, so numbers around 1e9 keep their digits.  The tasks'
-accumulators are small tables; two of them merge by
-
-    n = n1 + n2,  C = C1 + C2 + n1 (mi1 - mi)(mj1 - mj) + n2 (mi2 - mi)(mj2 - mj)
-
-which is one grouped sum around the common means.  NaN counts as null.
+batches: over the rows where both columns of a pair are present, their number and
+the sums, squares and products of the values less a shift.  The shift is the columns' mean, taken
+in a pass of plain averages first, so numbers around 1e9 keep their digits, and the
+same for all tasks, so accumulators merge by adding them up: one grouped sum.  NaN counts as null.
 """
 
 from __future__ import annotations
@@ -20,8 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citytherm.functions.stats import join_null_safe
-from citytherm.sources.stages import materialize
 
 HELD_KEYS = 64  # accumulators that a task holds at once; more keys flush the oldest
 
@@ -29,14 +23,9 @@ HELD_KEYS = 64  # accumulators that a task holds at once; more keys flush the ol
 class _Pairs:
     """Sums over the rows where both columns are present, of values less ``shift``."""
 
-    def __init__(self, x: np.ndarray):
-        p = x.shape[1]
-        with np.errstate(invalid="ignore"):
-            present = ~np.isnan(x)
-            n = present.sum(0)
-            self.shift = np.where(n > 0, np.where(present, x, 0.0).sum(0) / np.maximum(n, 1), 0.0)
-        self.shift[~np.isfinite(self.shift)] = 0.0
-        self.n, self.s, self.q, self.c = (np.zeros((p, p)) for _ in range(4))
+    def __init__(self, shift: np.ndarray):
+        self.shift = shift
+        self.n, self.s, self.q, self.c = (np.zeros((len(shift), len(shift))) for _ in range(4))
 
     def add(self, x: np.ndarray) -> None:
         present = ~np.isnan(x)
@@ -48,19 +37,15 @@ class _Pairs:
         self.c += y.T @ y
 
     def rows(self) -> Iterator[tuple]:
-        n = np.maximum(self.n, 1.0)
-        mean_i = self.s / n
-        square = self.q - self.s * mean_i
-        product = self.c - self.s * mean_i.T
-        for i in range(len(n)):
+        for i in range(len(self.n)):
             j = slice(i, None)
-            yield (i, self.n[i, j], mean_i[i, j] + self.shift[i], mean_i[j, i] + self.shift[j], square[i, j], square[j, i], product[i, j])
+            yield (i, self.n[i, j], self.s[i, j], self.s[j, i], self.q[i, j], self.q[j, i], self.c[i, j])
 
 
-_FIELDS = ["n", "mean_i", "mean_j", "c_ii", "c_jj", "c_ij"]
+_FIELDS = ["n", "s_i", "s_j", "q_i", "q_j", "c"]
 
 
-def _accumulate(keys: list[str]):
+def _accumulate(keys: list[str], shift: np.ndarray):
     def emit(held: dict) -> Iterator[tuple]:
         for key, pairs in held.items():
             for row in pairs.rows():
@@ -94,7 +79,7 @@ def _accumulate(keys: list[str]):
                     if len(held) >= HELD_KEYS:
                         oldest = next(iter(held))
                         yield out(list(emit({oldest: held.pop(oldest)})))
-                    held[key] = _Pairs(part)
+                    held[key] = _Pairs(shift)
                 held[key].add(part)
         if held:
             yield out(list(emit(held)))
@@ -106,19 +91,21 @@ def co_moments_of(values: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ``x`` of ``values`` is an array of doubles of one length."""
     keys = list(keys)
     kinds = "".join(f"`{k}` {values.schema[k].dataType.simpleString()}, " for k in keys)
-    partial = values.select(*keys, F.transform("x", lambda v: F.coalesce(v, F.lit(float("nan")))).alias("x"))
-    parts = materialize(partial.mapInArrow(_accumulate(keys), kinds + "i int, " + ", ".join(f"{f} array<double>" for f in _FIELDS)), "co-moments")
-    long = (parts.select(*keys, "i", F.posexplode(F.arrays_zip(*_FIELDS)).alias("j", "z"))
-            .select(*keys, "i", (F.col("j") + F.col("i")).alias("j"), "z.*"))
+    filled = values.select(*keys, F.transform("x", lambda v: F.coalesce(v, F.lit(float("nan")))).alias("x"))
+    size = filled.agg(F.max(F.size("x"))).first()[0] or 0
+    own = [F.get("x", F.lit(i)) for i in range(size)]
+    means = filled.agg(*[F.avg(F.when(~F.isnan(v), v)) for v in own]).first() if size else []
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])  # p numbers
+    parts = filled.mapInArrow(_accumulate(keys, shift), kinds + "i int, " + ", ".join(f"{f} array<double>" for f in _FIELDS))
     g = [*keys, "i", "j"]
-    mean = lambda m: F.when(F.sum("n") > 0, F.sum(F.col("n") * F.col(m)) / F.sum("n"))
-    means = long.groupBy(*g).agg(F.sum("n").cast("long").alias("all_n"), mean("mean_i").alias("all_i"), mean("mean_j").alias("all_j"))
-    both = join_null_safe(long.where("n > 0"), means, g)
-    di, dj = F.col("mean_i") - F.col("all_i"), F.col("mean_j") - F.col("all_j")
-    sums = both.groupBy(*g).agg(F.sum(F.col("c_ii") + F.col("n") * di * di).alias("c_ii"), F.sum(F.col("c_jj") + F.col("n") * dj * dj).alias("c_jj"),
-                                F.sum(F.col("c_ij") + F.col("n") * di * dj).alias("c_ij"))
-    found = join_null_safe(means, sums, g)
-    return found.select(*g, F.col("all_n").alias("n"), F.col("all_i").alias("mean_i"), F.col("all_j").alias("mean_j"), "c_ii", "c_jj", "c_ij")
+    sums = (parts.select(*keys, "i", F.posexplode(F.arrays_zip(*_FIELDS)).alias("j", "z")).select(*keys, "i", (F.col("j") + F.col("i")).alias("j"), "z.*")
+            .groupBy(*g).agg(*[F.sum(f).alias(f) for f in _FIELDS]))
+    n, at = F.col("n"), F.array(*[F.lit(float(x)) for x in shift]).cast("array<double>")
+    centre = lambda a, b, both: F.when(n > 0, F.col(both) - F.col(a) * F.col(b) / n)
+    return sums.select(*g, n.cast("long").alias("n"),
+                       F.when(n > 0, F.get(at, "i") + F.col("s_i") / n).alias("mean_i"), F.when(n > 0, F.get(at, "j") + F.col("s_j") / n).alias("mean_j"),
+                       F.greatest(centre("s_i", "s_i", "q_i"), F.lit(0.0)).alias("c_ii"), F.greatest(centre("s_j", "s_j", "q_j"), F.lit(0.0)).alias("c_jj"),
+                       centre("s_i", "s_j", "c").alias("c_ij"))
 
 
 def co_moments(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -53,7 +53,7 @@ def test_turns_equal_the_sequential_greedy(runs, k):
     entries = list(split.deal(runs, k))
     got = []
     for size, count in runs:
-        mine = [(at, order) for s, at, order in entries if s == size]
+        mine = [(at, order) for s, at, _, order in entries if s == size]
         assert len(mine) <= k and mine[0][0] == 0
         for i in range(count):
             at, order = [m for m in mine if m[0] <= i][-1]
