@@ -42,6 +42,7 @@ WIDTH = 200
 GRAM = 48
 PIECE = 1 << 19  # windows judged at a time, whatever a text's length
 SHARD = 96 << 10  # bytes of segments in one shard
+FLUSH = 32  # shards' worth of segments judged together
 SPLIT = 256  # different segments of one anchor that are not split further
 BLOCK = 64  # places of one block of windows
 END = 0xFF  # never a byte of UTF-8
@@ -287,7 +288,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for h, k, a, b, lead, n, seg in zip(*(c.to_pylist() for c in batch.columns)):
             if (h, k) != last:
-                if held > 16 * SHARD:
+                if held > FLUSH * SHARD:
                     yield from flush(groups)
                     groups, held = [], 0
                 groups.append(((h, k), []))
@@ -337,11 +338,12 @@ def repeats(texts: DataFrame) -> DataFrame:
     found = (of_plain.unionByName(of_pieces.select("h", "form_a", "form_b", "at", "marks"))
              .select("h", F.col("form_a").alias("a"), F.col("form_b").alias("b"), spans.alias("spans"))
              .groupBy("h", "a", "b").agg(F.flatten(F.collect_list("spans")).alias("spans")))  # a segment's own pieces
+    found = stage(found, "spans")  # written: the join with a segment of very many copies can then be split
     ranges = (segments.select("h", "a", "b", "rid", "start").join(found, ["h", "a", "b"])
               .select("rid", "start", F.explode("spans").alias("span"))
               .select("rid", F.struct((F.col("start") + F.col("span.start")).alias("start"), (F.col("start") + F.col("span.end")).alias("end")).alias("cut")))
     cuts = stage(ranges.groupBy("rid").agg(F.sort_array(F.collect_list("cut")).alias("cuts")), "cuts")
-    for done in (segments, forms, pieces, marked, crowd, common):
+    for done in (segments, forms, pieces, marked, crowd, common, found):
         discard(done)
     return cuts
 
