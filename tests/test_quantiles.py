@@ -31,12 +31,14 @@ def test_columns_and_groups_equal_numpy(spark, name):
     df = spark.createDataFrame([("hot", float(v)) for v in values] + [("cold", float(v)) for v in values[:50]] + [(None, float(v)) for v in values[:200]],
                                "k string, x double").repartition(5)
     check(stats.quantiles(df.where("k = 'hot'"), ["x"], PROBS).first()["q"], values)
-    for bound in (1_000_000, 8):
+    cut = name in ("log_normal_outliers", "ties")  # brackets cut again, round by round
+    for bound in (1_000_000, 8) if cut else (1_000_000,):
         by = {r["k"]: r["q"] for r in stats.quantiles(df, ["x"], PROBS, keys="k", bound=bound).collect()}
         check(by["hot"], values)
         check(by["cold"], values[:50])
         check(by[None], values[:200])
-    check(stats.quantiles(df.where("k = 'hot'"), ["x"], [0.25, 0.5], bound=20).first()["q"], values, [0.25, 0.5])
+    if cut:
+        check(stats.quantiles(df.where("k = 'hot'"), ["x"], [0.25, 0.5], bound=20).first()["q"], values, [0.25, 0.5])
 
 
 def test_infinities_nan_and_nulls(spark):
