@@ -7,6 +7,7 @@ the slice or the longest single text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,6 +91,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int | None = None) -> Iter
         last = min(max(last, row + 1), n)
         yield batch.slice(row, last - row), data[offsets[row]: offsets[last]], offsets[row: last + 1] - offsets[row]
         row = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: reused workers would keep the most that any task ever held."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        library = ctypes.CDLL("libc.so.6")
+        return library if hasattr(library, "malloc_trim") else None
+    except OSError:  # another C library
+        return None
+
+
+_LIBC = _libc()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray]:

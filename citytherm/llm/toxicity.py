@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import _U, held_out, mix, slices, table, words
+from citytherm.llm.common import _U, give_back, held_out, mix, slices, table, words
 
 _NOT_WORD = np.ones(256, dtype=bool)
 _NOT_WORD[128:] = False
@@ -122,6 +122,8 @@ def _train_shard(s: Settings):
         w = learner.weights(at)
         keep = (w != 0) | (at == 1 << s.bits)
         yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(w[keep])], ["index", "weight"])
+        del learner, w, at, keep
+        give_back()
     return run
 
 
