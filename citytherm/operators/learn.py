@@ -31,7 +31,6 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from citytherm.functions.expressions import round_half_even

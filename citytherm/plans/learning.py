@@ -176,29 +176,33 @@ def q_booster_importance(spark: SparkSession, sf: str) -> DataFrame:
 @register("run_report")
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
     """H2-H14 end to end on the fast profile's linear and tree models: split,
-    baseline, grid search, outer CV, metrics, skill, best model."""
-    ft = feature_table(spark, sf)
-    res = learn.train_models(ft.table, ft.feature_names, LABEL, GROUP, profile="fast",
-                             models=["Linear Regression", "Ridge Regression", "Decision Tree"])
-    run = res.run.select("run_id", "best_model", "best_rmse", "baseline_rmse")
-    return res.model_metric.join(run, "run_id")
+    baseline, grid search, outer CV, metrics, skill, best model.  Trains whenever it
+    is called; the run and its best pipeline are recorded for the scoring queries."""
+    _, path = _trained(spark, sf, force=True)
+    run = spark.read.parquet(f"{path}/run").select("run_id", "best_model", "best_rmse", "baseline_rmse")
+    return spark.read.parquet(f"{path}/metric").join(run, "run_id")
 
 
 SCORED_MODELS = ["Linear Regression", "Ridge Regression", "Decision Tree"]
 
 
-def _fitted(spark: SparkSession, sf: str):
-    """Feature table, the pipeline of the run's best model by test error (linear,
-    ridge or tree), and the baseline RMSE.  The fitted pipeline is saved under the
-    shared folder once for the present inputs and loaded from there (A9/A10)."""
+def _trained(spark: SparkSession, sf: str, force: bool = False):
+    """Feature table and the folder of the latest run for the present inputs (A9/A10):
+    metrics, run row and the best pipeline by test error."""
     ft = feature_table(spark, sf)
 
     def build(path: str) -> None:
-        res = learn.train_models(ft.table, ft.feature_names, LABEL, GROUP, profile="fast", models=SCORED_MODELS, outer_cv=False)
+        res = learn.train_models(ft.table, ft.feature_names, LABEL, GROUP, profile="fast", models=SCORED_MODELS)
         res.best_pipeline.save(f"{path}/model")
-        res.run.select(F.col("baseline_rmse").alias("rmse")).write.parquet(f"{path}/baseline")
-    path = once(spark, build, "best-model", sf, inputs=_inputs(sf))
-    return ft, PipelineModel.load(f"{path}/model"), float(spark.read.parquet(f"{path}/baseline").first()["rmse"])
+        res.model_metric.write.parquet(f"{path}/metric")
+        res.run.write.parquet(f"{path}/run")
+    return ft, once(spark, build, "run", sf, inputs=_inputs(sf), force=force)
+
+
+def _fitted(spark: SparkSession, sf: str):
+    """Feature table, the pipeline of the latest run's best model, and the baseline RMSE."""
+    ft, path = _trained(spark, sf)
+    return ft, PipelineModel.load(f"{path}/model"), float(spark.read.parquet(f"{path}/run").first()["baseline_rmse"])
 
 
 @register("score_batch")
