@@ -291,3 +291,22 @@ def test_model_rows_score_like_the_models(spark):
         assert both.where("abs(prediction - want) > 1e-9 OR prediction IS NULL").count() == 0, name
     gaps = spark.createDataFrame([(None, 1.0, 1.0), (float("nan"), 1.0, 1.0)], "x0 double, x1 double, x2 double")
     assert [r.prediction for r in scoring.predict(gaps, ["x0", "x1", "x2"], scoring.model_table(spark, {name: model})).collect()] == [None, None]
+
+
+def test_leaf_floors_that_bind_nowhere_need_no_fit(spark):
+    """Nodes that all hold enough rows answer for higher floors too; others are fitted again."""
+    rng = np.random.default_rng(3)
+    X = np.repeat(rng.integers(0, 2, (60, 2)).astype(float), 10, axis=0)
+    rows = spark.createDataFrame([(Vectors.dense(v), float(v[0] * 3 + v[1] + 0.1 * (i % 5)), i % 3) for i, v in enumerate(X.tolist())],
+                                 T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType()), T.StructField("fold", T.IntegerType())]))
+    cand, fits = _candidate("Decision Tree"), []
+    fit = type(cand).fit
+    cand.fit = lambda data, point, n, std: fits.append(point["min_samples_leaf"]) or fit(cand, data, point, n, std)
+    points = [{"max_depth": d, "min_samples_leaf": m} for d in (1, 3) for m in (1, 5, 150)]
+    got = learn.fold_errors(rows, "fold", cand, points)
+    assert sorted(fits) == [1, 1, 1, 150, 150, 150]
+    for point, errors in zip(points, got):
+        for k, e in enumerate(errors):
+            model = fit(cand, rows.where(f"fold <> {k}"), point, 400, 1.0)
+            gap = F.col("prediction") - F.col("label")
+            assert abs(e - model.transform(rows.where(f"fold = {k}")).agg(F.sqrt(F.avg(gap * gap))).first()[0]) < 1e-9, point
