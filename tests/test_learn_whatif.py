@@ -310,3 +310,11 @@ def test_leaf_floors_that_bind_nowhere_need_no_fit(spark):
             model = fit(cand, rows.where(f"fold <> {k}"), point, 400, 1.0)
             gap = F.col("prediction") - F.col("label")
             assert abs(e - model.transform(rows.where(f"fold = {k}")).agg(F.sqrt(F.avg(gap * gap))).first()[0]) < 1e-9, point
+
+
+def test_staged_vectors_take_more_files_for_more_rows_and_no_cache(spark, monkeypatch):
+    rows = spark.range(400).select((F.col("id") % 20).cast("string").alias("g"), F.col("id").cast("double").alias("a"), F.rand(1).alias("y"))
+    monkeypatch.setattr(learn, "PART_VALUES", 40)
+    prep = learn.prepare(rows, ["a"], "y", "g")
+    assert len(prep.rows.inputFiles()) == 20 and not prep.rows.storageLevel.useMemory
+    assert prep.rows.count() == 400 and prep.n_train == 320

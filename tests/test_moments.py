@@ -38,3 +38,16 @@ def test_keys_nulls_constants_and_empty(spark):
     const = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df.where("k = 1"), ["a", "b"]).collect()}
     assert const == {("a", "a"): 1.0, ("b", "b"): 1.0, ("a", "b"): None, ("b", "a"): None}
     assert co_moments(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_whole_rows_in_keys_that_mix_and_miss(spark):
+    """Batches without gaps and several keys, one null: the same sums as by hand."""
+    rng = np.random.default_rng(5)
+    x, a, b = rng.normal(size=(300, 3)) + 7, rng.integers(0, 3, 300), rng.integers(0, 4, 300)
+    rows = [("ab"[v] if v < 2 else None, int(w), *map(float, r)) for v, w, r in zip(a, b, x)]
+    got = {(r.s, r.k, r.i, r.j): r for r in co_moments(spark.createDataFrame(rows, "s string, k int, p double, q double, r double").repartition(3), ["p", "q", "r"], ["s", "k"]).collect()}
+    assert len(got) == 6 * len({(u, v) for u, v, *_ in rows})
+    for (s, k, i, j), r in got.items():
+        own = np.array([row[2:] for row in rows if row[:2] == (s, k)])
+        d = own - own.mean(0)
+        assert r.n == len(own) and np.allclose([r.mean_i, r.mean_j, r.c_ii, r.c_jj, r.c_ij], [own[:, i].mean(), own[:, j].mean(), d[:, i] @ d[:, i], d[:, j] @ d[:, j], d[:, i] @ d[:, j]])

@@ -116,3 +116,13 @@ def test_writers_that_meet_never_mix(spark):
     records = _manifest(spark).records("s")
     assert len({r.folder for r in records}) == 8 and all(_manifest(spark).complete(r) for r in records)
     assert _manifest(spark).once("s", "in", None).endswith(records[-1].folder)
+
+
+def test_files_of_a_stage_follow_the_inputs(spark, monkeypatch):
+    source = shared_dir(spark, "unit-parts")
+    spark.range(1000).repartition(1).write.parquet(source)
+    monkeypatch.setattr(stages, "PART_BYTES", 200)
+    size = sum(n for _, files in stages._state(spark, [source]) for _, n, _ in files)
+    stage = stages.cached_stage(spark, lambda: spark.read.parquet(source), "parts", uuid.uuid4().hex, inputs=[source])
+    assert len(stage.inputFiles()) >= size // 200 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert stage.count() == 1000
