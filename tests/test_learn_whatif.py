@@ -318,3 +318,19 @@ def test_staged_vectors_take_more_files_for_more_rows_and_no_cache(spark, monkey
     prep = learn.prepare(rows, ["a"], "y", "g")
     assert len(prep.rows.inputFiles()) == 20 and not prep.rows.storageLevel.useMemory
     assert prep.rows.count() == 400 and prep.n_train == 320
+
+
+def test_prepare_counts_the_groups_once_with_equal_split_and_folds(spark, monkeypatch):
+    rows = [(float(i), float(i % 4), f"g{i % 11}" if i % 13 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, y double, g string")
+    counted, sizes = [], split.group_sizes
+    assign, outer = split.group_holdout(df, "g").collect(), split.group_folds(df, "g").collect()
+    train = df.join(split.group_holdout(df, "g").where("split = 'train'").select("g"), "g")
+    inner = split.group_folds(train, "g").collect()
+    monkeypatch.setattr(split, "group_sizes", lambda *a: counted.append(a) or sizes(*a))
+    prep = learn.prepare(df, ["x"], "y", "g")
+    assert len(counted) == 1
+    found = {r["g"]: r for r in prep.rows.select("g", "split", "fold", "outer_fold").distinct().collect()}
+    assert {r["g"]: r["split"] for r in assign} == {g: r["split"] for g, r in found.items()}
+    assert {r["g"]: r["fold"] for r in outer} == {g: r["outer_fold"] for g, r in found.items()}
+    assert {r["g"]: r["fold"] for r in inner} == {g: r["fold"] for g, r in found.items() if r["fold"] is not None}

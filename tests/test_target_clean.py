@@ -1,5 +1,10 @@
 """E5 target fallbacks, E2/E3 fences, C1/C2 filters, B5/E4, on hand-made rows."""
-from citytherm.operators import clean, target
+import pytest
+from pyspark.sql import functions as F
+
+from citytherm.functions import stats
+from citytherm.operators import clean, preprocess, target
+from citytherm.sources import stages
 
 
 def test_contrast_fallbacks(spark):
@@ -57,3 +62,37 @@ def test_two_phase_quantiles_match_direct(spark, smoke_dir):
 def test_integer_median_keeps_its_half(spark):
     df = spark.createDataFrame([(10,), (15,), (None,)], "clouds int")
     assert sorted(r.clouds for r in clean.median_impute(df, ["clouds"]).collect()) == [10.0, 12.5, 15.0]
+
+
+def _raw(spark):
+    rows = [(f"g{i % 3}" if i % 7 else None, 10.0 + i % 9, 40.0 + i % 5, 3.0, 1000.0, 0.3, 0.5, 1.0 + i % 3, 2.0,
+             30.0 + i % 4 if i % 5 else None, 28.0 + i % 3, "openweather", "2024-03-01 10:00:00") for i in range(90)]
+    return spark.createDataFrame(rows, "name string, temperature double, humidity double, wind_speed double, pressure double, ndvi double, "
+                                       "urban_fraction double, lat double, lon double, urban_lst double, rural_lst double, source string, timestamp string")
+
+
+def test_preprocess_fits_fences_once_and_medians_before_features(spark, monkeypatch):
+    written, fitted = [], []
+    keep, median = preprocess.materialize, target.group_median
+    monkeypatch.setattr(preprocess, "materialize", lambda df, name="stage": written.append(name) or keep(df, name))
+    monkeypatch.setattr(target, "group_median", lambda df, *a: fitted.append(df.columns) or median(df, *a))
+    out = preprocess.preprocess(_raw(spark))
+    assert "fences" in written  # one row, read back by all later passes
+    assert fitted and "heat_index" not in fitted[0]
+    assert out.table.count() == 90
+
+
+def test_contrast_medians_fitted_on_another_frame(spark):
+    df = spark.createDataFrame([("g", 30.0, 27.0), ("g", None, 1.0), ("h", None, 1.0)], "name string, u double, r double")
+    other = spark.createDataFrame([("g", 9.0, 2.0), ("h", 5.0, 0.0)], "name string, u double, r double")
+    out = target.contrast_target(df, "u", "r", "name", fit_on=other).collect()
+    assert sorted(r.uhi_intensity for r in out) == [3.0, 5.0, 7.0]
+
+
+@pytest.mark.parametrize("rows", [10, 20_001])
+def test_group_sizes_of_quantiles_are_counted_once(spark, monkeypatch, rows):
+    written, keep = [], stages.materialize
+    monkeypatch.setattr(stages, "materialize", lambda df, name="stage": written.append(name) or keep(df, name))
+    df = spark.range(rows).select(F.lit("g").alias("k"), F.col("id").cast("double").alias("x"))
+    assert stats.group_median(df, "k", "x", "m").first().m == (rows - 1) / 2
+    assert written.count("sizes") == 1
