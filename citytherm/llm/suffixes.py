@@ -171,7 +171,7 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank = np.unique(packed, return_inverse=True)[1].astype(np.int64)
     step = 8
     while True:
-        order = np.argsort(rank * n + np.roll(rank, -step % n), kind="stable") if n else at
+        order = np.argsort(rank * n + np.roll(rank, -step % n)) if n else at
         key = rank[order] * n + rank[(order + step) % n]
         new = np.empty(n, dtype=np.int64)
         new[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
@@ -180,7 +180,7 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank, step = new, step * 2
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = WIDTH) -> np.ndarray:
+def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = WIDTH, ends: np.ndarray | None = None) -> np.ndarray:
     """Common prefixes of the suffixes of several shards, from the shards'
     (order, transform) alone: for each shard's places, one shard after the other,
     the longest prefix (even, at most ``depth``, within one string) that another
@@ -191,6 +191,10 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = WIDTH) -> np
     transforms and deals the suffixes to these stably: the interleave for d + 2.
     A block splits where symbols differ; suffixes left alone, or that meet the end of a
     string, have no longer prefix in common and leave.
+
+    ``ends`` (for each place, shard after shard) marks the places where a string of
+    ``depth`` symbols ends: only their suffixes start, so each pass holds as many suffixes
+    as there are such strings, and only prefixes of the whole depth are told.
     """
     sizes = [len(t) for _, t in shards]
     begin = np.concatenate(([0], np.cumsum(sizes)))
@@ -206,7 +210,7 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = WIDTH) -> np
     ended = (before == END) | (before[step] == END)
     step = step[step].astype(np.int32)
     common = np.zeros(begin[-1], dtype=np.int16)
-    now = np.arange(begin[-1], dtype=np.int32)  # the interleave, all in one block
+    now = (np.arange(begin[-1]) if ends is None else np.flatnonzero(ends[place])).astype(np.int32)  # the interleave, all in one block
     block = np.zeros(len(now), dtype=np.int32)
     for d in range(2, depth + 1, 2):
         going = ~ended[now]
@@ -232,7 +236,10 @@ def repeated(groups: list[list[tuple[bytes, int]]], shard: int = SHARD) -> list[
     flat = [(g, i, seg, weight) for g, group in enumerate(groups) for i, (seg, weight) in enumerate(group)]
     shards = min(max(2, -(-sum(len(x[2]) + 1 for x in flat) // shard)), max(len(flat), 1))
     dealt = [flat[s::shards] for s in range(shards)]  # every group is spread over the shards
-    common = merge([transform(np.frombuffer(b"".join(x[2] + bytes([END]) for x in own), dtype=np.uint8)) for own in dealt])
+    # a window of a string ends at its place WIDTH or later, its closing symbol included
+    size = np.array([len(x[2]) + 1 for own in dealt for x in own], dtype=np.int64)
+    ends = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) >= WIDTH
+    common = merge([transform(np.frombuffer(b"".join(x[2] + bytes([END]) for x in own), dtype=np.uint8)) for own in dealt], WIDTH, ends)
     out = [[np.zeros(0, bool)] * len(g) for g in groups]
     at = 0
     for own in dealt:

@@ -87,3 +87,16 @@ def test_merge_equals_sorting(corpus):
 
 def test_empty_table(spark, docs_of):
     assert S.deduplicate(docs_of([]), ["doc_id"]).count() == 0
+
+
+def test_merge_from_window_ends_finds_the_same_repeats(corpus):
+    """Started only where a whole window ends, the merge tells the windows apart as before."""
+    rng = random.Random(2)
+    strings = [["".join(rng.choice("ab") for _ in range(n)) for n in sizes] for sizes in ((50, 12), (80,), (300, 1, 90))]
+    made = [S.transform(np.frombuffer(b"".join(x.encode() + b"\xff" for x in own), np.uint8)) for own in strings]
+    ends = np.concatenate([np.arange(len(x) + 1) >= 12 for own in strings for x in own])
+    found = S.merge(made, 12, ends) >= 12
+    assert found.tolist() == (S.merge(made, 12) >= 12).tolist()
+    windows = [x[i: i + 12] if i + 12 <= len(x) else None for own in strings for x in own for i in range(len(x) + 1)]
+    seen = Counter(windows)
+    assert found.tolist() == [w is not None and seen[w] > 1 for w in windows]
