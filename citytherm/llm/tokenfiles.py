@@ -54,7 +54,7 @@ class Settings:
     least: int = 12               # a pair with fewer occurrences is no rule
     gain: float = 0.02           # rounds end once one shortens the shard by less than this share
     rules_a_round: int = 4_096
-    slice_bytes: int = 8 << 20
+    slice_bytes: int = 4 << 20    # encoding holds about 17 bytes of arrays for each of text
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, size: int, most: int) -> np.ndarray:
