@@ -103,3 +103,32 @@ def test_a_worker_holds_little_beside_a_batch(monkeypatch):
         assert tracemalloc.get_traced_memory()[1] < 100 << 20  # 67 MB; 174 MB when all ids of 8 MB were placed at once
     finally:
         tracemalloc.stop()
+
+
+def test_short_pieces_share_library_calls():
+    """Distinct words go many to a call, and their ids are those of the library alone."""
+    import random
+    rng = random.Random(7)
+    odd = ["\x01", "a\x01b", "<|endoftext|>", "x<|y", "</w>", "é", "́z", "don't", "'s", "1a2", "é", "中文", "K", "&&", "a,b", "\x00", "ab cd", "z" * 60]
+    texts = [" ".join(rng.choice(odd) if rng.random() < 0.1 else "".join(rng.choice("abcdeZé&") for _ in range(rng.randint(1, 9)))
+                      for _ in range(30)) for _ in range(200)] + odd + ["", "\n"]
+    encoder = Encoder(Vocabulary("word_bpe_49k.json", blank=True))
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, ends = encoder.encode(data, offsets)
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    plain = [i for i, t in enumerate(texts) if "<|" not in t and "\x01" not in t]
+    sent.clear()
+    encoder._clear()
+    part = [texts[i] for i in plain]
+    encoder.encode(np.frombuffer("".join(part).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in part)]))
+    assert len(encoder.table) > 2000 and len(sent) < len(encoder.table) / 30
