@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytherm.llm import wordcodes
-from citytherm.llm.common import slices, stage, table
+from citytherm.llm.common import slices, stage, table, tidy
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,33 @@ class Settings:
     slice_bytes: int = 4 << 20
 
 
+class Decoder:
+    """Bytes of ids, from the ranks alone; one per worker process."""
+
+    held: dict = {}
+
+    def __init__(self, s: Settings):
+        of = wordcodes.ranks(s.ranks)
+        entries = [b""] * (max(of.values()) + 1)
+        for entry, i in of.items():
+            entries[i] = entry
+        self.size = np.fromiter(map(len, entries), np.int64, len(entries))
+        self.end = np.cumsum(self.size)
+        self.raw = np.frombuffer(b"".join(entries), np.uint8)
+
+    def bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids' bytes in a row, and where each id's bytes end."""
+        size = self.size[ids]
+        end = np.cumsum(size)
+        return self.raw[np.repeat(self.end[ids] - end, size) + np.arange(end[-1] if len(end) else 0)], end
+
+    @classmethod
+    def of(cls, s: Settings) -> Decoder:
+        if s not in cls.held:
+            cls.held[s] = cls(s)
+        return cls.held[s]
+
+
 class Encoder:
     """Pieces and ids of texts; one per worker process."""
 
@@ -55,22 +82,12 @@ class Encoder:
         self.settings = s
         self.find = regex.compile(s.pattern)
         self.table = wordcodes.Encoder.of(wordcodes.Vocabulary(s.ranks, pattern=s.pattern, table_pieces=s.cached_pieces, table_length=s.cached_length))
-        entries = [self.table.bytes_of.get(i, b"") for i in range(max(self.table.bytes_of) + 1)]
-        self.size = np.fromiter(map(len, entries), np.int64, len(entries))
-        self.end = np.cumsum(self.size)
-        self.raw = np.frombuffer(b"".join(entries), np.uint8)
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of pieces and where each one's begin."""
         raw = [p.encode() for p in pieces]
         return self.table.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
 
-    def bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids' bytes in a row, and where each id's bytes end."""
-        size = self.size[ids]
-        end = np.cumsum(size)
-        return self.raw[np.repeat(self.end[ids] - end, size) + np.arange(end[-1] if len(end) else 0)], end
-
     @classmethod
     def of(cls, s: Settings) -> Encoder:
         if s not in cls.held:
@@ -132,7 +149,7 @@ def _long(texts: DataFrame, s: Settings) -> DataFrame:
            .withColumn("lead", F.least("at", F.lit(s.overlap)))
            .select("key", F.col("at").cast("long").alias("at"), F.col("n").cast("long").alias("n"), F.col("lead").cast("long").alias("lead"),
                    F.substring("text", F.col("at") - F.col("lead") + 1, F.col("lead") + s.chunk + s.overlap).alias("text")))
-    parts = cut.repartition("key", "at").mapInArrow(_chunks(s), "key string, at long, first long, stop long, ids array<int>")
+    parts = cut.repartition("key", "at").mapInArrow(tidy(_chunks(s)), "key string, at long, first long, stop long, ids array<int>")
     # written once: what fits and what does not read the same chunks
     joined = stage(parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "first", "stop", "ids"))).alias("c"))
               # neighbours agree on a boundary, and the first chunk starts at 0
@@ -140,7 +157,7 @@ def _long(texts: DataFrame, s: Settings) -> DataFrame:
                                          "i -> c[i].stop >= 0 AND (i = 0 OR c[i].first = c[i - 1].stop))")), "chunks")
     whole = joined.where("fits").select("key", F.flatten(F.transform("c", lambda x: x["ids"])).alias("ids"))
     odd = joined.where("NOT fits").select("key").join(texts, "key")
-    return whole.unionAll(odd.select("key", "text").mapInArrow(_whole(s, ["key"]), "key string, ids array<int>"))
+    return whole.unionAll(odd.select("key", "text").mapInArrow(tidy(_whole(s, ["key"])), "key string, ids array<int>"))
 
 
 def encode(documents: DataFrame, columns: list[str] | None = None, s: Settings = Settings()) -> DataFrame:
@@ -149,7 +166,7 @@ def encode(documents: DataFrame, columns: list[str] | None = None, s: Settings =
     named = documents.select(*dict.fromkeys([*columns, "text"]))
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
     is_long = F.coalesce(F.char_length("text") > s.chunk, F.lit(False))
-    short = named.where(~is_long).mapInArrow(_whole(s, columns), f"{kinds}, ids array<int>")
+    short = named.where(~is_long).mapInArrow(tidy(_whole(s, columns)), f"{kinds}, ids array<int>")
     keyed = named.where(is_long).withColumn("__key", F.sha2("text", 256))
     texts = keyed.select(F.col("__key").alias("key"), "text").dropDuplicates(["key"])
     long = keyed.select(*columns, "__key").join(_long(texts, s), F.col("__key") == F.col("key")).select(*columns, "ids")
@@ -162,7 +179,7 @@ def decode(encoded: DataFrame, columns: list[str] | None = None, s: Settings = S
     kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(s)
+        decoder = Decoder.of(s)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids"))
             counts = ids.value_lengths().fill_null(0).to_numpy()
@@ -171,7 +188,7 @@ def decode(encoded: DataFrame, columns: list[str] | None = None, s: Settings = S
                 n = max(int(np.searchsorted(np.cumsum(counts[at:]), s.slice_bytes // 4)), 1)
                 part = batch.slice(at, n)
                 values = ids.slice(at, n).flatten().drop_null().to_numpy().astype(np.int64)
-                raw, end = encoder.bytes(values)
+                raw, end = decoder.bytes(values)
                 rows = np.concatenate(([0], np.cumsum(ids.slice(at, n).is_valid().to_numpy(zero_copy_only=False) * counts[at: at + n])))
                 if len(values) < rows[-1]:  # null ids inside lists
                     valid = np.concatenate(([0], np.cumsum(ids.slice(at, n).flatten().is_valid().to_numpy(zero_copy_only=False))))
@@ -181,7 +198,7 @@ def decode(encoded: DataFrame, columns: list[str] | None = None, s: Settings = S
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in columns] + [texts.cast(pa.binary())], [*columns, "bytes"])
                 at += n
 
-    return encoded.select(*dict.fromkeys([*columns, "ids"])).mapInArrow(run, f"{kinds}, bytes binary")
+    return encoded.select(*dict.fromkeys([*columns, "ids"])).mapInArrow(tidy(run), f"{kinds}, bytes binary")
 
 
 def digests(documents: DataFrame, s: Settings = Settings()) -> DataFrame:

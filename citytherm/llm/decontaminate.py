@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import SHINGLE_WORDS, shingles, slices, table, utf8
+from citytherm.llm.common import SHINGLE_WORDS, shingles, slices, table, tidy, utf8
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
@@ -135,7 +135,7 @@ def search(documents: DataFrame, benchmark: DataFrame, s: Settings = Settings())
         return run
     out = None
     for held in _blocks(benchmark, s):
-        now = documents.select("doc_id", "text").mapInArrow(pairs(held), schema)
+        now = documents.select("doc_id", "text").mapInArrow(tidy(pairs(held)), schema)
         out = now if out is None else out.unionAll(now)
     return out if out is not None else documents.sparkSession.createDataFrame([], schema)
 
@@ -149,7 +149,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, s: Settings = Settings())
                 yield part.take(pa.array([i for i in range(part.num_rows) if i not in hit], pa.int64()))
         return run
     for held in _blocks(benchmark, s):
-        documents = documents.mapInArrow(rest(held), documents.schema)
+        documents = documents.mapInArrow(tidy(rest(held)), documents.schema)
     return documents
 
 

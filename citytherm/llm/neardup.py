@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import _U, _keys, discard, mix, shingles, slices, spread, stage, table, utf8
+from citytherm.llm.common import _U, _keys, discard, mix, shingles, slices, spread, stage, table, tidy, utf8
 from citytherm.llm.components import components
 
 
@@ -174,7 +174,7 @@ def _links(pairs: DataFrame, sides: DataFrame, s: Settings) -> DataFrame:
     """The pairs (u, v) that are links, decided on both full texts."""
     named = lambda c: sides.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"),
                                    F.col("registers").alias(f"r{c}"), F.col("text").alias(f"t{c}"))
-    return (pairs.join(named("u"), "u").join(named("v"), "v").mapInArrow(_verify(s), "u long, v long"))
+    return (pairs.join(named("u"), "u").join(named("v"), "v").mapInArrow(tidy(_verify(s)), "u long, v long"))
 
 
 def _pivot_pairs(rest: DataFrame, turn: int) -> DataFrame:
@@ -263,7 +263,7 @@ def _block_links(rest: DataFrame, sides: DataFrame, s: Settings) -> DataFrame:
     dealt = rows.select("key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "band", "node", "comp",
                         "n_shingles", "registers", "text")
     return (dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-            .mapInArrow(_compare(s), "u long, v long"))
+            .mapInArrow(tidy(_compare(s)), "u long, v long"))
 
 
 def _labelled(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
@@ -276,7 +276,7 @@ def _labelled(shared: DataFrame, joined: DataFrame | None) -> DataFrame:
 def classes(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``documents``."""
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("hash"))
-    rows = stage(texts.mapInArrow(_sketch_rows(s), "doc_id long, hash long, n_shingles long, k1 long, k2 long, registers binary"), "sketch")
+    rows = stage(texts.mapInArrow(tidy(_sketch_rows(s)), "doc_id long, hash long, n_shingles long, k1 long, k2 long, registers binary"), "sketch")
     filled = rows.where("doc_id is not null and n_shingles > 0")
     # equal sets are one node, named by the smallest id
     same = stage(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "nodes")
@@ -284,7 +284,7 @@ def classes(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     heads = (filled.join(same, ["k1", "k2"]).where("doc_id = node").groupBy("node", "k1", "k2")
              .agg(F.min(F.struct("hash", "n_shingles", "registers")).alias("h")).select("node", "k1", "k2", "h.*"))
 
-    bands = heads.select("node", "registers").mapInArrow(_bands(s), "key long, band int, node long")
+    bands = heads.select("node", "registers").mapInArrow(tidy(_bands(s)), "key long, band int, node long")
     crowded = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
     shared = stage(bands.join(crowded, "key").select("key", "band", "node"), "buckets")
     wanted = shared.select("node").distinct()

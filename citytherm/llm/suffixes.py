@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import _U, discard, mix, powers, prefix_hash, slices, stage, table
+from citytherm.llm.common import _U, discard, mix, powers, prefix_hash, slices, stage, table, tidy
 
 WIDTH = 200
 GRAM = 48
@@ -310,7 +310,7 @@ def _marked(counted: DataFrame) -> DataFrame:
     """(h, k, a, b, marks) of different pieces (h, k, a, b, lead, n, seg) with repeats."""
     parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (counted.select("h", "k", "a", "b", "lead", "n", "seg").repartition(parts, "h", "k").sortWithinPartitions("h", "k")
-            .mapInArrow(_judge, "h long, k long, a long, b long, marks array<int>"))
+            .mapInArrow(tidy(_judge), "h long, k long, a long, b long, marks array<int>"))
 
 
 def numbered(documents: DataFrame) -> DataFrame:
@@ -325,15 +325,15 @@ def numbered(documents: DataFrame) -> DataFrame:
 def repeats(texts: DataFrame) -> DataFrame:
     """(rid, cuts): for texts (rid, text) the byte ranges [start, end) of runs of
     repeats, not yet joined; only texts with repeats."""
-    found = texts.select("rid", "text").mapInArrow(_emit_anchors, "h long, rid long, place int")
+    found = texts.select("rid", "text").mapInArrow(tidy(_emit_anchors), "h long, rid long, place int")
     # written first: both sides of the join are then plain exchanges, and a hot anchor's rows can be split
     common = stage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
     hits = found.join(common, "h").groupBy("rid").agg(F.collect_list("place").alias("places"))
-    segments = stage(texts.join(hits, "rid").select("rid", "text", "places").mapInArrow(_emit_segments, _SEGMENT), "segments")
+    segments = stage(texts.join(hits, "rid").select("rid", "text", "places").mapInArrow(tidy(_emit_segments), _SEGMENT), "segments")
     # copies of a segment are counted first (partial sums in each task) and travel once from here on
     forms = stage(segments.groupBy("h", "a", "b", "lead", "seg").agg(F.count("*").alias("n")), "forms")
     crowd = stage(forms.groupBy("h").count().where(f"count > {SPLIT}").select("h"), "crowd")
-    pieces = stage(forms.join(crowd, "h").select("h", "a", "b", "lead", "n", "seg").mapInArrow(_split_forms, _PIECE), "pieces")
+    pieces = stage(forms.join(crowd, "h").select("h", "a", "b", "lead", "n", "seg").mapInArrow(tidy(_split_forms), _PIECE), "pieces")
     plain = forms.join(crowd, "h", "left_anti").withColumn("k", F.lit(0).cast("long"))
     split = pieces.groupBy("h", "k", "a", "b", "lead", "seg").agg(F.sum("n").alias("n"))
     marked = stage(_marked(plain.select("h", "k", "a", "b", "lead", "n", "seg").unionByName(split)), "marks")
@@ -388,8 +388,8 @@ def deduplicate(documents: DataFrame, columns: list[str], as_text: bool = False)
     cuts = repeats(rows.select(F.col("__rid").alias("rid"), "text"))
     joined = rows.join(cuts.select(F.col("rid").alias("__rid"), F.col("cuts").alias("__cuts")), "__rid", "left")
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return joined.select(*dict.fromkeys([*columns, "text"]), "__cuts").mapInArrow(
-        _cut(columns, as_text), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
+    return joined.select(*dict.fromkeys([*columns, "text"]), "__cuts").mapInArrow(tidy(
+        _cut(columns, as_text)), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytherm.llm.common import _U, give_back, held_out, mix, slices, table, words
+from citytherm.llm.common import _U, give_back, held_out, mix, slices, table, tidy, words
 
 _NOT_WORD = np.ones(256, dtype=bool)
 _NOT_WORD[128:] = False
@@ -141,7 +141,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", settings:
     sample = texts.join(F.broadcast(rows), "doc_id")
     shards = (sample.repartition(s.shards, F.pmod(F.xxhash64("doc_id"), F.lit(s.shards)))
               .sortWithinPartitions("doc_id", "text").select("text", "label"))
-    found = (shards.mapInArrow(_train_shard(s), "index long, weight double")
+    found = (shards.mapInArrow(tidy(_train_shard(s)), "index long, weight double")
              .groupBy("index").agg(F.sum("weight").alias("total"), F.count("*").alias("n")).collect())
     shards_used = max([r["n"] for r in found if r["index"] == 1 << s.bits], default=0)
     if not shards_used:
@@ -174,7 +174,7 @@ def score(documents: DataFrame, model: Model, columns: list[str] | None = None)
 
     wanted = documents.select(*dict.fromkeys([*columns, "text"]))
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return wanted.mapInArrow(run, f"{kinds}, score double")
+    return wanted.mapInArrow(tidy(run), f"{kinds}, score double")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -32,3 +33,22 @@ def test_matches_library(spark, docs_of, corpus):
 
 def test_empty_table(spark, docs_of):
     assert bpe.digests(docs_of([])).count() == 0
+
+
+def test_tasks_give_memory_back():
+    """After a task a worker keeps no table of powers; decoding needs the ranks alone."""
+    import pyarrow as pa
+    from citytherm.llm import common, suffixes, wordcodes
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["x y " * 900, "é" * 400])], ["rid", "text"])
+    found = list(common.tidy(suffixes._emit_anchors)(iter([batch])))
+    assert sum(b.num_rows for b in found) > 0 and not common._POWERS
+    common.powers(1000)
+    assert len(common._POWERS["up"]) <= 1 << 16  # as large as the texts need
+    common.give_back()
+    assert not common._POWERS
+    held = set(wordcodes.Encoder.held)
+    decoder = bpe.Decoder.of(bpe.Settings(chunk=1 << 14))  # settings of this test alone
+    text = "na\u00efve  text,\n\u4e2d"
+    ids = np.array(reference().encode_ordinary(text))
+    assert bytes(decoder.bytes(ids)[0]).decode() == text
+    assert set(wordcodes.Encoder.held) == held
