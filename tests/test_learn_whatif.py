@@ -205,6 +205,15 @@ def test_contributions_top_and_width(spark):
     assert [(r.feature, r.width) for r in out] == [("b", 1.0), ("c", 0.5)]
 
 
+def test_contributions_order_of_nulls_nan_and_ties_without_a_lambda_comparator(spark):
+    rows = [(1, [2.0, -2.0, 0.0, -0.0]), (2, [None, 1.0, float("nan"), -3.0])]
+    top = whatif.contributions(spark.createDataFrame(rows, "id long, v array<double>"), ["b", "a", "d", "c"], key="id", vector_col="v", k=4)
+    assert [r["feature"] for r in top.where("id = 1").orderBy("rank").collect()] == ["a", "b", "c", "d"]
+    assert [r["feature"] for r in top.where("id = 2").orderBy("rank").collect()] == ["b", "c", "a", "d"]
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+
+
 def test_daily_payload_rules(spark):
     p = spark.createDataFrame(
         [("x", {"time": ["2024-01-01", "2024-01-02", "2024-01-03"],
